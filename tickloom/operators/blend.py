@@ -98,6 +98,7 @@ def simplex_lattice(n_models: int, steps: int) -> list[tuple[float, ...]]:
 
 def score_blends(sums: DataFrame, candidates: Sequence[Sequence[float]]) -> DataFrame:
     """Summed score of each weight vector, from the per-date sums alone."""
+    candidates = list(dict.fromkeys(tuple(c) for c in candidates))
     n = len(candidates[0])
     weights = F.array(*[F.array(*[F.lit(float(x)) for x in c]) for c in candidates])
     tried = sums.withColumn("_w", F.explode(weights))
