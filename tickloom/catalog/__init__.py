@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom import schema as S
-from tickloom.catalog import checks, models, scoring, tables, windows  # noqa: F401
+from tickloom.catalog import checks, models, scoring, streams, tables, windows  # noqa: F401
 from tickloom.catalog.common import EV, ORDER, QUERIES, SQL, W_E, events_panel, query, r6, s6
 from tickloom.operators import metrics
 from tickloom.plans.features import FeatureChain, LagStep, RollingStep

@@ -80,14 +80,19 @@ def all_metrics(spark: SparkSession, folder: str) -> DataFrame:
     return _all_rounded(metrics.all_metrics(_sums(spark, folder)))
 
 
-_BACKTEST = f"""SELECT CAST(NULL AS INTEGER) AS date_id, (SELECT count(*) FROM li) AS n_rows, * FROM {_ALL}
+_BACKTEST = f"""SELECT -1 AS date_id, (SELECT count(*) FROM li) AS n_rows, * FROM {_ALL}
   UNION ALL SELECT li.date_id, count(*), {s6('coalesce(max(score), 0)', 'a')}, {s6('coalesce(max(score), 0)', 'b')},
   {s6(_WR2, 'c')}, {s6(_WRMSE, 'd')}, {s6(_WMAE, 'e')} FROM li JOIN daily USING (date_id) GROUP BY li.date_id"""
 
 
+def _backtest_rows(table: DataFrame) -> DataFrame:
+    """Date -1 stands for all dates."""
+    return _all_rounded(table.withColumn(S.DATE, F.coalesce(S.DATE, F.lit(-1))), S.DATE, "n_rows")
+
+
 @query("backtest_per_date", f"WITH {DAILY_SQL} {_BACKTEST}")
 def backtest_per_date(spark: SparkSession, folder: str) -> DataFrame:
-    return _all_rounded(metrics.backtest_per_date(_sums(spark, folder)), S.DATE, "n_rows")
+    return _backtest_rows(metrics.backtest_per_date(_sums(spark, folder)))
 
 
 @query("predict_fn", f"WITH {DAILY_SQL} {_BACKTEST}")
@@ -99,7 +104,7 @@ def predict_fn(spark: SparkSession, folder: str) -> DataFrame:
 
     df = lineitem_panel(spark, folder).withColumn("tax", F.col(S.PREDICTION) + 0.04).drop(S.PREDICTION)
     _, table = metrics.run_backtest(df, lambda t: t.withColumn(S.PREDICTION, tax_model("tax")))
-    return _all_rounded(table, S.DATE, "n_rows")
+    return _backtest_rows(table)
 
 
 @query("weighted_mean_fit", f"WITH {LI} SELECT {s6('sum(weight * responder_6) / sum(weight)', 'weighted_mean')} FROM li")
