@@ -10,6 +10,7 @@ from tickloom.operators import blocks, cross, sampling
 from tickloom.operators import windows as win
 from tickloom.operators.baselines import median_fit
 from tickloom.operators.blend import rank_average
+from tickloom.plans import sizing
 from tickloom.plans.features import FeatureChain, LagStep, RollingStep
 
 
@@ -123,10 +124,38 @@ def test_samples(hot_events, n):
 
 
 def test_blocks_bound_the_hot_entity(hot_events):
-    """No (entity, block) group is larger than about one block of rows."""
-    cut = blocks.with_blocks(hot_events, ORDER, 20)
-    largest = cut.groupBy("symbol_id", blocks.BLOCK).count().agg(F.max("count")).first()[0]
-    assert largest <= 10_000 / 20 * 1.6
+    """Only hot entities are cut, and their blocks are about as large as asked."""
+    split = sizing.find_split(hot_events, ["symbol_id"], 20)
+    cut = blocks.with_blocks(hot_events, ["symbol_id"], ORDER, split).groupBy("symbol_id", blocks.BLOCK).count()
+    assert cut.agg(F.max("count")).first()[0] <= 2 * split.block_rows
+    assert cut.where(F.col("symbol_id") != 0).agg(F.max(blocks.BLOCK)).first()[0] == 0
+    assert cut.where(F.col("symbol_id") == 0).count() >= 5
+
+
+def test_size_check_finds_only_hot_groups(hot_events, monkeypatch):
+    assert sizing.find_split(hot_events, ["symbol_id"]) is None
+    monkeypatch.setattr(sizing, "ONE_TASK_BYTES", 0)
+    assert sizing.find_split(hot_events, ["symbol_id"]) is None
+    monkeypatch.setattr(sizing, "ONE_TASK_ROWS", 1000)
+    monkeypatch.setattr(sizing, "BLOCK_ROWS", 500)
+    split = sizing.find_split(hot_events, ["symbol_id"])
+    assert [r["symbol_id"] for r in split.hot.collect()] == [0]
+    out = win.lag_features(hot_events, ["feature_00"], [1], order=ORDER)
+    monkeypatch.undo()
+    same(win.lag_features(hot_events, ["feature_00"], [1], order=ORDER), out, ["feature_00_lag1"])
+
+
+def test_large_lookup_is_not_broadcast(hot_events, monkeypatch):
+    side = hot_events.groupBy("symbol_id").agg(F.count("*").alias("n"))
+
+    def hinted():
+        return "broadcast" in sizing.lookup_side(side)._jdf.queryExecution().analyzed().toString().lower()
+
+    assert hinted()
+    monkeypatch.setattr(sizing, "BROADCAST_BYTES", 0)
+    assert hinted()
+    monkeypatch.setattr(sizing, "BROADCAST_ROWS", 10)
+    assert not hinted()
 
 
 def test_chain_split_equals_plain(hot_events):

@@ -1,23 +1,26 @@
 """Ordered windows per entity that stay bounded when one entity holds most of the rows.
 
-A window task normally receives every row of its entity. Where that could be too much, time is cut into
-blocks at quantiles of the order position, so that (entity, block) groups hold at most about one block of
-rows. Each block also receives the few rows before it that a frame can reach, computes, and drops them.
+A window task normally receives every row of its entity. An entity with too many rows is cut in blocks
+along its order, at positions taken from a sample, so that (entity, block) groups hold about
+``BLOCK_ROWS`` rows; the others stay whole. Each block also receives the few rows before it that a frame
+can reach, computes, and drops them. The sample only places the cuts; every row is used.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from tickloom.plans import sizing
+from tickloom.plans.sizing import Split
+from tickloom.session import checkpointed
 
 BLOCK = "_block"
-_POS = "_position"
+_EDGES = "_edges"
 _HALO = "_halo"
+_SAMPLES_PER_BLOCK = 20
 
 Columns = Callable[[WindowSpec], dict[str, Column]]
 
@@ -38,24 +41,52 @@ def order_position(df: DataFrame, order: Sequence[str]) -> Column:
     return position
 
 
-def quantile_buckets(df: DataFrame, position: Column, n: int, out: str = BLOCK) -> DataFrame:
-    """Add an integer bucket that follows ``position`` and holds about 1/n of the rows."""
-    placed = df.withColumn(_POS, position)
-    cuts = placed.approxQuantile(_POS, [i / n for i in range(1, n)], 1 / (4 * n)) if n > 1 else []
-    edges = [float("-inf"), *sorted(set(cuts)), float("inf")]
-    if len(edges) == 2:
-        return df.withColumn(out, F.lit(0))
-    cut = Bucketizer(splits=edges, inputCol=_POS, outputCol=out, handleInvalid="keep")
-    return cut.transform(placed).withColumn(out, F.col(out).cast("int")).drop(_POS)
+def block_edges(df: DataFrame, group: Sequence[str], position: Column, split: Split) -> DataFrame:
+    """Per hot group the ascending positions at which its blocks begin.
+
+    Taken from every 20th row of a sample that holds 20 rows per block. Written once, so every part of a
+    plan cuts at the same positions.
+    """
+    group = list(group)
+    fraction = min(1.0, _SAMPLES_PER_BLOCK / split.block_rows)
+    placed = df.select(*group, position.cast("double").alias("_position"))
+    if group:
+        placed = placed.join(sizing.lookup_side(split.hot.select(*group)), group, "left_semi")
+    if fraction < 1.0:
+        placed = placed.sample(fraction, seed=7)
+    every = max(1, round(split.block_rows * fraction))
+    number = F.row_number().over(Window.partitionBy(*group).orderBy("_position"))
+    picked = placed.withColumn("_n", number).where(F.col("_n") % every == 0)
+    return checkpointed(picked.groupBy(*group).agg(F.sort_array(F.collect_list("_position")).alias(_EDGES)))
+
+
+def _edges_passed(edges: Column, position: Column) -> Column:
+    """Number of edges at or below ``position``: a binary search by falling powers of two."""
+    size = F.size(edges)
+
+    def step(found: Column, power: Column) -> Column:
+        at = found + power
+        hit = F.when(at <= size, F.get(edges, at - 1) <= position).otherwise(F.lit(False))
+        return F.when(hit, at).otherwise(found)
+
+    powers = F.array(*[F.lit(2**k) for k in range(20, -1, -1)])
+    return F.aggregate(powers, F.lit(0), step)
 
 
-def block_count(df: DataFrame) -> int:
-    """Blocks needed for about ``BLOCK_ROWS`` rows each."""
-    return max(2, -(-df.count() // sizing.BLOCK_ROWS))
+def in_blocks(df: DataFrame, group: Sequence[str], position: Column, edges: DataFrame, out: str = BLOCK) -> DataFrame:
+    """Add the block number; rows of groups without edges are in block 0."""
+    group = list(group)
+    if group:
+        placed = df.join(sizing.lookup_side(edges), group, "left")
+    else:
+        placed = df.withColumn(_EDGES, edges.select(_EDGES).scalar())
+    passed = _edges_passed(F.col(_EDGES), position.cast("double"))
+    return placed.withColumn(out, F.when(F.col(_EDGES).isNull(), F.lit(0)).otherwise(passed)).drop(_EDGES)
 
 
-def with_blocks(df: DataFrame, order: Sequence[str], n: int | None = None) -> DataFrame:
-    return quantile_buckets(df, order_position(df, order), n or block_count(df))
+def with_blocks(df: DataFrame, entity: Sequence[str], order: Sequence[str], split: Split) -> DataFrame:
+    position = order_position(df, order)
+    return in_blocks(df, entity, position, block_edges(df, entity, position, split))
 
 
 def _reaching_rows(
@@ -81,6 +112,7 @@ def _reaching_rows(
                 by_block.rowsBetween(1, reach)
             ),
         )
+        .where(F.size("_later") > 0)
         .select(*group, "_end", "_later")
     )
     targets = F.filter("_later", lambda b: b["start"] - F.col("_end") + F.col("_k") <= reach)
@@ -108,10 +140,13 @@ def entity_windows(
     ``columns`` maps a window to the new columns and ``inputs`` names the columns they read. With
     ``blocks=None`` the plain window is used when every entity fits one task.
     """
-    if blocks is None and sizing.groups_fit_one_task(df, entity):
+    split = sizing.find_split(df, entity, blocks)
+    if split is None:
         return df.withColumns(columns(Window.partitionBy(*entity).orderBy(*order)))
-    blocked = with_blocks(df, order, blocks)
-    halo = _reaching_rows(blocked, entity, order, inputs, reach)
+    blocked = with_blocks(df, entity, order, split)
+    # Only entities that were cut have rows to pass on.
+    cut = blocked.join(sizing.lookup_side(split.hot.select(*entity)), list(entity), "left_semi")
+    halo = _reaching_rows(cut, entity, order, inputs, reach)
     rows = blocked.withColumn(_HALO, F.lit(False)).unionByName(halo, allowMissingColumns=True)
     window = Window.partitionBy(*entity, BLOCK).orderBy(*order)
     return rows.withColumns(columns(window)).where(~F.col(_HALO)).drop(_HALO, BLOCK)

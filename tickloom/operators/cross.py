@@ -13,11 +13,11 @@ from pyspark.sql import functions as F
 
 from tickloom import schema as S
 from tickloom.functions.scalar import EPS, conditional_zscore, spread_order
-from tickloom.operators.blocks import BLOCK, block_count, order_position, quantile_buckets
+from tickloom.operators.blocks import BLOCK, block_edges, in_blocks, order_position
 from tickloom.plans import sizing
+from tickloom.plans.sizing import Split
 
 RANK_METHODS = ("average", "min", "max", "dense", "ordinal", "random")
-_HASH_RANGE = 2147483647
 
 
 def counted_positions(
@@ -25,24 +25,24 @@ def counted_positions(
     value: str,
     group: Sequence[str] = (),
     then: Sequence[str] = (),
-    blocks: int | None = None,
+    split: Split | None = None,
 ) -> DataFrame:
     """Per distinct (group, value, then): row count ``n``, rows before it, distinct keys before it.
 
-    Order is by value, then by the integer columns in ``then``. NULL values are left out.
+    Order is by value, then by the integer columns in ``then``. NULL values are left out. With ``split``
+    the hot groups are summed in blocks of their value range.
     """
     group, then = list(group), list(then)
     known = df.where(F.col(value).isNotNull())
     counts = known.groupBy(*group, value, *then).agg(F.count("*").alias("n"))
     along = [value, *then]
-    if blocks is None and sizing.groups_fit_one_task(df, group):
+    if split is None:
         w = Window.partitionBy(*group).orderBy(*along)
         return counts.withColumns(
             {"before": F.sum("n").over(w) - F.col("n"), "distinct_before": F.row_number().over(w) - 1}
         )
-    n_blocks = blocks or block_count(df)
-    # Cut points come from the rows, so a value held by many rows only repeats a cut point.
-    cut = _bucketed_like(known, counts, value, n_blocks)
+    # Edges come from the rows, so a value held by many rows only repeats an edge.
+    cut = in_blocks(counts, group, F.col(value), block_edges(known, group, F.col(value), split))
     by_block = Window.partitionBy(*group).orderBy(BLOCK)
     offsets = (
         cut.groupBy(*group, BLOCK)
@@ -68,19 +68,11 @@ def counted_positions(
     )
 
 
-def _bucketed_like(rows: DataFrame, counts: DataFrame, value: str, n: int) -> DataFrame:
-    """``counts`` with the quantile buckets of ``rows``."""
-    from pyspark.ml.feature import Bucketizer
-
-    position = "_value"
-    placed = rows.select(F.col(value).cast("double").alias(position))
-    cuts = placed.approxQuantile(position, [i / n for i in range(1, n)], 1 / (4 * n))
-    edges = [float("-inf"), *sorted(set(cuts)), float("inf")]
-    if len(edges) == 2:
-        return counts.withColumn(BLOCK, F.lit(0))
-    cut = Bucketizer(splits=edges, inputCol=position, outputCol=BLOCK, handleInvalid="keep")
-    named = counts.withColumn(position, F.col(value).cast("double"))
-    return cut.transform(named).withColumn(BLOCK, F.col(BLOCK).cast("int")).drop(position)
+def _check_method(method: str, tiebreak: Sequence[str]) -> None:
+    if method not in RANK_METHODS:
+        raise ValueError(f"unknown rank method {method!r}, choose from {list(RANK_METHODS)}")
+    if method in ("ordinal", "random") and not tiebreak:
+        raise ValueError(f"method {method!r} needs tiebreak columns")
 
 
 def ranked(
@@ -97,16 +89,27 @@ def ranked(
 
     ``ordinal`` breaks ties by ``tiebreak``, ``random`` by a hash of it.
     """
-    if method not in RANK_METHODS:
-        raise ValueError(f"unknown rank method {method!r}, choose from {list(RANK_METHODS)}")
+    _check_method(method, tiebreak)
     group = list(group)
-    if method in ("ordinal", "random") and not tiebreak:
-        raise ValueError(f"method {method!r} needs tiebreak columns")
-    if blocks is None and sizing.groups_fit_one_task(df, group):
+    split = sizing.find_split(df, group, blocks)
+    return _ranked(df, column, group, method, out, tiebreak, seed, split)
+
+
+def _ranked(
+    df: DataFrame,
+    column: str,
+    group: list[str],
+    method: str,
+    out: str,
+    tiebreak: Sequence[str],
+    seed: int,
+    split: Split | None,
+) -> DataFrame:
+    if split is None:
         return df.withColumn(out, _window_rank(column, group, method, tiebreak, seed))
     if method in ("ordinal", "random"):
-        return _distributed_row_rank(df, column, group, method, out, tiebreak, seed, blocks)
-    at = counted_positions(df, column, group, blocks=blocks or block_count(df))
+        return _distributed_row_rank(df, column, group, method, out, tiebreak, seed, split)
+    at = counted_positions(df, column, group, split=split)
     n, before = F.col("n"), F.col("before")
     rank = {
         "average": before + (n + 1) / 2,
@@ -114,7 +117,7 @@ def ranked(
         "max": before + n,
         "dense": F.col("distinct_before") + 1,
     }[method]
-    side = sizing.lookup_side(at.select(*group, column, rank.cast("double").alias(out)))
+    side = at.select(*group, column, rank.cast("double").alias(out))
     return df.join(side, [*group, column], "left").select(*df.columns, out)
 
 
@@ -144,22 +147,23 @@ def _distributed_row_rank(
     out: str,
     tiebreak: Sequence[str],
     seed: int,
-    blocks: int | None,
+    split: Split,
 ) -> DataFrame:
-    """Row numbers from counts per (group, value, tie bucket) plus a number within the bucket."""
-    n = blocks or block_count(df)
-    if method == "random":
-        hashed = spread_order(F.col(tiebreak[-1]), seed)
-        split = df.withColumn("_tie", F.floor(hashed * F.lit(float(n)) / F.lit(float(_HASH_RANGE))).cast("int"))
-        within = [hashed, *[F.col(c) for c in tiebreak]]
-    else:
-        split = quantile_buckets(df, order_position(df, tiebreak), n, out="_tie")
-        within = [F.col(c) for c in tiebreak]
-    at = counted_positions(split, column, group, then=["_tie"], blocks=n)
+    """Row numbers from counts per (group, value, tie block) plus a number within the block.
+
+    Tie blocks cut the tie-break order of a hot group, so a value that many of its rows share is cut too.
+    """
+    hashed = [spread_order(F.col(tiebreak[-1]), seed)] if method == "random" else []
+    position = hashed[0] if hashed else order_position(df, tiebreak)
+    edges = block_edges(df, group, position, split)
+    tied = in_blocks(df, group, position, edges, out="_tie")
+    at = counted_positions(tied, column, group, then=["_tie"], split=split)
     keys = [*group, column, "_tie"]
+    within = [*hashed, *[F.col(c) for c in tiebreak]]
     number = F.row_number().over(Window.partitionBy(*keys).orderBy(*within))
-    rank = F.when(F.col(column).isNotNull(), (F.col("before") + number).cast("double"))
-    joined = split.join(sizing.lookup_side(at.select(*keys, "before")), keys, "left")
+    numbered = tied.withColumn("_number", number)
+    rank = F.when(F.col(column).isNotNull(), (F.col("before") + F.col("_number")).cast("double"))
+    joined = numbered.join(at.select(*keys, "before"), keys, "left")
     return joined.withColumn(out, rank).select(*df.columns, out)
 
 
@@ -175,7 +179,11 @@ def with_group_moments(
     df: DataFrame, columns: Sequence[str], group: Sequence[str], blocks: int | None = None
 ) -> DataFrame:
     """Add ``{c}_mean`` and ``{c}_std`` of the row's group."""
-    if blocks is None and sizing.groups_fit_one_task(df, group):
+    return _with_moments(df, columns, group, sizing.find_split(df, group, blocks))
+
+
+def _with_moments(df: DataFrame, columns: Sequence[str], group: Sequence[str], split: Split | None) -> DataFrame:
+    if split is None:
         w = Window.partitionBy(*group)
         return df.withColumns(
             {f"{c}_mean": F.avg(c).over(w) for c in columns}
@@ -196,13 +204,15 @@ def xs_rank(
     blocks: int | None = None,
 ) -> DataFrame:
     """Rank within the snapshot; with ``normalize`` centred and scaled by the snapshot's ranks."""
+    _check_method(method, tiebreak)
     keep = df.columns
     names = [f"{c}_xrank" for c in columns]
+    split = sizing.find_split(df, group, blocks)
     for c, name in zip(columns, names):
-        df = ranked(df, c, group, method, name, tiebreak, seed, blocks)
+        df = _ranked(df, c, list(group), method, name, tiebreak, seed, split)
     if not normalize:
         return df
-    df = with_group_moments(df, names, group, blocks)
+    df = _with_moments(df, names, group, split)
     scaled = [
         ((F.col(n) - F.col(f"{n}_mean")) / (F.col(f"{n}_std") + F.lit(EPS))).alias(f"{n}_norm") for n in names
     ]
@@ -239,10 +249,11 @@ def rank_percentile(
     """Average rank over all rows divided by the row count."""
     total = df.agg(F.count("*")).scalar()
     keep = df.columns
+    split = sizing.find_split(df, [], blocks)
     for c in columns:
-        at = counted_positions(df, c, blocks=blocks)
+        at = counted_positions(df, c, split=split)
         pct = ((F.col("before") + (F.col("n") + 1) / 2) / total).alias(f"{c}{suffix}")
-        df = df.join(sizing.lookup_side(at.select(c, pct)), c, "left")
+        df = df.join(at.select(c, pct), c, "left")
     return df.select(*keep, *[f"{c}{suffix}" for c in columns])
 
 
@@ -251,7 +262,7 @@ def exact_medians(df: DataFrame, columns: Sequence[str], blocks: int | None = No
     long = df.select(
         F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns]))
     )
-    at = counted_positions(long, "value", ["column"], blocks=blocks)
+    at = counted_positions(long, "value", ["column"], split=sizing.find_split(long, ["column"], blocks))
     sizes = long.where("value is not null").groupBy("column").agg(F.count("*").alias("size"))
     low, high = F.floor((F.col("size") + 1) / 2), F.floor(F.col("size") / 2) + 1
     end = F.col("before") + F.col("n")

@@ -43,32 +43,26 @@ def required_columns(spark: SparkSession, columns: Sequence[str], required: Sequ
 def date_monotonic(df: DataFrame, date: str = S.DATE) -> DataFrame:
     """Whether dates never fall, in file order, within and across files; needs a file-based frame.
 
-    A drop anywhere in a file shows as a date below one at an earlier row. Per file only consecutive rows
-    are compared: rows are cut in runs of row numbers, each run reports its ends and whether it falls.
+    Dates rise within a file exactly when each date's first row comes after the last row of all earlier
+    dates. So the rows shrink to first and last row per (file, date) before any shuffle. The value is the
+    number of dates and files out of order.
     """
-    placed = df.select(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.row_index").alias("row"),
-        F.col(date).alias("date"),
+    spans = df.groupBy(
+        F.col("_metadata.file_path").alias("file"), F.col(date).alias("date")
+    ).agg(F.min("_metadata.row_index").alias("first"), F.max("_metadata.row_index").alias("last"))
+    earlier = Window.partitionBy("file").orderBy("date").rowsBetween(Window.unboundedPreceding, -1)
+    per_file = (
+        spans.withColumn("late", (F.col("first") < F.max("last").over(earlier)).cast("int"))
+        .groupBy("file")
+        .agg(F.sum("late").alias("late"), F.min("date").alias("low"), F.max("date").alias("high"))
     )
-    run = F.floor(F.col("row") / F.lit(1_000_000)).alias("run")
-    runs = placed.select("file", run, "row", "date")
-    w = Window.partitionBy("file", "run").orderBy("row")
-    per_run = (
-        runs.withColumn("falls", (F.col("date") < F.lag("date").over(w)).cast("int"))
-        .groupBy("file", "run")
-        .agg(
-            F.coalesce(F.sum("falls"), F.lit(0)).alias("falls"),
-            F.min_by("date", "row").alias("first"),
-            F.max_by("date", "row").alias("last"),
-        )
-    )
-    ends = per_run.withColumn("gap", F.lag("last").over(Window.orderBy("file", "run")))
-    bad = F.sum(F.col("falls") + F.coalesce((F.col("first") < F.col("gap")).cast("int"), F.lit(0)))
-    total = F.coalesce(bad, F.lit(0))
-    return ends.agg(total.alias("_bad")).select(
-        F.inline(F.array(_row("date_monotonic", date, _severity(F.col("_bad") > 0), F.col("_bad"), 0.0)))
+    # One row per file from here on.
+    files_before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    behind = (F.col("low") < F.max("high").over(files_before)).cast("int")
+    bad = per_file.withColumn("behind", behind).agg(
+        F.coalesce(F.sum(F.coalesce("late", F.lit(0)) + F.coalesce("behind", F.lit(0))), F.lit(0)).alias("_bad")
     )
+    return bad.select(F.inline(F.array(_row("date_monotonic", date, _severity(F.col("_bad") > 0), F.col("_bad"), 0.0))))
 
 
 def missing_thresholds(

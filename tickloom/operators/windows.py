@@ -125,8 +125,9 @@ def ewm_mean(
     """
     if not spans or any(s < 1 for s in spans):
         raise ValueError(f"spans must be at least 1, got {list(spans)}")
-    single = blocks is None and sizing.groups_fit_one_task(df, entity)
-    rows = df.withColumn(BLOCK, F.lit(0)) if single else with_blocks(df, order, blocks)
+    split = sizing.find_split(df, entity, blocks)
+    single = split is None
+    rows = df.withColumn(BLOCK, F.lit(0)) if single else with_blocks(df, entity, order, split)
     group = [*entity, BLOCK]
     w = Window.partitionBy(*group).orderBy(*order)
     upto = w.rowsBetween(Window.unboundedPreceding, 0)

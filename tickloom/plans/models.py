@@ -24,6 +24,7 @@ from tickloom import schema as S
 from tickloom.functions.scalar import dynamic_min_leaf, scaled_alpha, with_time_decay
 from tickloom.operators import cross, metrics, splits
 from tickloom.operators.sampling import sample_by_group
+from tickloom.plans import sizing
 
 VECTOR = "_features"
 
@@ -219,6 +220,7 @@ def cv_train(
     """Fit each fold on its training dates and predict its validation dates."""
     models, parts, rows = [], [], []
     keep = list(dict.fromkeys([*keys, S.DATE, target, weight]))
+    folds = sizing.settled(folds)
     for k in fold_numbers(folds):
         train, val = splits.fold_rows(df, folds, k, "train"), splits.fold_rows(df, folds, k, "val")
         model = fit(train, features, params, val=val if early_stop else None, kind=kind, target=target, weight=weight)

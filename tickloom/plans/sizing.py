@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,9 +13,9 @@ from tickloom.session import checkpointed
 # A whole input below this size fits one task, so no group in it can be too large.
 ONE_TASK_BYTES = 128 * 1024 * 1024
 # Largest group that one window task may hold.
-ONE_TASK_ROWS = 5_000_000
-# Rows aimed at per block once groups are split.
-BLOCK_ROWS = 2_000_000
+ONE_TASK_ROWS = 2_000_000
+# Rows aimed at per block once a group is split.
+BLOCK_ROWS = 1_000_000
 BROADCAST_BYTES = 32 * 1024 * 1024
 BROADCAST_ROWS = 200_000
 
@@ -25,18 +26,29 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(str(stats.sizeInBytes()))
 
 
-def groups_fit_one_task(df: DataFrame, group_cols: Sequence[str]) -> bool:
-    """True when no group of ``group_cols`` can overload one task.
+@dataclass
+class Split:
+    """Groups that must be cut, with their row counts, and the rows a block should hold."""
+
+    hot: DataFrame
+    block_rows: int
+
+
+def find_split(df: DataFrame, group: Sequence[str], blocks: int | None = None) -> Split | None:
+    """The groups of ``df`` that are too large for one task, or None if there are none.
 
     Small inputs are settled by the plan's size estimate, without a job. Larger ones cost one pass over
-    the grouping columns, counted map-side before the shuffle.
+    the grouping columns, counted map-side before the shuffle; only the hot groups are kept, at most one
+    per ``ONE_TASK_ROWS`` rows of input. ``blocks`` forces about that many blocks over the whole input.
     """
-    if estimated_bytes(df) <= ONE_TASK_BYTES:
-        return True
-    if not group_cols:
-        return df.count() <= ONE_TASK_ROWS
-    largest = df.groupBy(*group_cols).count().agg(F.max("count").alias("n")).first()["n"]
-    return largest is None or largest <= ONE_TASK_ROWS
+    if blocks is None and estimated_bytes(df) <= ONE_TASK_BYTES:
+        return None
+    counts = df.groupBy(*group).agg(F.count("*").alias("_count"))
+    if blocks is not None:
+        rows = max(1, df.count() // blocks)
+        return Split(checkpointed(counts.where(F.col("_count") > rows)), rows)
+    hot = checkpointed(counts.where(F.col("_count") > ONE_TASK_ROWS))
+    return None if hot.isEmpty() else Split(hot, BLOCK_ROWS)
 
 
 def lookup_side(df: DataFrame) -> DataFrame:
@@ -49,3 +61,8 @@ def lookup_side(df: DataFrame) -> DataFrame:
         return F.broadcast(df)
     kept = checkpointed(df)
     return F.broadcast(kept) if kept.count() <= BROADCAST_ROWS else kept
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """``df`` written once if it would otherwise be derived again from a large input on every use."""
+    return df if estimated_bytes(df) <= ONE_TASK_BYTES else checkpointed(df)
