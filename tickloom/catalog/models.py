@@ -10,6 +10,7 @@ from tickloom.catalog.common import EV, LI, big, events_panel, lineitem_panel, q
 from tickloom.catalog.windows import SMOOTH
 from tickloom.operators import baselines, blend, metrics, splits
 from tickloom.plans import models
+from tickloom.session import checkpointed
 
 FEATURES = ["feature_00", "feature_01", S.TIME]
 KEYS = [*S.KEYS, "l_orderkey", "l_partkey"]
@@ -240,7 +241,7 @@ def grid_search(spark: SparkSession, folder: str) -> DataFrame:
 @query("random_search")
 def random_search(spark: SparkSession, folder: str) -> DataFrame:
     df = _panel(spark, folder)
-    folds = splits.purged_kfold(df, 3, 5, 10, min_train_dates=100)
+    folds = checkpointed(splits.purged_kfold(df, 3, 5, 10, min_train_dates=100))
     space = {"learning_rate": ("log", 0.01, 0.2), "depth": ("int", 2, 3)}
     search = models.RandomSearch(space, 2, fixed={"iterations": 2})
     search.run(models.fold_numbers(folds), models.fold_score(df, folds, FEATURES))

@@ -9,6 +9,7 @@ from tickloom import schema as S
 from tickloom.operators.cross import exact_medians
 from tickloom.operators.joins import map_lookup_fallback
 from tickloom.operators.metrics import FLOOR
+from tickloom.session import checkpointed
 
 
 def weighted_mean(target: str = S.TARGET, weight: str = S.WEIGHT) -> Column:
@@ -29,8 +30,19 @@ def median_fit(train: DataFrame, target: str = S.TARGET, blocks: int | None = No
 def symbol_weighted_mean(
     train: DataFrame, target: str = S.TARGET, weight: str = S.WEIGHT, symbol: str = S.SYMBOL
 ) -> DataFrame:
+    return _symbol_means(_symbol_sums(train, target, weight, symbol), symbol)
+
+
+def _symbol_sums(train: DataFrame, target: str, weight: str, symbol: str) -> DataFrame:
+    """Per entity the sums that its mean and the overall mean need."""
     y, w = F.col(target).cast("double"), F.when(F.col(target).isNotNull(), F.col(weight).cast("double"))
-    return train.groupBy(symbol).agg(F.try_divide(F.sum(w * y), F.sum(w)).alias("symbol_mean"))
+    return train.groupBy(symbol).agg(
+        F.sum(w * y).alias("_wy"), F.sum(w).alias("_w"), F.sum(y).alias("_y"), F.count(target).alias("_n")
+    )
+
+
+def _symbol_means(sums: DataFrame, symbol: str) -> DataFrame:
+    return sums.select(symbol, F.try_divide("_wy", "_w").alias("symbol_mean"))
 
 
 def zero_baseline(df: DataFrame) -> DataFrame:
@@ -51,6 +63,7 @@ def symbol_mean_baseline(
     train: DataFrame, df: DataFrame, target: str = S.TARGET, weight: str = S.WEIGHT, symbol: str = S.SYMBOL
 ) -> DataFrame:
     """Weighted mean of the entity, the global one for an entity not seen in training."""
-    fitted = symbol_weighted_mean(train, target, weight, symbol)
-    overall = weighted_mean_fit(train, target, weight).scalar()
-    return map_lookup_fallback(df, fitted, [symbol], "symbol_mean", overall, S.PREDICTION)
+    sums = checkpointed(_symbol_sums(train, target, weight, symbol))
+    plain, weighted = F.try_divide(F.sum("_y"), F.sum("_n")), F.try_divide(F.sum("_wy"), F.sum("_w"))
+    overall = sums.agg(F.when(F.sum("_w") < FLOOR, plain).otherwise(weighted)).scalar()
+    return map_lookup_fallback(df, _symbol_means(sums, symbol), [symbol], "symbol_mean", overall, S.PREDICTION)

@@ -12,6 +12,7 @@ from tickloom import schema as S
 from tickloom.operators.cross import rank_percentile
 from tickloom.operators.joins import map_lookup_fallback
 from tickloom.operators.metrics import FLOOR
+from tickloom.session import checkpointed
 
 
 def date_bias(df: DataFrame, truth: str, prediction: str, date: str = S.DATE) -> DataFrame:
@@ -33,8 +34,10 @@ def temporal_bias(
     df: DataFrame, fit_on: DataFrame, truth: str, prediction: str, window: int = 20, date: str = S.DATE, out: str = "corrected"
 ) -> DataFrame:
     """Prediction plus the smoothed bias of its date; the overall mean residual for other dates."""
-    smooth = smoothed_bias(date_bias(fit_on, truth, prediction, date), window, date)
-    overall = fit_on.agg(F.avg(F.col(truth) - F.col(prediction))).scalar()
+    gap = F.col(truth) - F.col(prediction)
+    sums = checkpointed(fit_on.groupBy(date).agg(F.avg(gap).alias("bias"), F.count(gap).alias("_n")))
+    smooth = smoothed_bias(sums, window, date)
+    overall = sums.agg(F.try_divide(F.sum(F.col("bias") * F.col("_n")), F.sum("_n"))).scalar()
     found = map_lookup_fallback(df, smooth, [date], "smoothed", overall, "_bias")
     return found.withColumn(out, F.col(prediction) + F.col("_bias")).drop("_bias")
 
@@ -126,8 +129,6 @@ def blend_weight_search(
 
     The data are read once, for the per-date sums; each round scores a fixed number of candidates on them.
     """
-    from tickloom.session import checkpointed
-
     sums = checkpointed(blend_sums(df, models, truth, weight, date))
     order = [F.desc("score"), *[F.col(f"w{i}") for i in range(len(models))]]
     lattice = simplex_lattice(len(models), steps)

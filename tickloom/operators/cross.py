@@ -124,7 +124,8 @@ def _ranked(
 def _window_rank(column: str, group: list[str], method: str, tiebreak: Sequence[str], seed: int) -> Column:
     by_value = F.col(column).asc_nulls_last()
     w = Window.partitionBy(*group).orderBy(by_value)
-    peers = F.count("*").over(Window.partitionBy(*group, column))
+    # Rows with the same value, in the same sort as the rank.
+    peers = F.count("*").over(w.rangeBetween(Window.currentRow, Window.currentRow))
     if method == "average":
         rank = F.rank().over(w) + (peers - 1) / 2
     elif method == "min":

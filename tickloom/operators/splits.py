@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tickloom import schema as S
 from tickloom.plans import sizing
+from tickloom.session import checkpointed
 
 
 def distinct_dates(df: DataFrame, date: str = S.DATE) -> DataFrame:
@@ -28,42 +29,50 @@ def _numbered(df: DataFrame, date: str) -> DataFrame:
     )
 
 
-def _folds(tests: DataFrame, date: str) -> DataFrame:
-    return tests.groupBy("fold_idx").agg(F.min(date).alias("lo"), F.max(date).alias("hi"))
+def calendar(df: DataFrame, date: str = S.DATE) -> DataFrame:
+    """The distinct dates, derived once: everything about folds follows from this small table."""
+    return checkpointed(distinct_dates(df, date).select(F.col(date).cast("int").alias(date)))
 
 
-def test_chunks(df: DataFrame, n_splits: int, date: str = S.DATE) -> DataFrame:
+def _chunks(dates: DataFrame, n_splits: int, date: str) -> DataFrame:
     """Consecutive chunks of dates; the first ones take one date more if the division leaves a rest."""
-    chunk = (F.ntile(n_splits).over(Window.orderBy(date)) - 1).alias("fold_idx")
-    return distinct_dates(df, date).select(chunk, F.col(date))
+    return dates.select((F.ntile(n_splits).over(Window.orderBy(date)) - 1).alias("fold_idx"), date)
 
 
-def fold_range_join(df: DataFrame, n_splits: int, purge: int, embargo: int, date: str = S.DATE) -> DataFrame:
-    """The purged dates before and the embargoed dates after each fold's test window, by date value."""
-    folds = _folds(test_chunks(df, n_splits, date), date)
+def _bounds(tests: DataFrame, date: str) -> DataFrame:
+    return tests.groupBy("fold_idx").agg(F.min(date).alias("lo"), F.max(date).alias("hi"))
 
+
+def _zones(dates: DataFrame, bounds: DataFrame, purge: int, embargo: int, date: str) -> DataFrame:
     def zone(role: str, first, last, size: int) -> DataFrame:
-        if size <= 0:
-            days = F.array().cast("array<int>")
-        else:
-            days = F.sequence(first.cast("int"), last.cast("int"))
-        return folds.select("fold_idx", F.explode(days).alias(date), F.lit(role).alias("role"))
+        days = F.sequence(first, last) if size > 0 else F.array().cast("array<int>")
+        return bounds.select("fold_idx", F.explode(days).alias(date), F.lit(role).alias("role"))
 
     purged = zone("purge", F.col("lo") - purge, F.col("lo") - 1, purge)
     embargoed = zone("embargo", F.col("hi") + 1, F.col("hi") + embargo, embargo)
-    known = distinct_dates(df, date).withColumn(date, F.col(date).cast("int"))
-    return purged.unionByName(embargoed).join(known, date).select("fold_idx", date, "role")
+    return purged.unionByName(embargoed).join(dates, date).select("fold_idx", date, "role")
 
 
-def fold_exclusion(df: DataFrame, n_splits: int, purge: int, embargo: int, date: str = S.DATE) -> DataFrame:
-    """Dates that may train for each fold: every date that is not tested, purged or embargoed."""
-    tests = test_chunks(df, n_splits, date).withColumn(date, F.col(date).cast("int"))
-    barred = tests.unionByName(fold_range_join(df, n_splits, purge, embargo, date).drop("role"))
-    dates = distinct_dates(df, date).select(F.col(date).cast("int").alias(date))
+def _allowed(dates: DataFrame, tests: DataFrame, zones: DataFrame, n_splits: int, date: str) -> DataFrame:
+    barred = tests.select("fold_idx", date).unionByName(zones.select("fold_idx", date))
     folds = dates.select(F.explode(F.sequence(F.lit(0), F.lit(n_splits - 1))).alias("fold_idx"), date)
     return folds.join(barred, ["fold_idx", date], "left_anti")
 
 
+def fold_range_join(df: DataFrame, n_splits: int, purge: int, embargo: int, date: str = S.DATE) -> DataFrame:
+    """The purged dates before and the embargoed dates after each fold's test window, by date value."""
+    dates = calendar(df, date)
+    return _zones(dates, _bounds(_chunks(dates, n_splits, date), date), purge, embargo, date)
+
+
+def fold_exclusion(df: DataFrame, n_splits: int, purge: int, embargo: int, date: str = S.DATE) -> DataFrame:
+    """Dates that may train for each fold: every date that is not tested, purged or embargoed."""
+    dates = calendar(df, date)
+    tests = _chunks(dates, n_splits, date)
+    zones = _zones(dates, _bounds(tests, date), purge, embargo, date)
+    return _allowed(dates, tests, zones, n_splits, date)
+
+
 def purged_kfold(
     df: DataFrame,
     n_splits: int = 5,
@@ -76,18 +85,19 @@ def purged_kfold(
     """Folds with purge and embargo; folds with too few training dates are left out."""
     if n_splits < 2:
         raise ValueError("n_splits must be at least 2")
-    tests = test_chunks(df, n_splits, date).withColumn(date, F.col(date).cast("int"))
-    candidates = fold_exclusion(df, n_splits, purge, embargo, date)
+    dates = calendar(df, date)
+    tests = _chunks(dates, n_splits, date)
+    bounds = _bounds(tests, date)
+    candidates = _allowed(dates, tests, _zones(dates, bounds, purge, embargo, date), n_splits, date)
     if forward_only:
-        candidates = (
-            candidates.join(F.broadcast(_folds(tests, date)), "fold_idx")
-            .where(F.col(date) < F.col("lo"))
-            .select("fold_idx", date)
-        )
-    enough = candidates.groupBy("fold_idx").agg(F.count("*").alias("n")).where(F.col("n") >= min_train_dates)
-    train = candidates.withColumn("role", F.lit("train"))
-    val = tests.withColumn("role", F.lit("val"))
-    return train.unionByName(val).join(F.broadcast(enough.select("fold_idx")), "fold_idx", "left_semi")
+        candidates = candidates.join(bounds, "fold_idx").where(F.col(date) < F.col("lo")).select("fold_idx", date)
+    size = F.count("*").over(Window.partitionBy("fold_idx"))
+    train = candidates.withColumn("_size", size).where(F.col("_size") >= min_train_dates)
+    train = train.select("fold_idx", date, F.lit("train").alias("role"))
+    val = tests.select("fold_idx", date, F.lit("val").alias("role"))
+    if min_train_dates > 0:
+        val = val.join(train.select("fold_idx").distinct(), "fold_idx", "left_semi")
+    return train.unionByName(val)
 
 
 def checked_purged_kfold(df: DataFrame, n_splits: int = 5, date: str = S.DATE, **options) -> DataFrame:
@@ -160,8 +170,12 @@ def fold_role_join(df: DataFrame, folds: DataFrame, date: str = S.DATE) -> DataF
 
 
 def fold_rows(df: DataFrame, folds: DataFrame, fold: int, role: str, date: str = S.DATE) -> DataFrame:
+    """Rows of one side of a fold. The range of its dates reaches the scan, so files outside are skipped."""
     dates = folds.where((F.col("fold_idx") == fold) & (F.col("role") == role)).select(date)
-    return df.join(sizing.lookup_side(dates), date, "left_semi")
+    ends = dates.agg(F.min(date).alias("lo"), F.max(date).alias("hi")).first()
+    if ends["lo"] is None:
+        return df.where(F.lit(False))
+    return df.where(F.col(date).between(ends["lo"], ends["hi"])).join(sizing.lookup_side(dates), date, "left_semi")
 
 
 def fold_overlap(folds: DataFrame, date: str = S.DATE) -> DataFrame:

@@ -24,7 +24,7 @@ from tickloom import schema as S
 from tickloom.functions.scalar import dynamic_min_leaf, scaled_alpha, with_time_decay
 from tickloom.operators import cross, metrics, splits
 from tickloom.operators.sampling import sample_by_group
-from tickloom.plans import sizing
+from tickloom.session import checkpointed
 
 VECTOR = "_features"
 
@@ -220,7 +220,7 @@ def cv_train(
     """Fit each fold on its training dates and predict its validation dates."""
     models, parts, rows = [], [], []
     keep = list(dict.fromkeys([*keys, S.DATE, target, weight]))
-    folds = sizing.settled(folds)
+    folds = checkpointed(folds)
     for k in fold_numbers(folds):
         train, val = splits.fold_rows(df, folds, k, "train"), splits.fold_rows(df, folds, k, "val")
         model = fit(train, features, params, val=val if early_stop else None, kind=kind, target=target, weight=weight)
@@ -387,6 +387,7 @@ def fold_score(
     df: DataFrame, folds: DataFrame, features: Sequence[str], target: str = S.TARGET, weight: str = S.WEIGHT
 ) -> Callable[[dict[str, Any], int], float]:
     """Mean daily score of one fold for given parameters."""
+    folds = checkpointed(folds)
 
     def score(params: dict[str, Any], fold: int) -> float:
         train, val = splits.fold_rows(df, folds, fold, "train"), splits.fold_rows(df, folds, fold, "val")

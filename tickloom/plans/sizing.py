@@ -62,7 +62,3 @@ def lookup_side(df: DataFrame) -> DataFrame:
     kept = checkpointed(df)
     return F.broadcast(kept) if kept.count() <= BROADCAST_ROWS else kept
 
-
-def settled(df: DataFrame) -> DataFrame:
-    """``df`` written once if it would otherwise be derived again from a large input on every use."""
-    return df if estimated_bytes(df) <= ONE_TASK_BYTES else checkpointed(df)
