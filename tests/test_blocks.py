@@ -169,3 +169,14 @@ def test_chain_split_equals_plain(hot_events):
 
     a, b = chain(None), chain(30)
     same(a.fit_transform(hot_events), b.fit_transform(hot_events), a.feature_names_out)
+
+
+@pytest.mark.parametrize("values", [[], [None], [3.0], [3.0, 9.0], [1.0, 2.0, 9.0], [1.0] * 50 + [2.0] * 49 + [None], list(range(1000))])
+def test_exact_medians(spark, values):
+    """Tiny inputs, ties and even counts, where a bracket may miss the middle."""
+    rows = [(None if v is None else float(v), 1.0) for v in values]
+    df = spark.createDataFrame(rows, "x double, y double")
+    got = {r["column"]: r["median"] for r in cross.exact_medians(df, ["x", "y"]).collect()}
+    want = pd.Series([r[0] for r in rows], dtype=float).median()
+    assert got.get("x") == (None if pd.isna(want) else want)
+    assert got.get("y") == (1.0 if rows else None)

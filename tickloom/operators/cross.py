@@ -259,13 +259,40 @@ def rank_percentile(
 
 
 def exact_medians(df: DataFrame, columns: Sequence[str], blocks: int | None = None) -> DataFrame:
-    """Exact median per column as (column, median), from value counts; no column sits in one task."""
-    long = df.select(
-        F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns]))
-    )
+    """Exact median per column as (column, median).
+
+    A sketch brackets each median within a few percent of the rows. One pass counts the rows below and
+    inside the brackets, which proves that they hold the middle; a bracket that does not is opened. Then
+    only the values inside are counted and ordered.
+    """
+    columns = list(columns)
+    values = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    brackets = []
+    for ends in values.approxQuantile(columns, [0.49, 0.51], 0.002):
+        brackets.append((ends[0], ends[1]) if ends else (None, None))
+    tallies = []
+    for i, (c, (low, high)) in enumerate(zip(columns, brackets)):
+        tallies.append(F.count(c).alias(f"n{i}"))
+        tallies.append(F.count_if(F.col(c) < F.lit(low)).alias(f"below{i}"))
+        tallies.append(F.count_if(F.col(c).between(F.lit(low), F.lit(high))).alias(f"inside{i}"))
+    tally = values.agg(*tallies).first()
+    cells, ranks = [], []
+    for i, (c, (low, high)) in enumerate(zip(columns, brackets)):
+        n, below, inside = tally[f"n{i}"], tally[f"below{i}"], tally[f"inside{i}"]
+        first, last = (n + 1) // 2, n // 2 + 1
+        kept = F.col(c)
+        if below < first and last <= below + inside:
+            kept = F.when(kept.between(F.lit(low), F.lit(high)), kept)
+        else:
+            below = 0
+        cells.append(F.struct(F.lit(c).alias("column"), kept.alias("value")))
+        ranks.append((c, first - below, last - below))
+    long = values.select(F.inline(F.array(*cells))).where(F.col("value").isNotNull())
     at = counted_positions(long, "value", ["column"], split=sizing.find_split(long, ["column"], blocks))
-    sizes = long.where("value is not null").groupBy("column").agg(F.count("*").alias("size"))
-    low, high = F.floor((F.col("size") + 1) / 2), F.floor(F.col("size") / 2) + 1
+    wanted = df.sparkSession.createDataFrame(ranks, "column string, first bigint, last bigint")
     end = F.col("before") + F.col("n")
-    middle = ((F.col("before") < low) & (low <= end)) | ((F.col("before") < high) & (high <= end))
-    return at.join(F.broadcast(sizes), "column").where(middle).groupBy("column").agg(F.avg("value").alias("median"))
+    middle = ((F.col("before") < F.col("first")) & (F.col("first") <= end)) | (
+        (F.col("before") < F.col("last")) & (F.col("last") <= end)
+    )
+    found = at.join(F.broadcast(wanted), "column").where(middle)
+    return found.groupBy("column").agg(F.avg("value").alias("median"))
