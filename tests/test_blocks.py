@@ -34,8 +34,35 @@ def test_lag_and_rolling(hot_events, n):
         (win.rolling_features, dict(windows=[5], stats=["mean"], min_periods=3)),
     ):
         plain = fn(hot_events, columns, **options, **args)
-        split = fn(hot_events, columns, **options, **args, blocks=n)
-        same(plain, split, [c for c in plain.columns if c not in hot_events.columns])
+        names = [c for c in plain.columns if c not in hot_events.columns]
+        same(plain, fn(hot_events, columns, **options, **args, blocks=n), names)
+        same(plain, fn(hot_events, columns, **options, **args, blocks=n, batches=True), names)
+
+
+@pytest.mark.parametrize("size", [7, 10_000])
+def test_batches_equal_windows(spark, hot_events, size):
+    """Batches smaller than the frames, and entities that end inside a batch."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+    try:
+        columns = ["feature_00", "feature_01"]
+        options = dict(windows=[1, 2, 20], stats=list(win.STATS), min_periods=2, order=ORDER)
+        plain = win.rolling_features(hot_events, columns, batches=False, **options)
+        names = [c for c in plain.columns if c not in hot_events.columns]
+        same(plain, win.rolling_features(hot_events, columns, batches=True, **options), names)
+        keys = dict(entity=["symbol_id", "date_id"], order=["time_id", "event_id"])
+        plain = win.lag_features(hot_events, ["event_id", "feature_01"], [1, 9], batches=False, **keys)
+        out = win.lag_features(hot_events, ["event_id", "feature_01"], [1, 9], batches=True, **keys)
+        assert out.schema["event_id_lag1"].dataType == plain.schema["event_id_lag1"].dataType
+        same(plain, out, ["event_id_lag1", "event_id_lag9", "feature_01_lag1", "feature_01_lag9"])
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_null_entity_in_batches(spark):
+    rows = [(None, i, float(i)) for i in range(4)] + [(1, i, float(10 * i)) for i in range(4)]
+    df = spark.createDataFrame(rows, "symbol_id int, event_id int, x double")
+    a, b = (win.rolling_features(df, ["x"], [2], ["mean"], order=["event_id"], batches=x) for x in (True, False))
+    assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
 
 
 @pytest.mark.parametrize("n", [None, 3, 400])
@@ -158,16 +185,17 @@ def test_large_lookup_is_not_broadcast(hot_events, monkeypatch):
     assert not hinted()
 
 
-def test_chain_split_equals_plain(hot_events):
-    def chain(n):
+@pytest.mark.parametrize("batches", [False, True])
+def test_chain_split_equals_plain(hot_events, batches):
+    def chain(n, how=None):
         return FeatureChain(
             [
-                LagStep(["feature_00"], [3], order=ORDER, blocks=n),
-                RollingStep(["feature_01"], [4], ["mean", "max"], order=ORDER, blocks=n),
+                LagStep(["feature_00"], [3], order=ORDER, blocks=n, batches=how),
+                RollingStep(["feature_01"], [4], ["mean", "max"], order=ORDER, blocks=n, batches=how),
             ]
         )
 
-    a, b = chain(None), chain(30)
+    a, b = chain(None), chain(30, batches)
     same(a.fit_transform(hot_events), b.fit_transform(hot_events), a.feature_names_out)
 
 

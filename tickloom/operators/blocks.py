@@ -8,11 +8,13 @@ can reach, computes, and drops them. The sample only places the cuts; every row
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tickloom.operators import trailing
+from tickloom.operators.trailing import Trailing
 from tickloom.plans import sizing
 from tickloom.plans.sizing import Split
 from tickloom.session import checkpointed
@@ -21,8 +23,8 @@ BLOCK = "_block"
 _EDGES = "_edges"
 _HALO = "_halo"
 _SAMPLES_PER_BLOCK = 20
-
-Columns = Callable[[WindowSpec], dict[str, Column]]
+# Frame updates per row up to which window expressions are the faster way.
+UPDATES_IN_WINDOWS = 40
 
 
 def order_position(df: DataFrame, order: Sequence[str]) -> Column:
@@ -127,26 +129,29 @@ def _reaching_rows(
 
 def entity_windows(
     df: DataFrame,
-    columns: Columns,
+    items: Sequence[Trailing],
     *,
     entity: Sequence[str],
     order: Sequence[str],
-    inputs: Sequence[str],
-    reach: int,
     blocks: int | None = None,
+    batches: bool | None = None,
 ) -> DataFrame:
-    """Add windowed columns per entity in ``order``; frames look back at most ``reach`` rows.
+    """Add trailing columns per entity in ``order``.
 
-    ``columns`` maps a window to the new columns and ``inputs`` names the columns they read. With
-    ``blocks=None`` the plain window is used when every entity fits one task.
+    Entities too large for one task are cut (``blocks`` forces it). Large inputs with many frame updates
+    per row go through Arrow batches, others through window expressions (``batches`` forces either).
     """
+    if batches is None:
+        many = trailing.updates_per_row(items) > UPDATES_IN_WINDOWS
+        batches = many and sizing.estimated_bytes(df) > sizing.ONE_TASK_BYTES
+    add = trailing.add_in_batches if batches else trailing.add_in_windows
     split = sizing.find_split(df, entity, blocks)
     if split is None:
-        return df.withColumns(columns(Window.partitionBy(*entity).orderBy(*order)))
+        return add(df, items, list(entity), list(order))
+    inputs = list(dict.fromkeys(i.column for i in items))
     blocked = with_blocks(df, entity, order, split)
     # Only entities that were cut have rows to pass on.
     cut = blocked.join(sizing.lookup_side(split.hot.select(*entity)), list(entity), "left_semi")
-    halo = _reaching_rows(cut, entity, order, inputs, reach)
+    halo = _reaching_rows(cut, entity, order, inputs, trailing.reach(items))
     rows = blocked.withColumn(_HALO, F.lit(False)).unionByName(halo, allowMissingColumns=True)
-    window = Window.partitionBy(*entity, BLOCK).orderBy(*order)
-    return rows.withColumns(columns(window)).where(~F.col(_HALO)).drop(_HALO, BLOCK)
+    return add(rows, items, [*entity, BLOCK], list(order)).where(~F.col(_HALO)).drop(_HALO, BLOCK)

@@ -5,17 +5,16 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom import schema as S
-from tickloom.functions.scalar import EPS
 from tickloom.operators.blocks import BLOCK, entity_windows, with_blocks
+from tickloom.operators.trailing import STATS, lag_items, rolling_items
 from tickloom.plans import sizing
 
 ENTITY = (S.SYMBOL,)
 ORDER = (S.DATE, S.TIME)
-STATS = ("mean", "std", "min", "max", "zscore")
 
 
 def check_lags(lags: Sequence[int]) -> None:
@@ -31,34 +30,6 @@ def check_rolling(windows: Sequence[int], stats: Sequence[str]) -> None:
         raise ValueError(f"unknown statistics {unknown}, choose from {list(STATS)}")
 
 
-def lag_exprs(columns: Sequence[str], lags: Sequence[int], w: WindowSpec) -> dict[str, Column]:
-    return {f"{c}_lag{k}": F.lag(c, k).over(w) for c in columns for k in lags}
-
-
-def rolling_exprs(
-    columns: Sequence[str], windows: Sequence[int], stats: Sequence[str], min_periods: int, w: WindowSpec
-) -> dict[str, Column]:
-    """Statistics of the last ``win`` rows, the current one included."""
-    out: dict[str, Column] = {}
-    for c in columns:
-        for win in windows:
-            frame = w.rowsBetween(-(win - 1), 0)
-            mean, std = F.avg(c).over(frame), F.stddev_samp(c).over(frame)
-            made = {
-                "mean": mean,
-                "std": std,
-                "min": F.min(c).over(frame),
-                "max": F.max(c).over(frame),
-                "zscore": (F.col(c) - mean) / (std + F.lit(EPS)),
-            }
-            for stat in stats:
-                value = made[stat]
-                if min_periods > 1:
-                    value = F.when(F.count(c).over(frame) >= min_periods, value)
-                out[f"{c}_roll{win}_{stat}"] = value
-    return out
-
-
 def lag_features(
     df: DataFrame,
     columns: Sequence[str],
@@ -66,18 +37,11 @@ def lag_features(
     entity: Sequence[str] = ENTITY,
     order: Sequence[str] = ORDER,
     blocks: int | None = None,
+    batches: bool | None = None,
 ) -> DataFrame:
     """The value ``k`` rows earlier of the same entity, across dates and gaps."""
     check_lags(lags)
-    return entity_windows(
-        df,
-        lambda w: lag_exprs(columns, lags, w),
-        entity=entity,
-        order=order,
-        inputs=columns,
-        reach=max(lags),
-        blocks=blocks,
-    )
+    return entity_windows(df, lag_items(columns, lags), entity=entity, order=order, blocks=blocks, batches=batches)
 
 
 def rolling_features(
@@ -89,18 +53,12 @@ def rolling_features(
     order: Sequence[str] = ORDER,
     min_periods: int = 1,
     blocks: int | None = None,
+    batches: bool | None = None,
 ) -> DataFrame:
+    """Statistics of the last rows of the same entity, the current row included."""
     check_rolling(windows, stats)
-    reach = max(max(windows) - 1, 1)
-    return entity_windows(
-        df,
-        lambda w: rolling_exprs(columns, windows, stats, min_periods, w),
-        entity=entity,
-        order=order,
-        inputs=columns,
-        reach=reach,
-        blocks=blocks,
-    )
+    items = rolling_items(columns, windows, stats, min_periods)
+    return entity_windows(df, items, entity=entity, order=order, blocks=blocks, batches=batches)
 
 
 def _run_length(decay: float) -> int:

@@ -11,11 +11,12 @@ from collections.abc import Callable, Sequence
 from dataclasses import asdict, dataclass, field
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, SparkSession, WindowSpec
+from pyspark.sql import DataFrame, SparkSession
 
 from tickloom import schema as S
-from tickloom.operators import cross, windows
+from tickloom.operators import cross, trailing, windows
 from tickloom.operators.blocks import entity_windows
+from tickloom.operators.trailing import Trailing
 
 
 class Step:
@@ -52,38 +53,37 @@ class Step:
 
 @dataclass
 class EntityStep(Step):
-    """A step whose columns are windows over the entity's rows in order."""
+    """A step whose columns look back over the entity's rows in order."""
 
     columns: list[str]
     entity: list[str] = field(default_factory=lambda: list(windows.ENTITY), kw_only=True)
     order: list[str] = field(default_factory=lambda: list(windows.ORDER), kw_only=True)
     blocks: int | None = field(default=None, kw_only=True)
+    batches: bool | None = field(default=None, kw_only=True)
+
+    def items(self) -> list[Trailing]:
+        raise NotImplementedError
 
     @property
     def reach(self) -> int:
-        raise NotImplementedError
+        return trailing.reach(self.items())
 
-    def exprs(self, w: WindowSpec) -> dict[str, Column]:
-        raise NotImplementedError
+    def names(self) -> list[str]:
+        return [i.name for i in self.items()]
+
+    def placement(self) -> tuple:
+        return (self.entity, self.order, self.blocks, self.batches)
 
     def add(self, df: DataFrame) -> DataFrame:
         return add_entity_steps(df, [self])
 
 
 def add_entity_steps(df: DataFrame, steps: Sequence[EntityStep]) -> DataFrame:
-    """All steps over one window; they must agree on entity and order."""
+    """All steps in one pass; they must agree on entity and order."""
     first = steps[0]
-
-    def columns(w: WindowSpec) -> dict[str, Column]:
-        made: dict[str, Column] = {}
-        for step in steps:
-            made |= step.exprs(w)
-        return made
-
-    inputs = list(dict.fromkeys(c for step in steps for c in step.columns))
-    reach = max(step.reach for step in steps)
+    items = [i for step in steps for i in step.items()]
     return entity_windows(
-        df, columns, entity=first.entity, order=first.order, inputs=inputs, reach=reach, blocks=first.blocks
+        df, items, entity=first.entity, order=first.order, blocks=first.blocks, batches=first.batches
     )
 
 
@@ -94,15 +94,8 @@ class LagStep(EntityStep):
     def __post_init__(self) -> None:
         windows.check_lags(self.lags)
 
-    @property
-    def reach(self) -> int:
-        return max(self.lags)
-
-    def names(self) -> list[str]:
-        return [f"{c}_lag{k}" for c in self.columns for k in self.lags]
-
-    def exprs(self, w: WindowSpec) -> dict[str, Column]:
-        return windows.lag_exprs(self.columns, self.lags, w)
+    def items(self) -> list[Trailing]:
+        return trailing.lag_items(self.columns, self.lags)
 
 
 @dataclass
@@ -114,15 +107,8 @@ class RollingStep(EntityStep):
     def __post_init__(self) -> None:
         windows.check_rolling(self.windows, self.stats)
 
-    @property
-    def reach(self) -> int:
-        return max(1, max(self.windows) - 1)
-
-    def names(self) -> list[str]:
-        return [f"{c}_roll{w}_{s}" for c in self.columns for w in self.windows for s in self.stats]
-
-    def exprs(self, w: WindowSpec) -> dict[str, Column]:
-        return windows.rolling_exprs(self.columns, self.windows, self.stats, self.min_periods, w)
+    def items(self) -> list[Trailing]:
+        return trailing.rolling_items(self.columns, self.windows, self.stats, self.min_periods)
 
 
 @dataclass
@@ -238,11 +224,7 @@ class FeatureChain:
         for step in self.steps:
             if isinstance(step, EntityStep):
                 made = {n for p in pending for n in p.names()}
-                alike = not pending or (pending[0].entity, pending[0].order, pending[0].blocks) == (
-                    step.entity,
-                    step.order,
-                    step.blocks,
-                )
+                alike = not pending or pending[0].placement() == step.placement()
                 if not alike or made & set(step.columns):
                     df = flush(df)
                 pending.append(step)

@@ -6,12 +6,14 @@ batch size bounds what a task holds; with very uneven entities use ``FeatureStre
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 from typing import Any
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
@@ -20,6 +22,9 @@ from tickloom import schema as S
 from tickloom.operators.windows import ORDER, check_lags, check_rolling
 from tickloom.session import scratch_path
 
+# Workers get the processor itself, so they do not need this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
