@@ -46,11 +46,11 @@ def holdout_split(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("expanding_partitions", f"""WITH {LI}, p AS (SELECT CAST(floor(date_id / 250.0) AS INTEGER) AS partition_id, weight FROM li)
   SELECT CAST(v AS INTEGER) AS val_partition, count_if(partition_id < v) AS train_rows, count_if(partition_id = v) AS val_rows
-  FROM p, (SELECT unnest(range(1, 6)) AS v) WHERE partition_id <= v GROUP BY v""")
+  FROM p, (SELECT unnest(range(1, 10)) AS v) WHERE partition_id <= v GROUP BY v""")
 def expanding_partitions(spark: SparkSession, folder: str) -> DataFrame:
     df = spark.read.parquet(stored_panel(spark, folder))
     out = None
-    for v, train, val in splits.expanding_partitions(df, 1, 5):
+    for v, train, val in splits.expanding_partitions(df, 1, 9):
         rows = train.select(F.lit(1).alias("t")).unionByName(val.select(F.lit(0).alias("t")))
         row = rows.agg(
             F.lit(v).alias("val_partition"),
@@ -61,16 +61,18 @@ def expanding_partitions(spark: SparkSession, folder: str) -> DataFrame:
     return out
 
 
-@query("sliding_retrain", f"""WITH {LI}, w AS (SELECT CAST(d AS INTEGER) AS first_date FROM (SELECT unnest(range(1000, 2400, 350)) AS d)),
+@query("sliding_retrain", f"""WITH {LI}, e AS (SELECT max(date_id) AS last FROM li),
+  w AS (SELECT CAST(1000 + 350 * k AS INTEGER) AS first_date FROM (SELECT unnest(range(100)) AS k), e WHERE 1000 + 350 * k <= last),
   m AS (SELECT first_date, sum(weight * responder_6) / sum(weight) AS mu FROM w JOIN li ON date_id BETWEEN first_date - 1000 AND first_date - 1 GROUP BY 1)
-  SELECT first_date, count(*) AS n_rows, {s6('max(mu)', 'mean_prediction')} FROM m JOIN li ON date_id BETWEEN first_date AND least(first_date + 349, 2399) GROUP BY 1""")
+  SELECT first_date, count(*) AS n_rows, {s6('max(mu)', 'mean_prediction')} FROM m JOIN li ON date_id BETWEEN first_date AND first_date + 349 GROUP BY 1""")
 def sliding_retrain(spark: SparkSession, folder: str) -> DataFrame:
     """A mean refitted every 350 days on the 1000 days before, through the date-range scan."""
     from tickloom.operators import baselines
     from tickloom.sources import scan
 
     path, out = stored_panel(spark, folder), None
-    for lo, hi, end in splits.sliding_windows(0, 2399, 350, 1000):
+    last = spark.read.parquet(path).agg(F.max(S.DATE)).first()[0]
+    for lo, hi, end in splits.sliding_windows(0, last, 350, 1000):
         train, rows = scan.scan_date_range(spark, path, (lo, hi)), scan.scan_date_range(spark, path, (hi + 1, end))
         scored = baselines.weighted_mean_baseline(train, rows)
         part = scored.agg(

@@ -252,8 +252,8 @@ def random_search(spark: SparkSession, folder: str) -> DataFrame:
 def backtest_records(spark: SparkSession, folder: str) -> DataFrame:
     """Boosted trees and ridge over expanding partitions."""
     df = spark.read.parquet(stored_panel(spark, folder)).drop(S.PREDICTION)
-    trees = models.partition_backtest(df, 2, 3, FEATURES, {**SMALL, "n_estimators": 2}, reference_rows=10_000)
-    linear = models.ridge_backtest(df, 2, 3, ["feature_00", "feature_01"], 500.0, 10_000)
+    trees = models.partition_backtest(df, 8, 9, FEATURES, {**SMALL, "n_estimators": 2}, reference_rows=10_000)
+    linear = models.ridge_backtest(df, 8, 9, ["feature_00", "feature_01"], 500.0, 10_000)
     return models.records_table(df, [{"model": "trees", **r} for r in trees] + [{"model": "ridge", **r} for r in linear])
 
 

@@ -177,10 +177,18 @@ def group_moments(df: DataFrame, columns: Sequence[str], group: Sequence[str]) -
 
 
 def with_group_moments(
-    df: DataFrame, columns: Sequence[str], group: Sequence[str], blocks: int | None = None
+    df: DataFrame,
+    columns: Sequence[str],
+    group: Sequence[str],
+    blocks: int | None = None,
+    sized_by: DataFrame | None = None,
 ) -> DataFrame:
-    """Add ``{c}_mean`` and ``{c}_std`` of the row's group."""
-    return _with_moments(df, columns, group, sizing.find_split(df, group, blocks))
+    """Add ``{c}_mean`` and ``{c}_std`` of the row's group.
+
+    ``sized_by`` is a table with the same rows in which groups are cheaper to count.
+    """
+    split = sizing.find_split(df if sized_by is None else sized_by, group, blocks)
+    return _with_moments(df, columns, group, split)
 
 
 def _with_moments(df: DataFrame, columns: Sequence[str], group: Sequence[str], split: Split | None) -> DataFrame:
@@ -203,12 +211,13 @@ def xs_rank(
     tiebreak: Sequence[str] = (),
     seed: int = 42,
     blocks: int | None = None,
+    sized_by: DataFrame | None = None,
 ) -> DataFrame:
     """Rank within the snapshot; with ``normalize`` centred and scaled by the snapshot's ranks."""
     _check_method(method, tiebreak)
     keep = df.columns
     names = [f"{c}_xrank" for c in columns]
-    split = sizing.find_split(df, group, blocks)
+    split = sizing.find_split(df if sized_by is None else sized_by, group, blocks)
     for c, name in zip(columns, names):
         df = _ranked(df, c, list(group), method, name, tiebreak, seed, split)
     if not normalize:
@@ -221,10 +230,14 @@ def xs_rank(
 
 
 def xs_zscore(
-    df: DataFrame, columns: Sequence[str], group: Sequence[str] = tuple(S.SNAPSHOT), blocks: int | None = None
+    df: DataFrame,
+    columns: Sequence[str],
+    group: Sequence[str] = tuple(S.SNAPSHOT),
+    blocks: int | None = None,
+    sized_by: DataFrame | None = None,
 ) -> DataFrame:
     """(x - mean) / (sample deviation + 1e-8) within the snapshot."""
-    moments = with_group_moments(df, columns, group, blocks)
+    moments = with_group_moments(df, columns, group, blocks, sized_by)
     scaled = [
         ((F.col(c) - F.col(f"{c}_mean")) / (F.col(f"{c}_std") + F.lit(EPS))).alias(f"{c}_xzscore")
         for c in columns
@@ -233,10 +246,14 @@ def xs_zscore(
 
 
 def cs_zscore_safe(
-    df: DataFrame, columns: Sequence[str], group: Sequence[str] = tuple(S.SNAPSHOT), blocks: int | None = None
+    df: DataFrame,
+    columns: Sequence[str],
+    group: Sequence[str] = tuple(S.SNAPSHOT),
+    blocks: int | None = None,
+    sized_by: DataFrame | None = None,
 ) -> DataFrame:
     """(x - mean) / deviation where the deviation is usable, else 0; as float."""
-    moments = with_group_moments(df, columns, group, blocks)
+    moments = with_group_moments(df, columns, group, blocks, sized_by)
     scaled = [
         conditional_zscore(F.col(c), F.col(f"{c}_mean"), F.col(f"{c}_std")).cast("float").alias(f"{c}_cs_zscore")
         for c in columns

@@ -111,13 +111,13 @@ def _batch_function(items: list[Trailing], group: list[str], names: list[str]) -
                 at = np.arange(first, first + n) - i.size
                 made[i.name] = rows[i.column].take(pa.array(at, mask=age < i.size))
             if stats:
-                x = np.column_stack([rows[c].cast(pa.float64()).to_numpy(zero_copy_only=False) for c in columns])
+                x = np.vstack([rows[c].cast(pa.float64()).to_numpy(zero_copy_only=False) for c in columns])
                 for size in sorted({i.size for i in stats}):
                     here = [i for i in stats if i.size == size]
                     values, count = _statistics(x, age, first, size, back, {i.kind for i in here})
                     for i in here:
                         j = columns.index(i.column)
-                        value = np.where(count[:, j] >= i.min_periods, values[i.kind][:, j], np.nan)
+                        value = np.where(count[j] >= i.min_periods, values[i.kind][j], np.nan)
                         made[i.name] = pa.array(value, from_pandas=True)
             past = {c: rows[c].slice(max(0, first + n - back)) for c in used}
             yield pa.RecordBatch.from_arrays([*batch.columns, *[made[i.name] for i in items]], names=names)
@@ -140,39 +140,42 @@ def _age(keys: list[pa.Array]) -> np.ndarray:
 def _statistics(
     x: np.ndarray, age: np.ndarray, first: int, size: int, back: int, kinds: set[str]
 ) -> tuple[dict[str, np.ndarray], np.ndarray]:
-    """Statistics of the last ``size`` rows for the rows from ``first`` on, all columns at once.
+    """Statistics of the last ``size`` rows for the rows from ``first`` on; ``x`` holds one column per line.
 
     Adds the rows of the frame one offset at a time; deviations are taken from the finished mean.
     """
-    n = len(x) - first
-    padded = np.vstack([np.full((back, x.shape[1]), np.nan), x])
-
-    def shifted(k: int) -> np.ndarray:
-        rows = padded[back + first - k : back + first - k + n].copy()
-        rows[age < k] = np.nan
-        return rows
-
-    count = np.zeros((n, x.shape[1]))
+    n = x.shape[1] - first
+    padded = np.hstack([np.full((len(x), back), np.nan), x])
+    known = ~np.isnan(padded)
+    value = np.where(known, padded, 0.0)
+    known = known.astype(float)
+    # Offsets that leave the entity for some row get a mask; the others need none.
+    inside = {k: age >= k for k in range(int(age.min()) + 1, size)}
+
+    def at(table: np.ndarray, k: int) -> np.ndarray:
+        rows = table[:, back + first - k : back + first - k + n]
+        return rows * inside[k] if k in inside else rows
+
+    count = np.zeros((len(x), n))
     total = np.zeros_like(count)
-    low = np.full_like(count, np.nan)
-    high = np.full_like(count, np.nan)
     for k in range(size):
-        rows = shifted(k)
-        known = ~np.isnan(rows)
-        count += known
-        total += np.where(known, rows, 0.0)
-        if "min" in kinds:
-            low = np.fmin(low, rows)
-        if "max" in kinds:
-            high = np.fmax(high, rows)
-    out = {"min": low, "max": high}
+        count += at(known, k)
+        total += at(value, k)
+    out: dict[str, np.ndarray] = {}
     with np.errstate(divide="ignore", invalid="ignore"):
         out["mean"] = total / count
         if kinds & {"std", "zscore"}:
+            centre = np.where(count > 0, out["mean"], 0.0)
             square = np.zeros_like(count)
             for k in range(size):
-                gap = shifted(k) - out["mean"]
-                square += np.where(np.isnan(gap), 0.0, gap * gap)
+                gap = (value[:, back + first - k : back + first - k + n] - centre) * at(known, k)
+                square += gap * gap
             out["std"] = np.where(count > 1, np.sqrt(square / (count - 1)), np.nan)
-            out["zscore"] = (x[first:] - out["mean"]) / (out["std"] + EPS)
+            out["zscore"] = (x[:, first:] - out["mean"]) / (out["std"] + EPS)
+    for kind, pick in (("min", np.fmin), ("max", np.fmax)):
+        if kind in kinds:
+            out[kind] = np.full_like(count, np.nan)
+            for k in range(size):
+                rows = padded[:, back + first - k : back + first - k + n]
+                out[kind] = pick(out[kind], np.where(inside[k], rows, np.nan) if k in inside else rows)
     return out, count

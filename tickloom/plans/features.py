@@ -126,8 +126,17 @@ class EwmStep(Step):
         return windows.ewm_mean(df, self.columns, self.spans, self.entity, self.order, self.blocks)
 
 
+class SnapshotStep(Step):
+    """A step over the rows of one snapshot."""
+
+    group: list[str]
+
+    def add(self, df: DataFrame, sized_by: DataFrame | None = None) -> DataFrame:
+        raise NotImplementedError
+
+
 @dataclass
-class RankStep(Step):
+class RankStep(SnapshotStep):
     columns: list[str]
     method: str = "average"
     normalize: bool = True
@@ -138,14 +147,15 @@ class RankStep(Step):
     def names(self) -> list[str]:
         return [f"{c}_xrank{'_norm' if self.normalize else ''}" for c in self.columns]
 
-    def add(self, df: DataFrame) -> DataFrame:
+    def add(self, df: DataFrame, sized_by: DataFrame | None = None) -> DataFrame:
         return cross.xs_rank(
-            df, self.columns, self.group, self.method, self.normalize, self.tiebreak, blocks=self.blocks
+            df, self.columns, self.group, self.method, self.normalize, self.tiebreak,
+            blocks=self.blocks, sized_by=sized_by,
         )
 
 
 @dataclass
-class ZScoreStep(Step):
+class ZScoreStep(SnapshotStep):
     columns: list[str]
     group: list[str] = field(default_factory=lambda: list(S.SNAPSHOT))
     safe: bool = False
@@ -154,9 +164,9 @@ class ZScoreStep(Step):
     def names(self) -> list[str]:
         return [f"{c}_{'cs_zscore' if self.safe else 'xzscore'}" for c in self.columns]
 
-    def add(self, df: DataFrame) -> DataFrame:
+    def add(self, df: DataFrame, sized_by: DataFrame | None = None) -> DataFrame:
         scored = cross.cs_zscore_safe if self.safe else cross.xs_zscore
-        return scored(df, self.columns, self.group, self.blocks)
+        return scored(df, self.columns, self.group, self.blocks, sized_by)
 
 
 @dataclass
@@ -215,6 +225,8 @@ class FeatureChain:
 
     def _apply(self, df: DataFrame, upto: Step | None = None) -> DataFrame:
         pending: list[EntityStep] = []
+        # Steps add columns, never rows, so groups are counted on the plain input.
+        source = df
 
         def flush(table: DataFrame) -> DataFrame:
             out = add_entity_steps(table, pending) if pending else table
@@ -228,8 +240,12 @@ class FeatureChain:
                 if not alike or made & set(step.columns):
                     df = flush(df)
                 pending.append(step)
+            elif isinstance(step, SnapshotStep) and step.fitted and set(step.group) <= set(source.columns):
+                df = step.add(flush(df), sized_by=source)
             else:
                 df = step.transform(flush(df))
+                if isinstance(step, FunctionStep):
+                    source = df
             if step is upto:
                 break
         return flush(df)
