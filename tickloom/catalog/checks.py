@@ -12,7 +12,6 @@ from tickloom.catalog.common import (
 from tickloom.catalog.tables import _ROLES
 from tickloom.operators import profile, quality, splits
 from tickloom.operators import windows as win
-from tickloom.session import scratch_path
 
 _PURGED = """t AS (SELECT ntile(5) OVER (ORDER BY date_id) - 1 AS fold_idx, date_id FROM (SELECT DISTINCT date_id FROM ev)),
   b AS (SELECT fold_idx, min(date_id) AS lo, max(date_id) AS hi FROM t GROUP BY fold_idx),

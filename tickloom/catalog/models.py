@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom import schema as S
-from tickloom.catalog.common import EV, LI, big, events_panel, lineitem_panel, query, r6, rounded, s6, stored_panel
+from tickloom.catalog.common import LI, lineitem_panel, query, r6, rounded, s6, stored_panel
 from tickloom.catalog.windows import SMOOTH
 from tickloom.operators import baselines, blend, metrics, splits
 from tickloom.plans import models

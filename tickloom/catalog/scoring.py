@@ -7,11 +7,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom import schema as S
-from tickloom.catalog.common import EV, LI, ORDER, W_E, events_panel, lineitem_panel, query, r6, rounded, s6
+from tickloom.catalog.common import EV, LI, events_panel, lineitem_panel, query, r6, rounded, s6
 from tickloom.catalog.windows import DAILY_SQL, daily_scores
-from tickloom.operators import baselines, blend, metrics, profile, sampling
+from tickloom.operators import baselines, blend, metrics, profile
 from tickloom.operators import cross
-from tickloom.operators import windows as win
 
 
 def _sums(spark: SparkSession, folder: str) -> DataFrame:

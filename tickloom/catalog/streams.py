@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom import schema as S
-from tickloom.catalog.common import EV, ORDER, W_E, events_panel, query, r6, rounded, s6
+from tickloom.catalog.common import EV, ORDER, W_E, events_panel, query, rounded, s6
 from tickloom.catalog.windows import _frame
 from tickloom.plans.features import LagStep, RollingStep
 from tickloom.session import scratch_path

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tickloom import schema as S
 from tickloom.catalog.common import (
-    EV, GRID, LI, ORDER, big, events_panel, grid_panel, lag_table, lineitem_panel, query, r6, rounded, s6,
+    EV, GRID, LI, events_panel, grid_panel, lag_table, lineitem_panel, query, r6, rounded, s6,
     stored_panel,
 )
 from tickloom.functions import scalar

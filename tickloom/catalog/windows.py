@@ -7,9 +7,8 @@ from pyspark.sql import functions as F
 
 from tickloom import schema as S
 from tickloom.catalog.common import (
-    EV, LI, ORDER, SQL, W_E, big, events_panel, lineitem_panel, query, r6, rounded, s6,
+    EV, LI, ORDER, W_E, big, events_panel, lineitem_panel, query, r6, rounded, s6,
 )
-from tickloom.functions.scalar import EPS
 from tickloom.operators import blend, cross, joins, metrics, sampling, splits
 from tickloom.operators import windows as win
 from tickloom.plans import features as plan
