@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import decontaminate, hilbert, url_reputation
+from tickloom.llm import decontaminate, hilbert, near_dedup, url_reputation
 from tickloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,3 +39,8 @@ def op8_url_reputation(spark: SparkSession, folder: str) -> DataFrame:
 def op9_hilbert_shards(spark: SparkSession, folder: str) -> DataFrame:
     out = hilbert.hilbert_shards(table(spark, folder, "documents"))
     return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query("op10_near_dedup", near_dedup.SQL)
+def op10_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, folder, "documents"))
