@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import decontaminate, hilbert, near_dedup, url_reputation
+from tickloom.llm import decontaminate, hilbert, line_dedup, near_dedup, url_reputation
 from tickloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -44,3 +44,8 @@ def op9_hilbert_shards(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_near_dedup", near_dedup.SQL)
 def op10_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, folder, "documents"))
+
+
+@query("op4_line_dedup")
+def op4_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return line_dedup.drop_recurring_lines(table(spark, folder, "documents")).select("doc_id", "text")
