@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import decontaminate, hilbert, line_dedup, near_dedup, url_reputation
+from tickloom.llm import decontaminate, hilbert, line_dedup, near_dedup, secret_grammar, toxicity, url_reputation
 from tickloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -49,3 +49,13 @@ def op10_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query("op4_line_dedup")
 def op4_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup.drop_recurring_lines(table(spark, folder, "documents")).select("doc_id", "text")
+
+
+@query("op2_secret_grammar")
+def op2_secret_grammar(spark: SparkSession, folder: str) -> DataFrame:
+    return secret_grammar.secret_report(table(spark, folder, "documents"))
+
+
+@query("op7_toxicity")
+def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.toxicity_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
