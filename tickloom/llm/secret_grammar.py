@@ -29,11 +29,11 @@ _TOKEN = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-"
 
 # Labelled credentials per kind, and ordinary tokens, that an automaton is inferred from; the first by hash.
-FIT_ROWS = 400
+FIT_ROWS = 1500
 FIT_SYMBOLS = 128
 ALPHA = 0.05
 # Bits per symbol by which a credential automaton must beat the ordinary one.
-MARGIN = 1.0
+MARGIN = 1.7
 
 FOUND = "array<struct<kind:string,start:long,end:long,value:string>>"
 
