@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import decontaminate, hilbert, line_dedup, near_dedup, secret_grammar, toxicity, url_reputation
+from tickloom.llm import decontaminate, hilbert, line_dedup, near_dedup, neighbours, secret_grammar, toxicity, url_reputation
 from tickloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -59,3 +59,8 @@ def op2_secret_grammar(spark: SparkSession, folder: str) -> DataFrame:
 @query("op7_toxicity")
 def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.toxicity_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query("op3_nearest_neighbours")
+def op3_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return neighbours.nearest(table(spark, folder, "embeddings"))
