@@ -22,11 +22,20 @@ def ascii_lower(column: Column) -> Column:
     return F.translate(column, UPPER, LOWER)
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: cuts lineage and survives lost executors."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def stored(df: DataFrame, name: str, batch_rows: int | None = None) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back: cuts lineage and survives lost executors.
+
+    ``batch_rows`` is the number of rows that go to Python at once while this is written; texts are large.
+    """
+    spark, setting = df.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    path, before = scratch_path(spark, name), spark.conf.get(setting)
+    if batch_rows:
+        spark.conf.set(setting, batch_rows)
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(setting, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def partitions(spark: SparkSession) -> int:

@@ -30,6 +30,8 @@ DEPTH = 6
 # Least number of equal tokens, of 64, that sends a pair to the check on full sets: at similarity 0.75, 48 are
 # expected and fewer than 30 happen once in ten million pairs.
 AGREE = 30
+# Rows with texts that a Python worker gets at once.
+TEXT_ROWS = 500
 
 
 def _sets(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -96,7 +98,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, docs: DataFrame, percent: int)
     left = texts.select(F.col("sid").alias("a"), F.col("text").alias("_a"))
     right = texts.select(F.col("sid").alias("b"), F.col("text").alias("_b"))
     checked = pairs.join(left, "a").join(right, "b").where(full("_a", "_b"))
-    return stored(checked.select("a", "b"), "links")
+    return stored(checked.select("a", "b"), "links", TEXT_ROWS)
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, trees: int = TREES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -115,7 +117,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, trees: int = TREES,
     base = base.withColumn("key", F.xxhash64("id", "text"))
     describe = F.pandas_udf(_sets, "n long, sid string, sig binary")
     agreement = F.pandas_udf(_agreement, "int")
-    rows = stored(base.select("id", "key", describe("text").alias("s")).select("id", "key", "s.*"), "rows")
+    rows = stored(base.select("id", "key", describe("text").alias("s")).select("id", "key", "s.*"), "rows", TEXT_ROWS)
     sets = rows.where("sid is not null").groupBy("sid").agg(
         F.min("key").alias("key"), F.min("id").alias("min_id"), F.first("n").alias("n"), F.first("sig").alias("sig")
     )
