@@ -3,18 +3,46 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tickloom.llm import decontaminate
+from tickloom.llm import byte_bpe, decontaminate, line_dedup, near_dedup, toxicity
 from tickloom.llm.common import stored, table
+from tickloom.llm.queries import vocabulary
 
 
-def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score below one half."""
+    return toxicity.drop_toxic(docs, table(spark, sf_dir, "labels"))
+
+
+def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the lines of recurring templates; ``n_chars`` follows the text."""
+    return line_dedup.drop_recurring_lines(docs).withColumn("n_chars", F.length("text").cast("long"))
+
+
+def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates."""
+    return near_dedup.keep_one(docs)
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark window."""
     return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
+def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, the token ids of the text, their number, and the bytes that they decode to."""
+    ranks = vocabulary()
+    encoded = byte_bpe.encode(docs.select("doc_id", "text"), ranks)
+    return encoded.select("doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"), byte_bpe.decode(F.col("ids"), ranks).alias("decoded"))
+
+
 STAGES = [
-    ("decontamination", decontamination),
+    ("toxicity", toxicity_stage),
+    ("line_dedup", line_dedup_stage),
+    ("near_dedup", near_dedup_stage),
+    ("decontamination", decontamination_stage),
+    ("byte_bpe", encoding_stage),
 ]
 
 # Boosted trees and iterated merges have no SQL form; tests compare the stages with brute force.

@@ -112,6 +112,12 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, trees: int = TREES,
     component has null ids. Repeated rows share one id and one fate. An empty table gives an empty result; only the id
     and the text are read. A node of any size is handled whole: what is too dense to branch is compared in blocks.
     """
+    found = _verdicts(docs, percent, trees, id_col, text_col)
+    return found.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id", "kept")
+
+
+def _verdicts(docs: DataFrame, percent: int, trees: int, id_col: str, text_col: str) -> DataFrame:
+    """Per row: id, key (hash of id and text), n, component_id, kept."""
     spark = docs.sparkSession
     base = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
     base = base.withColumn("key", F.xxhash64("id", "text"))
@@ -179,11 +185,9 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, trees: int = TREES,
     by_set = by_set.select("sid", "min_id", F.coalesce("root", "v").alias("root"))
     least = by_set.groupBy("root").agg(F.min("min_id").alias("component_id"))
     answer = stored(by_set.join(least, "root").select("sid", "component_id"), "answer")
-    out = rows.select("id", "n", "sid").join(answer, "sid", "left")
+    out = rows.select("id", "key", "n", "sid").join(answer, "sid", "left")
     component = F.when(F.col("sid").isNull(), F.col("id")).otherwise(F.col("component_id"))
-    return out.select(
-        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept")
-    )
+    return out.select("id", "key", "n", component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"))
 
 
 def _rest(level: DataFrame, percent: int) -> list[DataFrame]:
@@ -222,15 +226,15 @@ def _rest(level: DataFrame, percent: int) -> list[DataFrame]:
     return found
 
 
-def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+def keep_one(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents that stay: one of each component, with the columns they came with.
 
-    Repeated rows with one id are one document and one row of them stays.
+    What goes is found again by a hash of id and text, so rows that repeat one id and text share one fate.
     """
-    verdict = near_duplicates(docs, percent).where("kept").groupBy("doc_id").agg(F.first("n_shingles").alias("n"))
-    mark = free_name(docs.columns, "_row")
-    kept = docs.join(verdict.select(F.col("doc_id").alias(mark)), F.col("doc_id").eqNullSafe(F.col(mark)), "left_semi")
-    return kept
+    mark = free_name(docs.columns, "_key")
+    gone = _verdicts(docs, percent, TREES, id_col, text_col).where("not kept").select(F.col("key").alias(mark)).distinct()
+    keyed = docs.withColumn(mark, F.xxhash64(F.col(f"`{id_col}`"), F.col(f"`{text_col}`")))
+    return keyed.join(lookup_side(stored(gone, "gone")), mark, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 SQL = r"""WITH w AS (SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), []) AS w FROM documents),

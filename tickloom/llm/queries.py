@@ -7,9 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import decontaminate, hilbert, line_dedup, near_dedup, neighbours, secret_grammar, toxicity, url_reputation
+from tickloom.llm import byte_bpe, decontaminate, hilbert, line_dedup, near_dedup, neighbours, secret_grammar, toxicity, url_reputation
 from tickloom.llm.common import table
 
+def vocabulary() -> byte_bpe.Ranks:
+    """The ranks that the queries encode by."""
+    import public_tokenizers
+
+    return byte_bpe.Ranks.load(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
@@ -64,3 +71,8 @@ def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 @query("op3_nearest_neighbours")
 def op3_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     return neighbours.nearest(table(spark, folder, "embeddings"))
+
+
+@query("op5_byte_bpe")
+def op5_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return byte_bpe.token_report(table(spark, folder, "documents"), vocabulary())
