@@ -24,12 +24,17 @@ from tickloom.plans.sizing import lookup_side
 
 PERCENT = 75
 TREES = 12
-NODE = 64
+# A node is small if it has so few pairs across components.
+NODE_PAIRS = 16384
 BRANCHES = 2
 DEPTH = 6
+# Rounds in which every vertex is checked against heads of its nodes before any node is compared exhaustively.
+STARS = 3
 # Least number of equal tokens, of 64, that sends a pair to the check on full sets: at similarity 0.75, 48 are
-# expected and fewer than 30 happen once in ten million pairs.
-AGREE = 30
+# expected and fewer than 34 happen once in 70,000 pairs of a component's few direct links.
+AGREE = 34
+# At the last level: members of a dense node that meet so many others at once, and those others, in one task.
+BLOCK, PART = 64, 4096
 # Rows with texts that a Python worker gets at once.
 TEXT_ROWS = 500
 
@@ -54,10 +59,13 @@ def _cross_pairs(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     held = None
 
     def pairs(node: pd.DataFrame) -> list[tuple[str, str]]:
+        # The largest component comes last: its members need no comparison among each other.
+        main = node["label"] == node["label"].mode().iloc[0]
+        others, node = int((~main).sum()), pd.concat([node[~main], node[main]])
         sig = np.frombuffer(b"".join(node["sig"]), np.uint32).reshape(-1, COORDINATES)
         label, sid, n = node["label"].to_numpy(), node["sid"].to_numpy(), node["n"].to_numpy()
         out = []
-        for k in range(len(node) - 1):
+        for k in range(others):
             near = (sig[k + 1:] == sig[k]).sum(axis=1) >= AGREE
             near &= (label[k + 1:] != label[k]) & (100 * np.minimum(n[k + 1:], n[k]) >= PERCENT * np.maximum(n[k + 1:], n[k]))
             out += [(min(sid[k], o), max(sid[k], o)) for o in sid[k + 1:][near]]
@@ -129,15 +137,11 @@ def _verdicts(docs: DataFrame, percent: int, trees: int, id_col: str, text_col:
     )
     sets = stored(sets, "sets")
 
-    # Roots of all trees: one chosen token each.
+    # Roots of all trees: one chosen token each; what stands alone in a node has no partner there.
     steps = F.array(*[F.struct(F.lit(t).alias("t"), F.expr(_value(str(t))).alias("v")) for t in range(trees)])
     nodes = sets.select("sid", F.explode(F.transform(steps, lambda s: F.xxhash64(s["t"], s["v"]))).alias("node"))
-    heads = nodes.groupBy("node").agg(F.min("sid").alias("head"), F.count("*").alias("size")).where("size > 1")
-    members = stored(nodes.join(heads, "node").select("node", "sid", "head"), "members")
-
-    # First each set against the head that most of its nodes share.
-    votes = members.where("sid <> head").groupBy("sid", "head").agg(F.count("*").alias("votes"))
-    best = votes.groupBy("sid").agg(F.max(F.struct("votes", "head")).alias("m")).select(F.col("m.head").alias("a"), F.col("sid").alias("b"))
+    shared = nodes.groupBy("node").agg(F.count("*").alias("size")).where("size > 1").select("node")
+    members = stored(nodes.join(shared, "node"), "members")
 
     def plausible(pairs: DataFrame) -> DataFrame:
         x = sets.select(F.col("sid").alias("a"), F.col("n").alias("_na"), F.col("sig").alias("_sa"))
@@ -145,44 +149,64 @@ def _verdicts(docs: DataFrame, percent: int, trees: int, id_col: str, text_col:
         sized = pairs.join(x, "a").join(y, "b").where(f"100 * least(_na, _nb) >= {percent} * greatest(_na, _nb)")
         return sized.where(agreement("_sa", "_sb") >= AGREE).select("a", "b")
 
-    links = confirmed(stored(plausible(best), "candidates"), sets, base, percent)
-    labels = components(links)
-
-    # Then, in nodes that hold more than one component, all pairs across components; large nodes branch first.
     def labelled(df: DataFrame) -> DataFrame:
+        if labels is None:
+            return df.withColumn("label", F.col("sid"))
         known = labels.select(F.col("v").alias("sid"), F.col("root"))
         return df.join(known, "sid", "left").withColumn("label", F.coalesce("root", "sid")).drop("root")
 
     def mixed(df: DataFrame) -> DataFrame:
-        stats = df.groupBy("node").agg(F.count("*").alias("size"), F.min("label").alias("_lo"), F.max("label").alias("_hi"))
-        return df.join(stats.where("_lo <> _hi").select("node", "size"), "node")
-
+        """The rows of nodes that hold more than one component, with the number of pairs across components."""
+        per_label = df.groupBy("node", "label").agg(F.count("*").alias("_c"))
+        stats = per_label.groupBy("node").agg(F.expr("(sum(_c) * sum(_c) - sum(_c * _c)) div 2").alias("cross"))
+        return df.join(stats.where("cross > 0"), "node")
+
+    def joined_by(links: DataFrame) -> DataFrame:
+        """Components of all links so far: the new ones contracted by those known before."""
+        if labels is None:
+            return components(links)
+        ends = labelled(links.withColumnRenamed("a", "sid")).select(F.col("label").alias("a"), F.col("b").alias("sid"))
+        new = components(labelled(ends).select("a", F.col("label").alias("b")))
+        # Roots of before move to their new roots; vertices that had no link yet come in.
+        moved = labels.join(new.select(F.col("v").alias("root"), F.col("root").alias("_to")), "root", "left")
+        moved = moved.select("v", F.coalesce("_to", "root").alias("root"))
+        return stored(moved.unionByName(new.join(labels.select("v"), "v", "left_anti").select("v", "root")), "labels")
+
+    labels = None
+    for turn in range(STARS):
+        # A node's head is a member of the component that has most members there; another one each time.
+        here = members if labels is None else stored(mixed(labelled(members)).select("node", "sid", "label"), "mixed")
+        if labels is None:
+            heads = here.groupBy("node").agg(F.min(F.struct(F.xxhash64("sid"), "sid")).alias("h")).select("node", F.col("h.sid").alias("a"))
+            pairs = here.join(heads, "node").where("sid <> a").groupBy("sid", "a").agg(F.count("*").alias("votes"))
+            pairs = pairs.groupBy("sid").agg(F.max(F.struct("votes", "a")).alias("m")).select("m.a", F.col("sid").alias("b"))
+        else:
+            most = here.groupBy("node", "label").agg(F.count("*").alias("n"), F.min(F.struct(F.xxhash64("sid", F.lit(turn)), "sid")).alias("h"))
+            heads = most.groupBy("node").agg(F.max(F.struct("n", "label", "h.sid")).alias("m")).select("node", F.col("m.sid").alias("a"), F.col("m.label").alias("_head"))
+            pairs = here.join(heads, "node").where("label <> _head").select("a", F.col("sid").alias("b")).distinct()
+        labels = joined_by(confirmed(stored(plausible(pairs), "candidates"), sets, base, percent))
+
+    # Then, in nodes that still hold more than one component, all pairs across components; large nodes branch first.
     level = mixed(labelled(members.select("node", "sid"))).join(sets.select("sid", "n", "sig"), "sid")
-    level = stored(level.select("node", "sid", "label", "n", "sig", "size"), "level")
+    level = stored(level.select("node", "sid", "label", "n", "sig", "cross"), "level")
     found = []
     for _ in range(DEPTH):
-        small = level.where(F.col("size") <= NODE).drop("size").repartition(partitions(spark), "node").sortWithinPartitions("node", "sid")
+        small = level.where(F.col("cross") <= NODE_PAIRS).drop("cross").repartition(partitions(spark), "node").sortWithinPartitions("node", "sid")
         found.append(stored(small.mapInPandas(_cross_pairs, "a string, b string").distinct(), "pairs"))
-        large = level.where(F.col("size") > NODE)
+        large = level.where(F.col("cross") > NODE_PAIRS)
         if large.isEmpty():
             break
         pick = lambda j: f"{trees} + pmod(xxhash64(node, {j}), {COORDINATES - trees})"
         child = F.array(*[F.xxhash64("node", F.lit(j), F.expr(_value(pick(j)))) for j in range(BRANCHES)])
-        children = large.drop("size").withColumn("node", F.explode(F.array_distinct(child)))
-        level = stored(mixed(children).select("node", "sid", "label", "n", "sig", "size"), "level")
+        children = large.drop("cross").withColumn("node", F.explode(F.array_distinct(child)))
+        level = stored(mixed(children).select("node", "sid", "label", "n", "sig", "cross"), "level")
     else:
         found += _rest(level, percent)
     pairs = found[0]
     for more in found[1:]:
         pairs = pairs.unionByName(more)
-    more = confirmed(stored(pairs.distinct(), "candidates"), sets, base, percent)
-
-    # Contract the new links by the components known so far.
-    ends = labelled(more.withColumnRenamed("a", "sid")).select(F.col("label").alias("a"), F.col("b").alias("sid"))
-    ends = labelled(ends).select("a", F.col("label").alias("b"))
-    joined = components(ends)
-    by_set = labelled(sets.select("sid", "min_id")).withColumnRenamed("label", "v").join(joined, "v", "left")
-    by_set = by_set.select("sid", "min_id", F.coalesce("root", "v").alias("root"))
+    labels = joined_by(confirmed(stored(pairs.distinct(), "candidates"), sets, base, percent))
+    by_set = labelled(sets.select("sid", "min_id")).withColumnRenamed("label", "root")
     least = by_set.groupBy("root").agg(F.min("min_id").alias("component_id"))
     answer = stored(by_set.join(least, "root").select("sid", "component_id"), "answer")
     out = rows.select("id", "key", "n", "sid").join(answer, "sid", "left")
@@ -191,38 +215,37 @@ def _verdicts(docs: DataFrame, percent: int, trees: int, id_col: str, text_col:
 
 
 def _rest(level: DataFrame, percent: int) -> list[DataFrame]:
-    """Exact way for the nodes of the last level, of any size: blocks of ``NODE`` members against all members.
+    """Exact way for the nodes of the last level, of any size: blocks of about ``BLOCK`` members against all members.
 
-    A block is an array on its node's row; it meets the members by the node's key, and only pairs of different
-    components with enough equal tokens leave the task.
+    One block of each node at a time meets the node's members, which are dealt in parts; both are arrays in a task,
+    and only pairs of different components with enough equal tokens leave it.
     """
     if level.isEmpty():
         return []
-    level = stored(level.select("node", "sid", "label", "n", "sig"), "dense")
-    # Blocks by hash: about NODE members each, so that no block grows with its node.
     sizes = level.groupBy("node").agg(F.count("*").alias("size"))
-    block = F.pmod(F.xxhash64("sid", "node"), F.greatest(F.lit(1).cast("long"), F.floor(F.col("size") / NODE)))
-    dealt = stored(level.join(sizes, "node").withColumn("block", block), "dealt")
-    blocks = dealt.groupBy("node", "block").agg(F.collect_list(F.struct("sid", "label", "n", "sig")).alias("leaders"))
+    deal = lambda rows, salt: F.pmod(F.xxhash64("sid", "node", F.lit(salt)), F.greatest(F.lit(1).cast("long"), F.floor(F.col("size") / rows)))
+    dealt = level.join(sizes, "node").withColumns({"block": deal(BLOCK, 1), "part": deal(PART, 2)})
+    dealt = stored(dealt.select("node", "part", "block", "size", "sid", "label", "n", "sig"), "dealt")
     last = dealt.agg(F.max("block").alias("b")).first()["b"]
 
-    @F.pandas_udf(T.ArrayType(T.StringType()))
-    def near(sid: pd.Series, label: pd.Series, n: pd.Series, sig: pd.Series, leaders: pd.Series) -> pd.Series:
-        out = []
-        for s, lab, size, own, group in zip(sid, label, n, sig, leaders, strict=True):
-            mine = np.frombuffer(own, np.uint32)
-            out.append([
-                g["sid"] for g in group
-                if g["sid"] < s and g["label"] != lab and 100 * min(g["n"], size) >= percent * max(g["n"], size)
-                and int((np.frombuffer(g["sig"], np.uint32) == mine).sum()) >= AGREE
-            ])
-        return pd.Series(out)
+    def meet(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
+        if not len(x) or not len(y):
+            return pd.DataFrame({"a": pd.Series(dtype=object), "b": pd.Series(dtype=object)})
+        sig = np.frombuffer(b"".join(y["sig"]), np.uint32).reshape(-1, COORDINATES)
+        sid, label, n, out = y["sid"].to_numpy(), y["label"].to_numpy(), y["n"].to_numpy(), []
+        for s, lab, size, own in zip(x["l_sid"], x["l_label"], x["l_n"], x["l_sig"], strict=True):
+            near = (sig == np.frombuffer(own, np.uint32)).sum(axis=1) >= AGREE
+            near &= (label != lab) & (100 * np.minimum(n, size) >= percent * np.maximum(n, size))
+            out += [(min(s, o), max(s, o)) for o in sid[near]]
+        return pd.DataFrame(out, columns=["a", "b"])
 
     found = []
     for b in range(int(last) + 1):
-        meet = level.join(blocks.where(F.col("block") == b).select("node", "leaders"), "node")
-        pairs = meet.select(F.explode(near("sid", "label", "n", "sig", "leaders")).alias("a"), F.col("sid").alias("b"))
-        found.append(stored(pairs.distinct(), "pairs"))
+        parts = F.sequence(F.lit(0).cast("long"), F.greatest(F.lit(1).cast("long"), F.floor(F.col("size") / PART)) - 1)
+        leaders = dealt.where(F.col("block") == b).select("node", F.explode(parts).alias("part"), *[F.col(c).alias(f"l_{c}") for c in ("sid", "label", "n", "sig")])
+        others = dealt.select("node", "part", "sid", "label", "n", "sig")
+        both = leaders.groupBy("node", "part").cogroup(others.groupBy("node", "part"))
+        found.append(stored(both.applyInPandas(meet, "a string, b string").distinct(), "pairs"))
     return found
 
 
