@@ -33,8 +33,10 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, the token ids of the text, their number, and the bytes that they decode to."""
     ranks = vocabulary()
-    encoded = byte_bpe.encode(docs.select("doc_id", "text"), ranks)
-    return encoded.select("doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"), byte_bpe.decode(F.col("ids"), ranks).alias("decoded"))
+    slim = docs.select("doc_id", "text")
+    encoded = stored(byte_bpe.encode(slim, ranks).select("doc_id", "ids"), "ids", byte_bpe.TEXT_ROWS)
+    decoded = byte_bpe.decoder(ranks, docs)(F.col("ids"))
+    return encoded.select("doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"), decoded.alias("decoded"))
 
 
 STAGES = [

@@ -1,10 +1,13 @@
 """Byte-level BPE: ranked merges folded by higher-order functions, and decoding by joining pieces.
 
 A text is cut before every space that a non-space follows; the tokenizer's pattern never matches across such a cut, so
-the cuts' words can be encoded one by one. The most frequent distinct words of the whole corpus are folded once and
-shared; any other word is folded where it stands. The fold holds the array of token ids of a word, starting with its
-bytes, and the ranks of neighbouring pairs; each step merges the leftmost pair of the lowest rank, looked up in a
-literal map. The map is an array of buckets, so a look-up does not search all pairs.
+the cuts' words can be encoded one by one. The most frequent distinct words of the whole corpus, 400,000 at most, are
+folded in Spark and shared with all tasks; they are nearly all words of a corpus. The fold holds the array of token
+ids of a word, starting with its bytes, and the ranks of neighbouring pairs; each step merges the leftmost pair of the
+lowest rank, looked up in a literal map. The map is an array of buckets, so a look-up does not search all pairs.
+
+Any other word is merged by the same rule in the task that meets it: Spark evaluates lambdas node by node, about 110
+microseconds for a word of ten bytes, too long for every rare word of a large corpus (README has the figures).
 """
 
 from __future__ import annotations
@@ -15,8 +18,8 @@ import json
 import re
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
-from functools import cached_property
+from dataclasses import dataclass
+from hashlib import sha256
 
 import numpy as np
 import pandas as pd
@@ -26,13 +29,16 @@ from pyspark.sql import functions as F
 
 from tickloom.llm.common import free_name, stored
 
-# Most words that are encoded once and shared with all tasks, and the longest of them, in characters.
+# Most words that are folded once and shared with all tasks, and the longest of them, in characters.
 SHARED_WORDS = 400_000
 SHARED_LENGTH = 48
-# A pattern match of more bytes is merged with a heap in the task: the fold takes quadratic time there.
+# A pattern match of more bytes is merged with a heap, in n log n.
 FOLD_BYTES = 256
 BUCKETS = 1 << 16
 TEXT_ROWS = 1000
+# Words that a task remembers besides the shared ones.
+CACHE_WORDS = 200_000
+NONE = 1 << 40
 
 _CUT = re.compile(r"(?= \S)")
 _DOUBTFUL = re.compile(r" (?=\s)")
@@ -44,7 +50,6 @@ class Ranks:
 
     ranks: dict[bytes, int]
     pattern: str
-    _found: dict = field(default_factory=dict)
 
     @classmethod
     def load(cls, path: str, pattern: str) -> Ranks:
@@ -52,14 +57,6 @@ class Ranks:
         with open(path, "rb") as lines:
             return cls({base64.b64decode(a): int(b) for a, b in (line.split() for line in lines if line.strip())}, pattern)
 
-    @cached_property
-    def pieces(self) -> list[str]:
-        """Piece of each id, a character per byte; ids without a piece are empty."""
-        out = [""] * (max(self.ranks.values()) + 1)
-        for piece, rank in self.ranks.items():
-            out[rank] = piece.decode("latin-1")
-        return out
-
     def pairs(self) -> tuple[list[list[int]], list[list[int]]]:
         """All pairs of ids whose pieces join to a piece: per bucket, pair keys and joined ids."""
         keys, values = [[] for _ in range(BUCKETS)], [[] for _ in range(BUCKETS)]
@@ -110,19 +107,33 @@ def heap_merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[piece[start[i]:end[i]]] for i in range(n) if alive[i]]
 
 
+def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """The ids of one pattern match."""
+    whole = ranks.get(piece)
+    if whole is not None:
+        return [whole]
+    if len(piece) > FOLD_BYTES:
+        return heap_merge(piece, ranks)
+    parts = [piece[k:k + 1] for k in range(len(piece))]
+    pairs = [ranks.get(a + b, NONE) for a, b in zip(parts, parts[1:], strict=False)]
+    while pairs and (lowest := min(pairs)) < NONE:
+        k = pairs.index(lowest)
+        parts[k:k + 2] = [parts[k] + parts[k + 1]]
+        del pairs[k]
+        if k:
+            pairs[k - 1] = ranks.get(parts[k - 1] + parts[k], NONE)
+        if k < len(pairs):
+            pairs[k] = ranks.get(parts[k] + parts[k + 1], NONE)
+    return [ranks[p] for p in parts]
+
+
 def start_ids(word: str, vocabulary: Ranks, find: regex.Pattern) -> list[list[int]]:
-    """Ids to start from, per pattern match: the match itself if it is a piece, else its bytes."""
+    """Ids that the fold starts from, per pattern match: the match itself if it is a piece, else its bytes."""
     out, ranks = [], vocabulary.ranks
     for match in find.findall(word):
         piece = match.encode("utf-8", "surrogatepass")
         whole = ranks.get(piece)
-        if whole is not None:
-            out.append([whole])
-        elif len(piece) > FOLD_BYTES:
-            # Already merged: its pairs have no rank any more, so the fold leaves it as it is.
-            out.append(heap_merge(piece, ranks))
-        else:
-            out.append([ranks[bytes([b])] for b in piece])
+        out.append([whole] if whole is not None else [ranks[bytes([b])] for b in piece])
     return out
 
 
@@ -162,8 +173,7 @@ def merge_fold(vocabulary: Ranks):
         pairs = F.when(n > 1, F.transform(F.sequence(F.lit(0), F.greatest(n - 2, F.lit(0))), lambda i: look(F.get(start, i), F.get(start, i + 1)))).otherwise(none)
         zero = bound(pairs, lambda r: state(start, r))
         merged = F.aggregate(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), zero, step, lambda acc: acc["ids"])
-        # Nothing to merge: one id, or a long match that came merged.
-        return F.when((n < 2) | (n > FOLD_BYTES), start).otherwise(merged)
+        return F.when(n < 2, start).otherwise(merged)
 
     return fold
 
@@ -187,7 +197,7 @@ def shared_words(docs: DataFrame, text_col: str, vocabulary: Ranks, shared: int)
     words = docs.select(F.col(f"`{text_col}`").alias("text")).mapInPandas(count, "word string, n long")
     level = F.floor(4 * F.log2("n")).cast("int")
     totals = words.groupBy("word").agg(F.sum("n").alias("n")).where("n > 1").withColumn("level", level)
-    totals = stored(totals, "words")
+    totals = stored(totals, "words", TEXT_ROWS)
     taken, least = 0, None
     for row in sorted(totals.groupBy("level").agg(F.count("*").alias("words")).collect(), key=lambda r: -r["level"]):
         taken += row["words"]
@@ -213,58 +223,83 @@ def encode_words(words: DataFrame, vocabulary: Ranks) -> DataFrame:
     return words.select("word", F.flatten(F.transform(starts("word"), merge_fold(vocabulary))).alias("ids"))
 
 
-def encode(docs: DataFrame, vocabulary: Ranks, text_col: str = "text", out: str = "ids", shared: int = SHARED_WORDS) -> DataFrame:
-    """``docs`` with a column ``out``: the token ids of each whole text, without special tokens.
-
-    No shuffle of texts: a task looks up the shared words and leaves a mark for each other word, whose start ids are
-    folded in the same row and put in the marks' places. Null texts count as empty and have no ids; repeated rows are
-    encoded each; very long words without a space are merged with a heap; an empty table gives an empty result; a
-    column named like ``out`` makes the new one ``out_``.
-    """
+def encoder(docs: DataFrame, vocabulary: Ranks, text_col: str = "text", shared: int = SHARED_WORDS) -> Column:
+    """A column of token ids of ``text_col``; counts and folds the shared words when it is made."""
     sc = docs.sparkSession.sparkContext
     known = sc.broadcast(shared_words(docs, text_col, vocabulary, shared))
     rules = sc.broadcast(vocabulary)
-    name, parts = free_name(docs.columns, out), free_name(docs.columns, "_parts")
 
-    @F.pandas_udf("struct<marked:array<int>,starts:array<array<int>>>")
-    def look_up(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        find, words = regex.compile(rules.value.pattern), known.value
+    class Rare(dict):
+        def __init__(self):
+            super().__init__()
+            self.find = regex.compile(rules.value.pattern)
+
+        def __missing__(self, word: str) -> bytes:
+            ids: list[int] = []
+            for match in self.find.findall(word):
+                ids += merge(match.encode("utf-8", "surrogatepass"), rules.value.ranks)
+            if len(self) >= CACHE_WORDS:
+                self.clear()
+            self[word] = found = np.asarray(ids, "<i4").tobytes()
+            return found
+
+    @F.pandas_udf("array<int>")
+    def encoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        words, rare = known.value, Rare()
         for batch in batches:
-            rows = []
+            out = []
             for text in batch:
-                starts, marks, found = [], {}, []
-                for word in words_of(text) if text else ():
-                    ids = words.get(word) or marks.get(word)
-                    if ids is None:
-                        new = start_ids(word, rules.value, find)
-                        marks[word] = ids = np.arange(-1 - len(starts), -1 - len(starts) - len(new), -1, "<i4").tobytes()
-                        starts += new
-                    found.append(ids)
-                rows.append((np.frombuffer(b"".join(found), "<i4"), starts))
-            yield pd.DataFrame(rows, columns=["marked", "starts"])
+                parts = words_of(text) if text else []
+                out.append(np.frombuffer(b"".join([words.get(w) or rare[w] for w in parts]), "<i4"))
+            yield pd.Series(out)
 
-    marked = docs.withColumn(parts, look_up(F.col(f"`{text_col}`")))
-    start, ids = F.col(f"{parts}.starts"), F.col(f"{parts}.marked")
-    # The folded words are bound to a variable, so they are made once per row.
-    placed = lambda words: F.flatten(F.transform(ids, lambda i: F.when(i < 0, F.get(words, -1 - i)).otherwise(F.array(i))))
-    filled = F.when(F.size(start) == 0, ids).otherwise(F.get(F.transform(F.array(F.transform(start, merge_fold(vocabulary))), placed), F.lit(0)))
-    return marked.withColumn(name, filled).select(*[F.col(f"`{c}`") for c in docs.columns], name)
+    return encoded(F.col(f"`{text_col}`"))
 
 
-def decode(ids: Column, vocabulary: Ranks) -> Column:
-    """The bytes that the ids stand for: their pieces, a character per byte, joined and turned into binary."""
-    pieces = F.from_json(F.lit(json.dumps(vocabulary.pieces)), "array<string>")
-    return F.encode(F.array_join(F.transform(ids, lambda i: F.get(pieces, i)), ""), "ISO-8859-1")
+def encode(docs: DataFrame, vocabulary: Ranks, text_col: str = "text", out: str = "ids", shared: int = SHARED_WORDS) -> DataFrame:
+    """``docs`` with a column ``out``: the token ids of each whole text, without special tokens.
 
+    No shuffle of texts; what is shuffled is a count per distinct word and task. Null texts count as empty and have no
+    ids; repeated rows are encoded each; very long words without a space are merged with a heap; an empty table gives
+    an empty result; a column named like ``out`` makes the new one ``out_``.
+    """
+    return docs.withColumn(free_name(docs.columns, out), encoder(docs, vocabulary, text_col, shared))
+
+
+def decoder(vocabulary: Ranks, df: DataFrame):
+    """A function from a column of ids to the bytes that they stand for: their binary pieces, joined."""
+    rules = df.sparkSession.sparkContext.broadcast(vocabulary)
+
+    @F.pandas_udf("binary")
+    def decoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        piece = {rank: piece for piece, rank in rules.value.ranks.items()}
+        for batch in batches:
+            yield batch.map(lambda ids: b"".join(map(piece.__getitem__, ids.tolist())))
+
+    return decoded
+
+
+def digests(vocabulary: Ranks, df: DataFrame):
+    """A function from a column of ids to (n_tokens, ids_sha256, decoded_sha256)."""
+    rules = df.sparkSession.sparkContext.broadcast(vocabulary)
+
+    @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
+    def digested(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        piece = {rank: piece for piece, rank in rules.value.ranks.items()}
+        name = {rank: str(rank) for rank in piece}
+        for batch in batches:
+            rows = []
+            for ids in batch:
+                ids = ids.tolist()
+                text = " ".join(map(name.__getitem__, ids)).encode()
+                rows.append((len(ids), sha256(text).hexdigest(), sha256(b"".join(map(piece.__getitem__, ids))).hexdigest()))
+            yield pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
 
-def id_digest(ids: Column) -> Column:
-    return F.sha2(F.array_join(ids.cast("array<string>"), " "), 256)
+    return digested
 
 
 def token_report(docs: DataFrame, vocabulary: Ranks, id_col: str = "doc_id") -> DataFrame:
-    """One row per document: doc_id, n_tokens, ids_sha256, decoded_sha256."""
-    encoded = encode(docs.select(id_col, "text"), vocabulary)
-    ids = F.col("ids")
-    return encoded.select(
-        id_col, F.size(ids).cast("long").alias("n_tokens"), id_digest(ids).alias("ids_sha256"), F.sha2(decode(ids, vocabulary), 256).alias("decoded_sha256")
-    )
+    """One row per document: doc_id, n_tokens, ids_sha256, decoded_sha256, from the ids of ``encoder``."""
+    slim = docs.select(id_col, "text")
+    made = slim.select(id_col, digests(vocabulary, docs)(encoder(slim, vocabulary)).alias("d")).select(id_col, "d.*")
+    return stored(made, "tokens", TEXT_ROWS)
