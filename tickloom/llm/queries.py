@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import byte_bpe, decontaminate, hilbert, line_dedup, near_dedup, neighbours, secret_grammar, toxicity, url_reputation
+from tickloom.llm import byte_bpe, chat_repair, decontaminate, hilbert, line_dedup, near_dedup, neighbours, secret_grammar, toxicity, url_reputation
 from tickloom.llm.common import table
 
 def vocabulary() -> byte_bpe.Ranks:
@@ -76,3 +76,8 @@ def op3_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
 @query("op5_byte_bpe")
 def op5_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return byte_bpe.token_report(table(spark, folder, "documents"), vocabulary())
+
+
+@query("op6_chat_repair")
+def op6_chat_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return chat_repair.repaired_turns(table(spark, folder, "conversations"))
