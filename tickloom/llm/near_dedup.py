@@ -24,8 +24,8 @@ from tickloom.plans.sizing import lookup_side
 
 PERCENT = 75
 TREES = 12
-# A node is small if it has so few pairs across components.
-NODE_PAIRS = 16384
+# A node is small if it has at most so many pairs across components and so many members.
+NODE_PAIRS, NODE_ROWS = 1_000_000, 16_384
 BRANCHES = 2
 DEPTH = 6
 # Rounds in which every vertex is checked against heads of its nodes before any node is compared exhaustively.
@@ -54,32 +54,41 @@ def _agreement(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series((x == y).sum(axis=1).astype(np.int32))
 
 
+def _fresh(equal: np.ndarray, small: int, tree: int) -> np.ndarray:
+    """Which rows share no small root of an earlier tree with a member whose small roots are the bits of ``small``.
+
+    A pair that shares one was compared there already, so each pair leaves one node only.
+    """
+    earlier = [t for t in range(min(tree, TREES)) if small >> t & 1]
+    return ~equal[:, earlier].any(axis=1) if earlier else np.ones(len(equal), bool)
+
+
 def _cross_pairs(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Frames of whole nodes in order (a node may span frames): pairs with other labels and enough equal tokens."""
-    held = None
+    held: list[pd.DataFrame] = []
 
-    def pairs(node: pd.DataFrame) -> list[tuple[str, str]]:
+    def pairs(node: pd.DataFrame) -> pd.DataFrame:
         # The largest component comes last: its members need no comparison among each other.
         main = node["label"] == node["label"].mode().iloc[0]
         others, node = int((~main).sum()), pd.concat([node[~main], node[main]])
         sig = np.frombuffer(b"".join(node["sig"]), np.uint32).reshape(-1, COORDINATES)
         label, sid, n = node["label"].to_numpy(), node["sid"].to_numpy(), node["n"].to_numpy()
-        out = []
+        small, tree, out = node["small"].to_numpy(), int(node["tree"].iloc[0]), []
         for k in range(others):
-            near = (sig[k + 1:] == sig[k]).sum(axis=1) >= AGREE
+            equal = sig[k + 1:] == sig[k]
+            near = (equal.sum(axis=1) >= AGREE) & _fresh(equal, int(small[k]), tree)
             near &= (label[k + 1:] != label[k]) & (100 * np.minimum(n[k + 1:], n[k]) >= PERCENT * np.maximum(n[k + 1:], n[k]))
             out += [(min(sid[k], o), max(sid[k], o)) for o in sid[k + 1:][near]]
-        return out
+        return pd.DataFrame(out, columns=["a", "b"])
 
     for frame in frames:
-        if held is not None:
-            frame = pd.concat([held, frame], ignore_index=True)
-        last = frame["node"].iloc[-1]
-        done, held = frame[frame["node"] != last], frame[frame["node"] == last]
-        found = [p for _, node in done.groupby("node", sort=False) for p in pairs(node)]
-        yield pd.DataFrame(found, columns=["a", "b"])
-    if held is not None:
-        yield pd.DataFrame(pairs(held), columns=["a", "b"])
+        for _, node in frame.groupby("node", sort=False):
+            if held and held[0]["node"].iloc[0] != node["node"].iloc[0]:
+                yield pairs(pd.concat(held))
+                held = []
+            held.append(node)
+    if held:
+        yield pairs(pd.concat(held))
 
 
 def _value(at: str) -> str:
@@ -138,8 +147,8 @@ def _verdicts(docs: DataFrame, percent: int, trees: int, id_col: str, text_col:
     sets = stored(sets, "sets")
 
     # Roots of all trees: one chosen token each; what stands alone in a node has no partner there.
-    steps = F.array(*[F.struct(F.lit(t).alias("t"), F.expr(_value(str(t))).alias("v")) for t in range(trees)])
-    nodes = sets.select("sid", F.explode(F.transform(steps, lambda s: F.xxhash64(s["t"], s["v"]))).alias("node"))
+    steps = F.array(*[F.struct(F.lit(t).alias("tree"), F.xxhash64(F.lit(t), F.expr(_value(str(t)))).alias("node")) for t in range(trees)])
+    nodes = sets.select("sid", F.inline(steps))
     shared = nodes.groupBy("node").agg(F.count("*").alias("size")).where("size > 1").select("node")
     members = stored(nodes.join(shared, "node"), "members")
 
@@ -158,7 +167,7 @@ def _verdicts(docs: DataFrame, percent: int, trees: int, id_col: str, text_col:
     def mixed(df: DataFrame) -> DataFrame:
         """The rows of nodes that hold more than one component, with the number of pairs across components."""
         per_label = df.groupBy("node", "label").agg(F.count("*").alias("_c"))
-        stats = per_label.groupBy("node").agg(F.expr("(sum(_c) * sum(_c) - sum(_c * _c)) div 2").alias("cross"))
+        stats = per_label.groupBy("node").agg(F.sum("_c").alias("size"), F.expr("(sum(_c) * sum(_c) - sum(_c * _c)) div 2").alias("cross"))
         return df.join(stats.where("cross > 0"), "node")
 
     def joined_by(links: DataFrame) -> DataFrame:
@@ -187,19 +196,24 @@ def _verdicts(docs: DataFrame, percent: int, trees: int, id_col: str, text_col:
         labels = joined_by(confirmed(stored(plausible(pairs), "candidates"), sets, base, percent))
 
     # Then, in nodes that still hold more than one component, all pairs across components; large nodes branch first.
-    level = mixed(labelled(members.select("node", "sid"))).join(sets.select("sid", "n", "sig"), "sid")
-    level = stored(level.select("node", "sid", "label", "n", "sig", "cross"), "level")
+    is_small = (F.col("cross") <= NODE_PAIRS) & (F.col("size") <= NODE_ROWS)
+    columns = ["node", "tree", "sid", "label", "n", "sig", "small", "cross", "size"]
+    roots = stored(mixed(labelled(members)), "roots")
+    # Bits of the trees whose root is small, so compared at once.
+    small = roots.groupBy("sid").agg(F.bit_or(F.when(is_small, F.pow(F.lit(2), F.col("tree")).cast("int")).otherwise(0)).alias("small"))
+    level = roots.join(small, "sid").join(sets.select("sid", "n", "sig"), "sid")
+    level = stored(level.select(*columns), "level")
     found = []
     for _ in range(DEPTH):
-        small = level.where(F.col("cross") <= NODE_PAIRS).drop("cross").repartition(partitions(spark), "node").sortWithinPartitions("node", "sid")
-        found.append(stored(small.mapInPandas(_cross_pairs, "a string, b string").distinct(), "pairs"))
-        large = level.where(F.col("cross") > NODE_PAIRS)
+        now = level.where(is_small).drop("cross", "size").repartition(partitions(spark), "node").sortWithinPartitions("node", "sid")
+        found.append(stored(now.mapInPandas(_cross_pairs, "a string, b string"), "pairs"))
+        large = level.where(~is_small)
         if large.isEmpty():
             break
         pick = lambda j: f"{trees} + pmod(xxhash64(node, {j}), {COORDINATES - trees})"
         child = F.array(*[F.xxhash64("node", F.lit(j), F.expr(_value(pick(j)))) for j in range(BRANCHES)])
-        children = large.drop("cross").withColumn("node", F.explode(F.array_distinct(child)))
-        level = stored(mixed(children).select("node", "sid", "label", "n", "sig", "cross"), "level")
+        children = large.drop("cross", "size").withColumns({"tree": F.lit(trees), "node": F.explode(F.array_distinct(child))})
+        level = stored(mixed(children).select(*columns), "level")
     else:
         found += _rest(level, percent)
     pairs = found[0]
@@ -224,8 +238,8 @@ def _rest(level: DataFrame, percent: int) -> list[DataFrame]:
         return []
     sizes = level.groupBy("node").agg(F.count("*").alias("size"))
     deal = lambda rows, salt: F.pmod(F.xxhash64("sid", "node", F.lit(salt)), F.greatest(F.lit(1).cast("long"), F.floor(F.col("size") / rows)))
-    dealt = level.join(sizes, "node").withColumns({"block": deal(BLOCK, 1), "part": deal(PART, 2)})
-    dealt = stored(dealt.select("node", "part", "block", "size", "sid", "label", "n", "sig"), "dealt")
+    dealt = level.drop("size").join(sizes, "node").withColumns({"block": deal(BLOCK, 1), "part": deal(PART, 2)})
+    dealt = stored(dealt.select("node", "part", "block", "size", "sid", "label", "n", "sig", "small"), "dealt")
     last = dealt.agg(F.max("block").alias("b")).first()["b"]
 
     def meet(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
@@ -233,8 +247,9 @@ def _rest(level: DataFrame, percent: int) -> list[DataFrame]:
             return pd.DataFrame({"a": pd.Series(dtype=object), "b": pd.Series(dtype=object)})
         sig = np.frombuffer(b"".join(y["sig"]), np.uint32).reshape(-1, COORDINATES)
         sid, label, n, out = y["sid"].to_numpy(), y["label"].to_numpy(), y["n"].to_numpy(), []
-        for s, lab, size, own in zip(x["l_sid"], x["l_label"], x["l_n"], x["l_sig"], strict=True):
-            near = (sig == np.frombuffer(own, np.uint32)).sum(axis=1) >= AGREE
+        for s, lab, size, own, small in zip(x["l_sid"], x["l_label"], x["l_n"], x["l_sig"], x["l_small"], strict=True):
+            equal = sig == np.frombuffer(own, np.uint32)
+            near = (equal.sum(axis=1) >= AGREE) & _fresh(equal, int(small), TREES)
             near &= (label != lab) & (100 * np.minimum(n, size) >= percent * np.maximum(n, size))
             out += [(min(s, o), max(s, o)) for o in sid[near]]
         return pd.DataFrame(out, columns=["a", "b"])
@@ -242,7 +257,7 @@ def _rest(level: DataFrame, percent: int) -> list[DataFrame]:
     found = []
     for b in range(int(last) + 1):
         parts = F.sequence(F.lit(0).cast("long"), F.greatest(F.lit(1).cast("long"), F.floor(F.col("size") / PART)) - 1)
-        leaders = dealt.where(F.col("block") == b).select("node", F.explode(parts).alias("part"), *[F.col(c).alias(f"l_{c}") for c in ("sid", "label", "n", "sig")])
+        leaders = dealt.where(F.col("block") == b).select("node", F.explode(parts).alias("part"), *[F.col(c).alias(f"l_{c}") for c in ("sid", "label", "n", "sig", "small")])
         others = dealt.select("node", "part", "sid", "label", "n", "sig")
         both = leaders.groupBy("node", "part").cogroup(others.groupBy("node", "part"))
         found.append(stored(both.applyInPandas(meet, "a string, b string").distinct(), "pairs"))
