@@ -1,7 +1,7 @@
 """Byte-level BPE: ranked merges folded by higher-order functions, and decoding by joining pieces.
 
 A text is cut before every space that a non-space follows; the tokenizer's pattern never matches across such a cut, so
-the cuts' words can be encoded one by one. The most frequent distinct words of the whole corpus, 400,000 at most, are
+the cuts' words can be encoded one by one. The most frequent distinct words of the whole corpus, 200,000 at most, are
 folded in Spark and shared with all tasks; they are nearly all words of a corpus. The fold holds the array of token
 ids of a word, starting with its bytes, and the ranks of neighbouring pairs; each step merges the leftmost pair of the
 lowest rank, looked up in a literal map. The map is an array of buckets, so a look-up does not search all pairs.
@@ -23,6 +23,7 @@ from hashlib import sha256
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 from tickloom.llm.common import free_name, stored
 
 # Most words that are folded once and shared with all tasks, and the longest of them, in characters.
-SHARED_WORDS = 400_000
+SHARED_WORDS = 200_000
 SHARED_LENGTH = 48
 # A pattern match of more bytes is merged with a heap, in n log n.
 FOLD_BYTES = 256
@@ -178,8 +179,8 @@ def merge_fold(vocabulary: Ranks):
     return fold
 
 
-def shared_words(docs: DataFrame, text_col: str, vocabulary: Ranks, shared: int) -> dict[str, bytes]:
-    """The most frequent words of all texts with their ids as bytes, at most ``shared`` of them.
+def shared_words(docs: DataFrame, text_col: str, vocabulary: Ranks, shared: int) -> pa.Table:
+    """The most frequent words of all texts with their ids, at most ``shared`` of them, as one compact table.
 
     Counts are combined per batch and per task before the shuffle. A histogram of at most 256 rows gives the least
     frequency that keeps the number within the bound. Which words are shared changes the cost, never a result.
@@ -205,9 +206,19 @@ def shared_words(docs: DataFrame, text_col: str, vocabulary: Ranks, shared: int)
             break
         least = row["level"]
     if least is None:
-        return {}
+        least = 1 << 20
     encoded = encode_words(totals.where(F.col("level") >= least).select("word"), vocabulary)
-    return {r["word"]: np.asarray(r["ids"], "<i4").tobytes() for r in stored(encoded, "encoded").toLocalIterator()}
+    return stored(encoded, "encoded").toArrow().combine_chunks()
+
+
+def as_bytes(table: pa.Table) -> dict[str, bytes]:
+    """Word to its ids, four bytes each."""
+    if not len(table):
+        return {}
+    ids = table["ids"].combine_chunks()
+    ids = ids.chunk(0) if isinstance(ids, pa.ChunkedArray) else ids
+    at, data = (ids.offsets.to_numpy() * 4).tolist(), ids.values.to_numpy().astype("<i4").tobytes()
+    return {w: data[at[k]:at[k + 1]] for k, w in enumerate(table["word"].to_pylist())}
 
 
 def encode_words(words: DataFrame, vocabulary: Ranks) -> DataFrame:
@@ -245,7 +256,7 @@ def encoder(docs: DataFrame, vocabulary: Ranks, text_col: str = "text", shared:
 
     @F.pandas_udf("array<int>")
     def encoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        words, rare = known.value, Rare()
+        words, rare = as_bytes(known.value), Rare()
         for batch in batches:
             out = []
             for text in batch:
