@@ -16,6 +16,7 @@ import base64
 import heapq
 import json
 import re
+import struct
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -72,11 +73,25 @@ class Ranks:
 
 
 def words_of(text: str) -> list[str]:
-    """The text cut before every space that is followed by a non-space."""
+    """Keys of the words of a text that is cut before every space that is followed by a non-space.
+
+    A word is its key with a space before it; the first one, which may have none, has a key that begins with a space
+    and is the rest of that key. So most keys are what splitting at spaces gives.
+    """
     if _DOUBTFUL.search(text):
-        return [w for w in _CUT.split(text) if w]
-    head, *rest = text.split(" ")
-    return ([head] if head else []) + [f" {w}" for w in rest]
+        words = [w for w in _CUT.split(text) if w]
+        return [f" {words[0]}", *[w[1:] for w in words[1:]]]
+    keys = text.split(" ")
+    # A text that begins with a space before a word has no first word.
+    if keys[0]:
+        keys[0] = f" {keys[0]}"
+    else:
+        del keys[0]
+    return keys
+
+
+def word_of(key: str) -> str:
+    return key[1:] if key[:1] == " " else f" {key}"
 
 
 def heap_merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -222,41 +237,55 @@ def as_bytes(table: pa.Table) -> dict[str, bytes]:
 
 
 def encode_words(words: DataFrame, vocabulary: Ranks) -> DataFrame:
-    """(word, ids) for distinct words."""
+    """(word, ids) for distinct keys of words."""
     shared = words.sparkSession.sparkContext.broadcast(vocabulary)
 
     @F.pandas_udf("array<array<int>>")
     def starts(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         find = regex.compile(shared.value.pattern)
         for batch in batches:
-            yield batch.map(lambda w: start_ids(w, shared.value, find))
+            yield batch.map(lambda key: start_ids(word_of(key), shared.value, find))
 
     return words.select("word", F.flatten(F.transform(starts("word"), merge_fold(vocabulary))).alias("ids"))
 
 
+class Rare(dict):
+    """Ids of words that are not shared, merged when first met; a bounded cache."""
+
+    def __init__(self, vocabulary: Ranks):
+        super().__init__()
+        self.find, self.ranks = regex.compile(vocabulary.pattern), vocabulary.ranks
+
+    def __missing__(self, key: str) -> bytes:
+        ids: list[int] = []
+        for match in self.find.findall(word_of(key)):
+            ids += merge(match.encode("utf-8", "surrogatepass"), self.ranks)
+        if len(self) >= CACHE_WORDS:
+            self.clear()
+        self[key] = found = struct.pack(f"<{len(ids)}i", *ids)
+        return found
+
+
+_worker: dict = {}
+
+
+def in_worker(known, rules) -> tuple[dict[str, bytes], Rare]:
+    """The shared words and the cache of rare ones, kept by a worker from task to task; one pair at a time."""
+    table = known.value
+    if _worker.get("table") is not table:
+        _worker.update(table=table, pair=(as_bytes(table), Rare(rules.value)))
+    return _worker["pair"]
+
+
 def encoder(docs: DataFrame, vocabulary: Ranks, text_col: str = "text", shared: int = SHARED_WORDS) -> Column:
     """A column of token ids of ``text_col``; counts and folds the shared words when it is made."""
     sc = docs.sparkSession.sparkContext
     known = sc.broadcast(shared_words(docs, text_col, vocabulary, shared))
     rules = sc.broadcast(vocabulary)
 
-    class Rare(dict):
-        def __init__(self):
-            super().__init__()
-            self.find = regex.compile(rules.value.pattern)
-
-        def __missing__(self, word: str) -> bytes:
-            ids: list[int] = []
-            for match in self.find.findall(word):
-                ids += merge(match.encode("utf-8", "surrogatepass"), rules.value.ranks)
-            if len(self) >= CACHE_WORDS:
-                self.clear()
-            self[word] = found = np.asarray(ids, "<i4").tobytes()
-            return found
-
     @F.pandas_udf("array<int>")
     def encoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        words, rare = as_bytes(known.value), Rare()
+        words, rare = in_worker(known, rules)
         for batch in batches:
             out = []
             for text in batch:
