@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tickloom import schema as S
 from tickloom.operators import metrics
 
 
@@ -84,3 +85,11 @@ def test_trailing_score(spark, days):
     values = np.sin(np.arange(days))
     want = np.convolve(values, np.ones(width) / width, mode="valid")
     assert np.allclose(out["rolling_score"], want)
+
+
+def test_r2_of_targets_far_from_zero(spark):
+    rows = [(0, 1e8 + k, 1e8 + p, 1.0) for k, p in enumerate([3.0, 1.0, 5.0, 0.0, 6.0, 2.0, 4.0])]
+    df = spark.createDataFrame(rows, f"{S.DATE} int, {S.TARGET} double, {S.PREDICTION} double, {S.WEIGHT} double")
+    error = sum((y - p) ** 2 for _, y, p, _ in rows)
+    got = metrics.weighted_r2(metrics.date_sums(df)).first()["weighted_r2"]
+    assert abs(got - (1 - error / 28)) < 1e-6

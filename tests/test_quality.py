@@ -2,7 +2,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tickloom.operators import quality
-from tickloom.session import scratch_path
+from tickloom.operators.sampling import sample_rows
+from tickloom.session import scratch_path, shared_dir
 from tickloom.sources import scan
 
 
@@ -59,3 +60,22 @@ def test_nan_is_missing(spark):
     path = scratch_path(spark, "nan")
     spark.createDataFrame([(1, float("nan")), (2, 1.0)], "id int, x double").write.parquet(path)
     assert scan.scan_panel(spark, path).where("x is null").count() == 1
+
+
+def test_seeds_give_unrelated_samples(spark):
+    """Two samples of a fifth overlap in about a fifth, and one seed always gives the same sample."""
+    df = spark.range(5000).withColumnRenamed("id", "key")
+    a, b, again = ({r["key"] for r in sample_rows(df, 1000, "key", seed).collect()} for seed in (42, 43, 42))
+    assert a == again and 150 < len(a & b) < 250
+
+
+def test_shared_folder_is_needed_on_a_cluster():
+    class Conf(dict):
+        def get(self, key, default=None):
+            return {"spark.master": "spark://host:7077"}.get(key, default)
+
+    class Cluster:
+        conf = Conf()
+
+    with pytest.raises(ValueError):
+        shared_dir(Cluster())

@@ -86,6 +86,9 @@ def test_late_rows_are_counted(spark, batch):
     again = batch.where("date_id >= 9 and date_id < 21").join(seen, "symbol_id")
     assert stream.late_rows == again.where(F.struct(*ORDER) <= F.col("seen")).count() > 0
     assert stream.output().count() == batch.where("date_id < 21").count()
+    assert stream.late().count() == stream.late_rows and stream.late().columns == [*batch.columns, "batch"]
+    resumed = FeatureStream(spark, stream.steps, batch.schema, home=stream.home)
+    assert resumed.n_updates == 2 and resumed.state().exceptAll(stream.state()).isEmpty()
 
 
 def test_a_repeated_batch_changes_nothing(spark, batch):

@@ -134,9 +134,12 @@ def stored_panel(spark: SparkSession, folder: str) -> str:
     key = (spark.sparkContext.applicationId, folder)
     if key not in _stores:
         path = scratch_path(spark, "panel")
-        df = lineitem_panel(spark, folder).withColumn(
-            "partition_id", F.floor(F.col(S.DATE) / F.lit(PARTITION_DAYS)).cast("int")
-        )
+        cents = F.round(F.col("feature_00") * 100).cast("bigint")
+        df = lineitem_panel(spark, folder).withColumns({
+            "partition_id": F.floor(F.col(S.DATE) / F.lit(PARTITION_DAYS)).cast("int"),
+            # These five columns are unique together.
+            S.ROW_ID: F.concat_ws("-", "l_orderkey", S.TIME, "l_partkey", S.SYMBOL, cents),
+        })
         sinks.write_parquet(df, path, ["partition_id"], [S.DATE, S.TIME, S.SYMBOL])
         _stores[key] = path
     return _stores[key]

@@ -155,6 +155,21 @@ def stream_batches(spark: SparkSession, folder: str) -> DataFrame:
     return stream.output().groupBy("batch").agg(F.count("*").alias("n_rows"))
 
 
+@query("stream_batches_resumed", f"""WITH {EV} SELECT event_id, CASE WHEN date_id < 12 THEN 0 WHEN date_id < 21 THEN 1 ELSE 2 END AS batch,
+  {_stats_sql(['feature_00'], [5], ['mean'])} FROM ev {_WINDOWS}""")
+def stream_batches_resumed(spark: SparkSession, folder: str) -> DataFrame:
+    """The cap stops after two batches; a later stream with the same home gets the third, and no row is lost."""
+    steps = [RollingStep(["feature_00"], [5], ["mean"], order=ORDER)]
+    arrivals = Arrivals(spark, folder)
+    capped = st.FeatureStream(spark, steps, arrivals.schema, max_batches=2)
+    for first, end in zip(CHUNKS, CHUNKS[1:]):
+        arrivals.land(first, end)
+        capped.run(arrivals.stream(spark))
+    later = st.FeatureStream(spark, steps, arrivals.schema, home=capped.home)
+    later.run(arrivals.stream(spark))
+    return rounded(later.output().select("event_id", "batch", "feature_00_roll5_mean"), "feature_00_roll5_mean")
+
+
 @query("union_batches", f"WITH {EV} SELECT event_id, CASE WHEN date_id < 12 THEN 0 WHEN date_id < 21 THEN 1 ELSE 2 END AS batch FROM ev")
 def union_batches(spark: SparkSession, folder: str) -> DataFrame:
     return _run(spark, folder, _steps()[1:]).output().select("event_id", "batch")

@@ -54,14 +54,15 @@ def scan_generic(spark: SparkSession, folder: str) -> DataFrame:
     return df.select("o_orderkey", "o_custkey", "o_totalprice")
 
 
-@query("scan_partitions", f"""WITH {LI}, p AS (SELECT *, CAST(floor(date_id / 250.0) AS INTEGER) AS partition_id FROM li
+@query("scan_partitions", f"""WITH {LI}, p AS (SELECT *, CAST(floor(date_id / 250.0) AS INTEGER) AS partition_id,
+  concat_ws('-', l_orderkey, time_id, l_partkey, symbol_id, CAST(round(feature_00 * 100) AS BIGINT)) AS row_id FROM li
   WHERE floor(date_id / 250.0) IN (1, 3, 4)), n AS (SELECT *, row_number() OVER (PARTITION BY partition_id, date_id
-  ORDER BY ((l_orderkey % 2147483647) * 48271 + 42 * 16807) % 2147483647, l_orderkey, l_partkey, feature_00) AS k,
+  ORDER BY substr(md5('42:' || row_id), 1, 8), row_id) AS k,
   count(*) OVER (PARTITION BY partition_id, date_id) AS size FROM p)
-  SELECT partition_id, date_id, count(*) AS n FROM n WHERE k <= greatest(1, floor(size * 0.25)) GROUP BY 1, 2""")
+  SELECT partition_id, date_id, row_id FROM n WHERE k <= greatest(1, floor(size * 0.25))""")
 def scan_partitions(spark: SparkSession, folder: str) -> DataFrame:
-    df = scan.scan_partitions(spark, stored_panel(spark, folder), [1, 3, 4], 0.25, key="l_orderkey")
-    return df.groupBy("partition_id", S.DATE).agg(F.count("*").alias("n"))
+    df = scan.scan_partitions(spark, stored_panel(spark, folder), [1, 3, 4], 0.25)
+    return df.select("partition_id", S.DATE, S.ROW_ID)
 
 
 _TAGS = [f"tag_{i}" for i in range(17)]
@@ -221,12 +222,13 @@ def ewm_sample_weight(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query("dynamic_min_leaf", f"""WITH {LI} SELECT CAST(floor(date_id / 250.0) AS INTEGER) AS partition_id, count(*) AS n,
-  CAST(greatest(100, round(800 * sqrt(count(*) / 5000.0))) AS BIGINT) AS min_leaf FROM li GROUP BY 1""")
+  CAST(greatest(100, round_even(800 * sqrt(count(*) / 5000.0), 0)) AS BIGINT) AS min_leaf FROM li GROUP BY 1""")
 def dynamic_min_leaf(spark: SparkSession, folder: str) -> DataFrame:
     """Leaf size per partition from its row count."""
     df = spark.read.parquet(stored_panel(spark, folder)).groupBy("partition_id").agg(F.count("*").alias("n"))
-    leaf = F.greatest(F.lit(100), F.round(F.lit(800) * F.sqrt(F.col("n") / F.lit(5000.0))))
-    return df.withColumn("min_leaf", leaf.cast("bigint"))
+    # One row per partition directory.
+    sizes = [(r["partition_id"], r["n"], scalar.dynamic_min_leaf(r["n"], 5000)) for r in df.collect()]
+    return spark.createDataFrame(sizes, "partition_id int, n bigint, min_leaf bigint")
 
 
 @query("scaled_alpha", f"""WITH {LI}, n AS (SELECT CAST(floor(date_id / 250.0) AS INTEGER) AS partition_id, count(*) AS rows FROM li GROUP BY 1)

@@ -54,6 +54,33 @@ _rolling("rolling_min", "min", "min({c}) OVER {w}")
 _rolling("rolling_max", "max", "max({c}) OVER {w}")
 
 
+_ROUTES = {"windows": {"batches": False}, "batches": {"batches": True}, "blocks": {"batches": False, "blocks": 3}, "blocks_batches": {"batches": True, "blocks": 3}}
+_ROUTE_COLUMNS = ["with_nan", "whole"]
+_ROUTE_STATS = {"mean": "avg", "std": "stddev_samp", "min": "min", "max": "max"}
+
+
+@query("trailing_routes", f"""WITH {EV}, b AS (SELECT *, CASE WHEN event_id % 7 <> 0 THEN feature_00 END AS with_nan,
+  CAST(event_id % 100 AS INTEGER) AS whole FROM ev), r AS (SELECT event_id, lag(with_nan, 2) OVER w AS with_nan_lag2, CAST(lag(whole, 2) OVER w AS DOUBLE) AS whole_lag2,
+  {', '.join(s6(f'{fn}({c}) OVER w5', f'{c}_roll5_{stat}') for c in _ROUTE_COLUMNS for stat, fn in _ROUTE_STATS.items())}
+  FROM b WINDOW w AS ({W_E}), w5 AS {_frame(5)})
+  SELECT route, r.* FROM r, (VALUES {', '.join(f"('{n}')" for n in _ROUTES)}) AS t(route)""")
+def trailing_routes(spark: SparkSession, folder: str) -> DataFrame:
+    """Lag and rolling columns by every route, on a column with NaN and a whole-number column."""
+    nan = F.when(F.col("event_id") % 7 != 0, F.col("feature_00")).otherwise(F.lit(float("nan")))
+    base = events_panel(spark, folder).withColumns({"with_nan": nan, "whole": (F.col("event_id") % 100).cast("int")})
+    names = [f"{c}_roll5_{s}" for c in _ROUTE_COLUMNS for s in _ROUTE_STATS]
+    parts = []
+    for route, how in _ROUTES.items():
+        df = win.rolling_features(base, _ROUTE_COLUMNS, [5], list(_ROUTE_STATS), order=ORDER, **how)
+        df = win.lag_features(df, _ROUTE_COLUMNS, [2], order=ORDER, **how)
+        kept = rounded(df.select("event_id", "with_nan_lag2", F.col("whole_lag2").cast("double").alias("whole_lag2"), *names), *names)
+        parts.append(kept.withColumn("route", F.lit(route)))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.union(part)
+    return out
+
+
 @query("rolling_zscore", f"""WITH {EV}, z AS (SELECT event_id, feature_00, avg(feature_00) OVER w AS m, stddev_samp(feature_00) OVER w AS s
   FROM ev WINDOW w AS {_frame(20)}) SELECT event_id,
   round(CASE WHEN s > 1e-6 THEN (feature_00 - m) / (s + 1e-8) END + 1e-9, 6) + 0.0 AS feature_00_roll20_zscore FROM z""")
@@ -84,7 +111,7 @@ _RANKS = {
     "dense": "dense_rank() OVER o",
     "ordinal": "row_number() OVER (PARTITION BY date_id, time_id ORDER BY feature_01 NULLS LAST, event_id)",
     "random": """row_number() OVER (PARTITION BY date_id, time_id ORDER BY feature_01 NULLS LAST,
-      (event_id % 2147483647 * 48271 + 42 * 16807) % 2147483647, event_id)""",
+      substr(md5('42:' || event_id), 1, 8), event_id)""",
 }
 
 
@@ -164,7 +191,7 @@ def smoothed_bias(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(blend.smoothed_bias(bias), "bias", "smoothed")
 
 
-HASH = "((event_id % 2147483647) * 48271 + 42 * 16807) % 2147483647, event_id"
+HASH = "substr(md5('42:' || event_id), 1, 8), event_id"
 
 
 @query("group_sample_rank", f"""WITH {EV} SELECT event_id,

@@ -131,9 +131,9 @@ def scaled_alpha(alpha: float, rows: int, reference_rows: int) -> float:
 
 
 def spread_order(key: Column, seed: int = 42) -> Column:
-    """A repeatable pseudo-random order in [0, 2^31 - 1) from an integer key.
+    """A repeatable pseudo-random order in [0, 2^32): the first 32 bits of MD5 over seed and key.
 
-    Plain integer arithmetic, so any engine gives the same order.
+    Seeds give unrelated orders, and any engine with MD5 gives the same ones.
     """
-    m = F.lit(2147483647)
-    return ((key.cast("bigint") % m) * F.lit(48271) + F.lit(seed * 16807)) % m
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), key.cast("string")).cast("binary"))
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")

@@ -283,7 +283,8 @@ def exact_medians(df: DataFrame, columns: Sequence[str], blocks: int | None = No
     only the values inside are counted and ordered.
     """
     columns = list(columns)
-    values = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    # NaN is missing.
+    values = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None)).alias(c) for c in columns])
     brackets = []
     for ends in values.approxQuantile(columns, [0.49, 0.51], 0.002):
         brackets.append((ends[0], ends[1]) if ends else (None, None))

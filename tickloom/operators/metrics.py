@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tickloom import schema as S
 
 FLOOR = 1e-10
-SUMS = ("rows", "w", "wy", "wyy", "wpp", "wyp", "wee", "wae")
+SUMS = ("rows", "w", "wy", "wyy", "wd", "wdd", "wpp", "wyp", "wee", "wae")
 
 
 def date_sums(
@@ -20,14 +20,25 @@ def date_sums(
     weight: str = S.WEIGHT,
     by: tuple[str, ...] = (S.DATE,),
 ) -> DataFrame:
-    """All sums that the metrics need, per date, over rows that have truth, prediction and weight."""
-    y, p, w = (F.col(c).cast("double") for c in (truth, prediction, weight))
+    """All sums that the metrics need, per date, over rows that have truth, prediction and weight.
+
+    ``wd`` and ``wdd`` are sums of the distance from the truth's mean, so that spreads of targets far from 0 do not
+    cancel out; the mean is a scalar subquery over the three columns. A stream has no such mean, so its distances are
+    from 0.
+    """
     known = df.where(F.col(truth).isNotNull() & F.col(prediction).isNotNull() & F.col(weight).isNotNull())
+    columns = {"_y": truth, "_p": prediction, "_w": weight}
+    known = known.select(*by, *[F.col(c).cast("double").alias(n) for n, c in columns.items()])
+    centre = F.lit(0.0) if df.isStreaming else known.agg(F.avg("_y")).scalar()
+    known = known.withColumn("_d", F.col("_y") - centre)
+    y, p, w, d = (F.col(c) for c in ("_y", "_p", "_w", "_d"))
     return known.groupBy(*by).agg(
         F.count("*").alias("rows"),
         F.sum(w).alias("w"),
         F.sum(w * y).alias("wy"),
         F.sum(w * y * y).alias("wyy"),
+        F.sum(w * d).alias("wd"),
+        F.sum(w * d * d).alias("wdd"),
         F.sum(w * p * p).alias("wpp"),
         F.sum(w * y * p).alias("wyp"),
         F.sum(w * (y - p) * (y - p)).alias("wee"),
@@ -57,7 +68,7 @@ def mean_competition_score(sums: DataFrame) -> DataFrame:
 
 
 def _weighted_r2() -> Column:
-    spread = F.sum("wyy") - F.try_divide(F.sum("wy") * F.sum("wy"), F.sum("w"))
+    spread = F.sum("wdd") - F.try_divide(F.sum("wd") * F.sum("wd"), F.sum("w"))
     return F.when(spread < FLOOR, F.lit(0.0)).otherwise(1 - F.try_divide(F.sum("wee"), spread))
 
 

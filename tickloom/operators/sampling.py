@@ -12,7 +12,7 @@ from tickloom.functions.scalar import spread_order
 from tickloom.plans import sizing
 from tickloom.plans.sizing import Split
 
-_RANGE = 2147483647
+_RANGE = 1 << 32
 
 
 def _order(key: str, seed: int) -> list[Column]:

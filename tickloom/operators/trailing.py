@@ -65,19 +65,27 @@ def window_columns(items: Sequence[Trailing], w: WindowSpec) -> dict[str, Column
 
 
 def _window_column(item: Trailing, w: WindowSpec) -> Column:
-    c = item.column
     if item.kind == "lag":
-        return F.lag(c, item.size).over(w)
+        return F.lag(item.column, item.size).over(w)
+    # Statistics are doubles and NaN is missing, as in Arrow batches.
+    c = F.col(item.column).cast("double")
+    c = F.when(~F.isnan(c), c)
     frame = w.rowsBetween(-(item.size - 1), 0)
     if item.kind == "zscore":
-        value = (F.col(c) - F.avg(c).over(frame)) / (F.stddev_samp(c).over(frame) + F.lit(EPS))
+        value = (c - F.avg(c).over(frame)) / (F.stddev_samp(c).over(frame) + F.lit(EPS))
     else:
         value = {"mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}[item.kind](c).over(frame)
     return F.when(F.count(c).over(frame) >= item.min_periods, value) if item.min_periods > 1 else value
 
 
 def add_in_windows(df: DataFrame, items: Sequence[Trailing], group: Sequence[str], order: Sequence[str]) -> DataFrame:
-    return df.withColumns(window_columns(items, Window.partitionBy(*group).orderBy(*order)))
+    return _lags_known(df.withColumns(window_columns(items, Window.partitionBy(*group).orderBy(*order))), items)
+
+
+def _lags_known(df: DataFrame, items: Sequence[Trailing]) -> DataFrame:
+    """NaN becomes NULL in lagged columns too, in either route."""
+    floats = [i.name for i in items if i.kind == "lag" and isinstance(df.schema[i.name].dataType, (T.FloatType, T.DoubleType))]
+    return df.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in floats}) if floats else df
 
 
 def add_in_batches(df: DataFrame, items: Sequence[Trailing], group: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -85,7 +93,7 @@ def add_in_batches(df: DataFrame, items: Sequence[Trailing], group: Sequence[str
     made = [T.StructField(i.name, df.schema[i.column].dataType if i.kind == "lag" else T.DoubleType()) for i in items]
     schema = T.StructType([*df.schema.fields, *made])
     ready = df.repartition(*group).sortWithinPartitions(*group, *order)
-    return ready.mapInArrow(_batch_function(list(items), list(group), schema.fieldNames()), schema)
+    return _lags_known(ready.mapInArrow(_batch_function(list(items), list(group), schema.fieldNames()), schema), items)
 
 
 def _batch_function(items: list[Trailing], group: list[str], names: list[str]) -> Callable:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -26,9 +27,12 @@ def local_session(cores: int | str = "*", app: str = "tickloom", memory: str = "
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's ``spark.checkpoint.dir``; a temporary folder only where none is set."""
+    """The cluster's ``spark.checkpoint.dir``; a temporary folder only in a local session where none is set."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        master = spark.conf.get("spark.master", "")
+        if not re.fullmatch(r"local(\[[^-]*\])?", master):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all executors share (master {master})")
         app = spark.sparkContext.applicationId
         if app not in _local_dirs:
             _local_dirs[app] = tempfile.mkdtemp(prefix="tickloom-")

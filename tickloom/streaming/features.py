@@ -15,13 +15,14 @@ import time
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException, StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tickloom import schema as S
-from tickloom.functions.scalar import clipped, ensure_columns
+from tickloom.functions.scalar import clipped, ensure_columns, nan_to_null
 from tickloom.operators.joins import semi_join_last_steps
 from tickloom.plans import sizing
 from tickloom.plans.features import EntityStep, add_entity_steps
@@ -30,6 +31,10 @@ from tickloom.session import scratch_path
 _NEW = "_new"
 
 
+class BatchLimit(Exception):
+    """Ends a run before a batch beyond the cap is committed, so that a later run still gets it."""
+
+
 @dataclass
 class Scorer:
     """What happens to a batch after its features: columns a model needs, prediction, limits."""
@@ -58,6 +63,7 @@ class FeatureStream:
     home: str = ""
     late_rows: int = 0
     batches: list[dict] = field(default_factory=list)
+    _full: bool = False
 
     def __post_init__(self) -> None:
         need = max(step.reach for step in self.steps)
@@ -95,15 +101,36 @@ class FeatureStream:
 
     def state(self) -> DataFrame:
         """The buffered rows after the last finished batch."""
-        last = self.batches[-1]["batch_id"] if self.batches else -1
-        return self._read(last)
+        return self._read(self._last_batch())
+
+    def _last_batch(self) -> int:
+        """The last finished batch, also of an earlier stream with this home; -1 if there is none."""
+        if self.batches:
+            return self.batches[-1]["batch_id"]
+        found = self._table("progress")
+        return -1 if found is None else found.agg(F.max("batch_id")).first()[0]
+
+    def _table(self, name: str) -> DataFrame | None:
+        try:
+            return self.spark.read.parquet(f"{self.home}/{name}")
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None
+
+    def late(self) -> DataFrame:
+        """Rows that came too late for features, with their batch number."""
+        found = self._table("late")
+        return self.spark.createDataFrame([], T.StructType([*self.columns.fields, T.StructField("batch", T.IntegerType())])) if found is None else found
 
     def _read(self, batch_id: int) -> DataFrame:
         return self.spark.read.schema(self.columns).parquet(self._slot(batch_id))
 
     @property
     def n_updates(self) -> int:
-        return len(self.batches)
+        """Finished batches since the last reset, also those before a restart."""
+        found = self._table("progress")
+        return 0 if found is None else found.count()
 
     def n_symbols(self) -> int:
         return self.state().select(*self.entity).distinct().count()
@@ -112,12 +139,13 @@ class FeatureStream:
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
         if self.max_batches is not None and batch_id >= self.max_batches:
-            return
+            self._full = True
+            raise BatchLimit(f"batch {batch_id} is beyond the cap of {self.max_batches}")
         start = time.perf_counter()
         rows = batch.select(*self.columns.names)
         past = self._read(batch_id - 1)
-        # Rows not later than what their entity has already seen would rewrite the past; they are dropped
-        # and counted.
+        # Rows not later than what their entity has already seen would rewrite the past; they get no features,
+        # and are counted and kept in a table of their own.
         seen = past.groupBy(*self.entity).agg(F.max(F.struct(*self.order)).alias("_seen"))
         late = F.coalesce(F.struct(*self.order) <= F.col("_seen"), F.lit(False))
         marked = rows.join(sizing.lookup_side(seen), self.entity, "left").withColumn("_late", late)
@@ -135,7 +163,12 @@ class FeatureStream:
             if self.scorer is not None:
                 out = self.scorer(out)
             out.write.mode("overwrite").parquet(f"{self.home}/output/batch={batch_id}")
+            if counts["late"]:
+                late = joined.where("_late").drop(_NEW, "_late")
+                late.write.mode("overwrite").parquet(f"{self.home}/late/batch={batch_id}")
             self._last_rows(usable.drop(_NEW)).write.mode("overwrite").parquet(self._slot(batch_id))
+            done = self.spark.createDataFrame([(batch_id,)], "batch_id long").coalesce(1)
+            done.write.mode("overwrite").parquet(f"{self.home}/progress/batch={batch_id}")
         finally:
             joined.unpersist()
         self.late_rows += counts["late"]
@@ -143,14 +176,22 @@ class FeatureStream:
         self.batches.append({"batch_id": batch_id, "n_rows": counts["n"], "latency_ms": took})
 
     def run(self, stream: DataFrame) -> StreamingQuery:
-        """Process all data that is there, batch by batch, then stop; call again to go on."""
+        """Process all data that is there, batch by batch, then stop; call again to go on.
+
+        With ``max_batches`` it stops before the first batch beyond the cap; that batch is not committed.
+        """
+        self._full = False
         query = (
             stream.writeStream.foreachBatch(self.process)
             .option("checkpointLocation", f"{self.home}/checkpoint")
             .trigger(availableNow=True)
             .start()
         )
-        query.awaitTermination()
+        try:
+            query.awaitTermination()
+        except StreamingQueryException:
+            if not self._full:
+                raise
         return query
 
     def output(self) -> DataFrame:
@@ -169,11 +210,11 @@ def latency_summary(latencies: DataFrame) -> DataFrame:
 
 
 def file_stream(spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int | None = None) -> DataFrame:
-    """Parquet files in order of arrival, at most ``files_per_batch`` of them per micro-batch."""
+    """Parquet files in order of arrival, at most ``files_per_batch`` of them per micro-batch; NaN becomes NULL."""
     reader = spark.readStream.schema(schema)
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.parquet(path)
+    return nan_to_null(reader.parquet(path))
 
 
 def running_score(
