@@ -25,7 +25,7 @@ from tickloom.plans.sizing import lookup_side
 PERCENT = 75
 TREES = 12
 # A node is small if it has at most so many pairs across components and so many members.
-NODE_PAIRS, NODE_ROWS = 1_000_000, 16_384
+NODE_PAIRS, NODE_ROWS = 1_000_000, 2048
 BRANCHES = 2
 DEPTH = 6
 # Rounds in which every vertex is checked against heads of its nodes before any node is compared exhaustively.
@@ -34,7 +34,7 @@ STARS = 3
 # expected and fewer than 34 happen once in 70,000 pairs of a component's few direct links.
 AGREE = 34
 # At the last level: members of a dense node that meet so many others at once, and those others, in one task.
-BLOCK, PART = 64, 4096
+BLOCK, PART = 64, 2048
 # Rows with texts that a Python worker gets at once.
 TEXT_ROWS = 500
 
@@ -63,8 +63,18 @@ def _fresh(equal: np.ndarray, small: int, tree: int) -> np.ndarray:
     return ~equal[:, earlier].any(axis=1) if earlier else np.ones(len(equal), bool)
 
 
+# What a node sends on, so that no row per pair is made: a row per member with its candidates, and a row per candidate.
+LISTS = "node long, sid string, label string, partners array<string>"
+
+
+def _lists(node: int, found: dict[str, list[str]], labels: dict[str, str]) -> pd.DataFrame:
+    rows = [(node, sid, labels[sid], partners) for sid, partners in found.items()]
+    rows += [(node, sid, labels[sid], None) for sid in dict.fromkeys(p for partners in found.values() for p in partners)]
+    return pd.DataFrame(rows, columns=["node", "sid", "label", "partners"])
+
+
 def _cross_pairs(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Frames of whole nodes in order (a node may span frames): pairs with other labels and enough equal tokens."""
+    """Frames of whole nodes in order (a node may span frames): candidates with other labels and enough equal tokens."""
     held: list[pd.DataFrame] = []
 
     def pairs(node: pd.DataFrame) -> pd.DataFrame:
@@ -73,13 +83,14 @@ def _cross_pairs(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         others, node = int((~main).sum()), pd.concat([node[~main], node[main]])
         sig = np.frombuffer(b"".join(node["sig"]), np.uint32).reshape(-1, COORDINATES)
         label, sid, n = node["label"].to_numpy(), node["sid"].to_numpy(), node["n"].to_numpy()
-        small, tree, out = node["small"].to_numpy(), int(node["tree"].iloc[0]), []
+        small, tree, out = node["small"].to_numpy(), int(node["tree"].iloc[0]), {}
         for k in range(others):
             equal = sig[k + 1:] == sig[k]
             near = (equal.sum(axis=1) >= AGREE) & _fresh(equal, int(small[k]), tree)
             near &= (label[k + 1:] != label[k]) & (100 * np.minimum(n[k + 1:], n[k]) >= PERCENT * np.maximum(n[k + 1:], n[k]))
-            out += [(min(sid[k], o), max(sid[k], o)) for o in sid[k + 1:][near]]
-        return pd.DataFrame(out, columns=["a", "b"])
+            if near.any():
+                out[sid[k]] = list(sid[k + 1:][near])
+        return _lists(int(node["node"].iloc[0]), out, dict(zip(sid, label, strict=True)))
 
     for frame in frames:
         for _, node in frame.groupby("node", sort=False):
@@ -95,12 +106,43 @@ def _value(at: str) -> str:
     return f"substring(sig, 4 * ({at}) + 1, 4)"
 
 
+def _texts(sids: DataFrame, sets: DataFrame, docs: DataFrame) -> DataFrame:
+    """(sid, text) of the sets in question only."""
+    needed = sids.distinct().join(sets.select("sid", "key"), "sid")
+    return stored(docs.join(lookup_side(needed), "key").groupBy("sid").agg(F.first("text").alias("text")), "texts")
+
+
+def confirmed_lists(lists: DataFrame, sets: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) among the candidates of each node, on full sets, one link per member and component.
+
+    A node's texts meet in one task; it has at most ``NODE_ROWS`` members, or a block and a part of a larger node.
+    """
+
+    def check(node: pd.DataFrame) -> pd.DataFrame:
+        asks = node[node["partners"].notna()]
+        others = node[node["partners"].isna()].drop_duplicates("sid").set_index("sid")
+        sets_of: dict[str, np.ndarray] = {}
+        out = []
+        for sid, text, partners in zip(asks["sid"], asks["text"], asks["partners"], strict=True):
+            mine, met = shingle_set(text), set()
+            for p in partners:
+                label = others.at[p, "label"]
+                if label in met:
+                    continue
+                if p not in sets_of:
+                    sets_of[p] = shingle_set(others.at[p, "text"])
+                if similar(mine, sets_of[p], percent):
+                    met.add(label)
+                    out.append((min(sid, p), max(sid, p)))
+        return pd.DataFrame(out, columns=["a", "b"])
+
+    texts = _texts(lists.select("sid"), sets, docs)
+    return stored(lists.join(texts, "sid").groupBy("node").applyInPandas(check, "a string, b string"), "links", TEXT_ROWS)
+
+
 def confirmed(pairs: DataFrame, sets: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) of set ids whose full sets are similar; texts are fetched for the sets in question only."""
-    ends = pairs.select(F.col("a").alias("sid")).unionByName(pairs.select(F.col("b").alias("sid"))).distinct()
-    needed = ends.join(sets.select("sid", "key"), "sid")
-    texts = docs.join(lookup_side(needed), "key").groupBy("sid").agg(F.first("text").alias("text"))
-    texts = stored(texts, "texts")
+    texts = _texts(pairs.select(F.col("a").alias("sid")).unionByName(pairs.select(F.col("b").alias("sid"))), sets, docs)
 
     @F.pandas_udf(T.BooleanType())
     def full(a: pd.Series, b: pd.Series) -> pd.Series:
@@ -206,7 +248,7 @@ def _verdicts(docs: DataFrame, percent: int, trees: int, id_col: str, text_col:
     found = []
     for _ in range(DEPTH):
         now = level.where(is_small).drop("cross", "size").repartition(partitions(spark), "node").sortWithinPartitions("node", "sid")
-        found.append(stored(now.mapInPandas(_cross_pairs, "a string, b string"), "pairs"))
+        found.append(stored(now.mapInPandas(_cross_pairs, LISTS), "pairs"))
         large = level.where(~is_small)
         if large.isEmpty():
             break
@@ -219,7 +261,7 @@ def _verdicts(docs: DataFrame, percent: int, trees: int, id_col: str, text_col:
     pairs = found[0]
     for more in found[1:]:
         pairs = pairs.unionByName(more)
-    labels = joined_by(confirmed(stored(pairs.distinct(), "candidates"), sets, base, percent))
+    labels = joined_by(confirmed_lists(pairs, sets, base, percent))
     by_set = labelled(sets.select("sid", "min_id")).withColumnRenamed("label", "root")
     least = by_set.groupBy("root").agg(F.min("min_id").alias("component_id"))
     answer = stored(by_set.join(least, "root").select("sid", "component_id"), "answer")
@@ -244,23 +286,26 @@ def _rest(level: DataFrame, percent: int) -> list[DataFrame]:
 
     def meet(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
         if not len(x) or not len(y):
-            return pd.DataFrame({"a": pd.Series(dtype=object), "b": pd.Series(dtype=object)})
+            return pd.DataFrame({"node": pd.Series(dtype="int64"), "sid": [], "label": [], "partners": []})
         sig = np.frombuffer(b"".join(y["sig"]), np.uint32).reshape(-1, COORDINATES)
-        sid, label, n, out = y["sid"].to_numpy(), y["label"].to_numpy(), y["n"].to_numpy(), []
+        sid, label, n, out = y["sid"].to_numpy(), y["label"].to_numpy(), y["n"].to_numpy(), {}
         for s, lab, size, own, small in zip(x["l_sid"], x["l_label"], x["l_n"], x["l_sig"], x["l_small"], strict=True):
             equal = sig == np.frombuffer(own, np.uint32)
             near = (equal.sum(axis=1) >= AGREE) & _fresh(equal, int(small), TREES)
             near &= (label != lab) & (100 * np.minimum(n, size) >= percent * np.maximum(n, size))
-            out += [(min(s, o), max(s, o)) for o in sid[near]]
-        return pd.DataFrame(out, columns=["a", "b"])
+            if near.any():
+                out[s] = list(sid[near])
+        labels = dict(zip(sid, label, strict=True)) | dict(zip(x["l_sid"], x["l_label"], strict=True))
+        return _lists(int(x["l_group"].iloc[0]), out, labels)
 
     found = []
     for b in range(int(last) + 1):
         parts = F.sequence(F.lit(0).cast("long"), F.greatest(F.lit(1).cast("long"), F.floor(F.col("size") / PART)) - 1)
         leaders = dealt.where(F.col("block") == b).select("node", F.explode(parts).alias("part"), *[F.col(c).alias(f"l_{c}") for c in ("sid", "label", "n", "sig", "small")])
+        leaders = leaders.withColumn("l_group", F.xxhash64("node", "part", F.lit(b)))
         others = dealt.select("node", "part", "sid", "label", "n", "sig")
         both = leaders.groupBy("node", "part").cogroup(others.groupBy("node", "part"))
-        found.append(stored(both.applyInPandas(meet, "a string, b string").distinct(), "pairs"))
+        found.append(stored(both.applyInPandas(meet, LISTS), "pairs"))
     return found
 
 
