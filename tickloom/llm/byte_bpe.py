@@ -39,7 +39,7 @@ FOLD_BYTES = 256
 BUCKETS = 1 << 16
 TEXT_ROWS = 1000
 # Words that a task remembers besides the shared ones.
-CACHE_WORDS = 200_000
+CACHE_WORDS = 300_000
 NONE = 1 << 40
 
 _CUT = re.compile(r"(?= \S)")
@@ -250,19 +250,29 @@ def encode_words(words: DataFrame, vocabulary: Ranks) -> DataFrame:
 
 
 class Rare(dict):
-    """Ids of words that are not shared, merged when first met; a bounded cache."""
+    """Ids of words that are not shared, made when first met: each pattern match is a shared word or is merged here.
 
-    def __init__(self, vocabulary: Ranks):
+    Words and matches are kept in bounded caches.
+    """
+
+    def __init__(self, vocabulary: Ranks, shared: dict[str, bytes]):
         super().__init__()
         self.find, self.ranks = regex.compile(vocabulary.pattern), vocabulary.ranks
+        self.shared, self.matches = shared, {}
 
     def __missing__(self, key: str) -> bytes:
-        ids: list[int] = []
+        parts = []
         for match in self.find.findall(word_of(key)):
-            ids += merge(match.encode("utf-8", "surrogatepass"), self.ranks)
+            ids = (self.shared.get(match[1:]) if match[0] == " " else None) or self.matches.get(match)
+            if ids is None:
+                merged = merge(match.encode("utf-8", "surrogatepass"), self.ranks)
+                if len(self.matches) >= CACHE_WORDS:
+                    self.matches.clear()
+                self.matches[match] = ids = struct.pack(f"<{len(merged)}i", *merged)
+            parts.append(ids)
         if len(self) >= CACHE_WORDS:
             self.clear()
-        self[key] = found = struct.pack(f"<{len(ids)}i", *ids)
+        self[key] = found = b"".join(parts)
         return found
 
 
@@ -273,7 +283,8 @@ def in_worker(known, rules) -> tuple[dict[str, bytes], Rare]:
     """The shared words and the cache of rare ones, kept by a worker from task to task; one pair at a time."""
     table = known.value
     if _worker.get("table") is not table:
-        _worker.update(table=table, pair=(as_bytes(table), Rare(rules.value)))
+        words = as_bytes(table)
+        _worker.update(table=table, pair=(words, Rare(rules.value, words)))
     return _worker["pair"]
 
 
