@@ -40,11 +40,11 @@ def test_purged_kfold(spark, forward, dates):
 
 def test_purged_kfold_errors(spark):
     with pytest.raises(ValueError):
-        splits.checked_purged_kfold(dates_frame(spark, [0, 1, 2]), 5)
+        splits.purged_kfold(dates_frame(spark, [0, 1, 2]), 5)
     with pytest.raises(ValueError):
         splits.purged_kfold(dates_frame(spark, range(20)), 1)
     with pytest.raises(ValueError):
-        splits.checked_purged_kfold(dates_frame(spark, range(12)), 3, min_train_dates=30)
+        splits.purged_kfold(dates_frame(spark, range(12)), 3, min_train_dates=30)
 
 
 def test_walk_forward(spark):
@@ -60,7 +60,7 @@ def test_holdout(spark):
     got = as_sets(splits.holdout_split(dates_frame(spark, range(20)), 0.2, 5))[0]
     assert got == {"train": set(range(11)), "val": set(range(16, 20))}
     with pytest.raises(ValueError):
-        splits.checked_holdout_split(dates_frame(spark, range(6)), 0.2, 5)
+        splits.holdout_split(dates_frame(spark, range(6)), 0.2, 5)
 
 
 def test_rows_get_roles(spark):

@@ -13,6 +13,11 @@ from tickloom.catalog.tables import _ROLES
 from tickloom.operators import profile, quality, splits
 from tickloom.operators import windows as win
 
+_BOTH_SIDES = """t AS (SELECT ntile(5) OVER (ORDER BY date_id) - 1 AS fold_idx, date_id FROM (SELECT DISTINCT date_id FROM ev)),
+  b AS (SELECT fold_idx, min(date_id) AS lo, max(date_id) AS hi FROM t GROUP BY fold_idx),
+  c AS (SELECT b.fold_idx, d.date_id FROM b, (SELECT DISTINCT date_id FROM ev) d WHERE d.date_id < lo - 2 OR d.date_id > hi + 3)
+  SELECT CAST(fold_idx AS INTEGER) AS fold_idx, date_id, 'train' AS role FROM c
+  UNION ALL SELECT CAST(fold_idx AS INTEGER), date_id, 'val' FROM t"""
 _PURGED = """t AS (SELECT ntile(5) OVER (ORDER BY date_id) - 1 AS fold_idx, date_id FROM (SELECT DISTINCT date_id FROM ev)),
   b AS (SELECT fold_idx, min(date_id) AS lo, max(date_id) AS hi FROM t GROUP BY fold_idx),
   c AS (SELECT b.fold_idx, d.date_id FROM b, (SELECT DISTINCT date_id FROM ev) d WHERE d.date_id < lo - 2),
@@ -30,6 +35,12 @@ def purged_kfold(spark: SparkSession, folder: str) -> DataFrame:
     return _folds(spark, folder)
 
 
+@query("purged_kfold_both_sides", f"WITH {EV}, {_BOTH_SIDES}")
+def purged_kfold_both_sides(spark: SparkSession, folder: str) -> DataFrame:
+    """Training dates before and after the test window."""
+    return splits.purged_kfold(events_panel(spark, folder), 5, 2, 3, forward_only=False, min_train_dates=5)
+
+
 @query("walk_forward", f"""WITH {LI}, d AS (SELECT date_id, row_number() OVER (ORDER BY date_id) - 1 AS pos, count(*) OVER () AS n
   FROM (SELECT DISTINCT date_id FROM li)), f AS (SELECT CAST(k AS INTEGER) AS fold_idx, date_id,
   CASE WHEN pos < 500 + k * 300 - 5 THEN 'train' WHEN pos >= 500 + k * 300 AND pos < 500 + k * 300 + 200 THEN 'val' END AS role

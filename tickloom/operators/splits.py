@@ -82,9 +82,15 @@ def purged_kfold(
     min_train_dates: int = 30,
     date: str = S.DATE,
 ) -> DataFrame:
-    """Folds with purge and embargo; folds with too few training dates are left out."""
+    """Folds with purge and embargo; folds with too few training dates are left out.
+
+    Raises if there are fewer than two dates per fold, or if no fold is left.
+    """
     if n_splits < 2:
         raise ValueError("n_splits must be at least 2")
+    n = distinct_dates(df, date).count()
+    if n < 2 * n_splits:
+        raise ValueError(f"{n} dates are not enough for {n_splits} folds")
     dates = calendar(df, date)
     tests = _chunks(dates, n_splits, date)
     bounds = _bounds(tests, date)
@@ -94,23 +100,14 @@ def purged_kfold(
     size = F.count("*").over(Window.partitionBy("fold_idx"))
     train = candidates.withColumn("_size", size).where(F.col("_size") >= min_train_dates)
     train = train.select("fold_idx", date, F.lit("train").alias("role"))
+    if train.isEmpty():
+        raise ValueError("no fold has enough training dates")
     val = tests.select("fold_idx", date, F.lit("val").alias("role"))
     if min_train_dates > 0:
         val = val.join(train.select("fold_idx").distinct(), "fold_idx", "left_semi")
     return train.unionByName(val)
 
 
-def checked_purged_kfold(df: DataFrame, n_splits: int = 5, date: str = S.DATE, **options) -> DataFrame:
-    """``purged_kfold`` that raises when the dates do not suffice; counts dates on the cluster."""
-    n = distinct_dates(df, date).count()
-    if n < 2 * n_splits:
-        raise ValueError(f"{n} dates are not enough for {n_splits} folds")
-    folds = purged_kfold(df, n_splits, date=date, **options)
-    if folds.isEmpty():
-        raise ValueError("no fold has enough training dates")
-    return folds
-
-
 def walk_forward(
     df: DataFrame,
     min_train: int = 200,
@@ -136,7 +133,13 @@ def walk_forward(
 
 
 def holdout_split(df: DataFrame, val_fraction: float = 0.2, purge: int = 5, date: str = S.DATE) -> DataFrame:
-    """The last dates for validation, ``purge`` positions before them dropped, the rest for training."""
+    """The last dates for validation, ``purge`` positions before them dropped, the rest for training.
+
+    Raises if the purge leaves no date to train on.
+    """
+    n = distinct_dates(df, date).count()
+    if n - max(1, int(n * val_fraction)) <= purge:
+        raise ValueError(f"purging {purge} dates leaves none to train on")
     n_val = F.greatest(F.lit(1), F.floor(F.col("n_dates") * F.lit(val_fraction)))
     n_train = F.col("n_dates") - n_val
     role = F.when(F.col("pos") >= n_train, "val").when(F.col("pos") < n_train - purge, "train")
@@ -144,13 +147,6 @@ def holdout_split(df: DataFrame, val_fraction: float = 0.2, purge: int = 5, date
     return rows.where(F.col("role").isNotNull())
 
 
-def checked_holdout_split(df: DataFrame, val_fraction: float = 0.2, purge: int = 5, date: str = S.DATE) -> DataFrame:
-    n = distinct_dates(df, date).count()
-    if n - max(1, int(n * val_fraction)) <= purge:
-        raise ValueError(f"purging {purge} dates leaves none to train on")
-    return holdout_split(df, val_fraction, purge, date)
-
-
 def expanding_partitions(
     df: DataFrame, first_val: int, last_val: int, start: int = 0, partition: str = "partition_id"
 ) -> Iterator[tuple[int, DataFrame, DataFrame]]:
