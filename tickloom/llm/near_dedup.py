@@ -25,7 +25,7 @@ from tickloom.plans.sizing import lookup_side
 PERCENT = 75
 TREES = 12
 # A node is small if it has at most so many pairs across components and so many members.
-NODE_PAIRS, NODE_ROWS = 1_000_000, 2048
+NODE_PAIRS, NODE_ROWS = 500_000, 2048
 BRANCHES = 2
 DEPTH = 6
 # Rounds in which every vertex is checked against heads of its nodes before any node is compared exhaustively.
@@ -64,13 +64,15 @@ def _fresh(equal: np.ndarray, small: int, tree: int) -> np.ndarray:
 
 
 # What a node sends on, so that no row per pair is made: a row per member with its candidates, and a row per candidate.
-LISTS = "node long, sid string, label string, partners array<string>"
+LISTS = "node long, at int, sid string, label string, partners array<int>"
 
 
-def _lists(node: int, found: dict[str, list[str]], labels: dict[str, str]) -> pd.DataFrame:
-    rows = [(node, sid, labels[sid], partners) for sid, partners in found.items()]
-    rows += [(node, sid, labels[sid], None) for sid in dict.fromkeys(p for partners in found.values() for p in partners)]
-    return pd.DataFrame(rows, columns=["node", "sid", "label", "partners"])
+def _lists(node: int, sid: np.ndarray, label: np.ndarray, found: dict[int, np.ndarray]) -> pd.DataFrame:
+    """``found``: positions of a member's candidates by the member's position."""
+    rows = [(node, at, sid[at], label[at], partners) for at, partners in found.items()]
+    if found:
+        rows += [(node, at, sid[at], label[at], None) for at in np.unique(np.concatenate(list(found.values()))).tolist()]
+    return pd.DataFrame(rows, columns=["node", "at", "sid", "label", "partners"])
 
 
 def _cross_pairs(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -89,8 +91,8 @@ def _cross_pairs(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             near = (equal.sum(axis=1) >= AGREE) & _fresh(equal, int(small[k]), tree)
             near &= (label[k + 1:] != label[k]) & (100 * np.minimum(n[k + 1:], n[k]) >= PERCENT * np.maximum(n[k + 1:], n[k]))
             if near.any():
-                out[sid[k]] = list(sid[k + 1:][near])
-        return _lists(int(node["node"].iloc[0]), out, dict(zip(sid, label, strict=True)))
+                out[k] = (np.flatnonzero(near) + k + 1).astype(np.int32)
+        return _lists(int(node["node"].iloc[0]), sid, label, out)
 
     for frame in frames:
         for _, node in frame.groupby("node", sort=False):
@@ -120,20 +122,21 @@ def confirmed_lists(lists: DataFrame, sets: DataFrame, docs: DataFrame, percent:
 
     def check(node: pd.DataFrame) -> pd.DataFrame:
         asks = node[node["partners"].notna()]
-        others = node[node["partners"].isna()].drop_duplicates("sid").set_index("sid")
-        sets_of: dict[str, np.ndarray] = {}
+        others = node[node["partners"].isna()]
+        others = {at: row for at, *row in zip(others["at"], others["sid"], others["label"], others["text"], strict=True)}
+        sets_of: dict[int, np.ndarray] = {}
         out = []
         for sid, text, partners in zip(asks["sid"], asks["text"], asks["partners"], strict=True):
             mine, met = shingle_set(text), set()
             for p in partners:
-                label = others.at[p, "label"]
+                other, label, words = others[p]
                 if label in met:
                     continue
                 if p not in sets_of:
-                    sets_of[p] = shingle_set(others.at[p, "text"])
+                    sets_of[p] = shingle_set(words)
                 if similar(mine, sets_of[p], percent):
                     met.add(label)
-                    out.append((min(sid, p), max(sid, p)))
+                    out.append((min(sid, other), max(sid, other)))
         return pd.DataFrame(out, columns=["a", "b"])
 
     texts = _texts(lists.select("sid"), sets, docs)
@@ -286,17 +289,17 @@ def _rest(level: DataFrame, percent: int) -> list[DataFrame]:
 
     def meet(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
         if not len(x) or not len(y):
-            return pd.DataFrame({"node": pd.Series(dtype="int64"), "sid": [], "label": [], "partners": []})
+            return _lists(0, np.empty(0), np.empty(0), {})
         sig = np.frombuffer(b"".join(y["sig"]), np.uint32).reshape(-1, COORDINATES)
         sid, label, n, out = y["sid"].to_numpy(), y["label"].to_numpy(), y["n"].to_numpy(), {}
-        for s, lab, size, own, small in zip(x["l_sid"], x["l_label"], x["l_n"], x["l_sig"], x["l_small"], strict=True):
+        for k, (lab, size, own, small) in enumerate(zip(x["l_label"], x["l_n"], x["l_sig"], x["l_small"], strict=True)):
             equal = sig == np.frombuffer(own, np.uint32)
             near = (equal.sum(axis=1) >= AGREE) & _fresh(equal, int(small), TREES)
             near &= (label != lab) & (100 * np.minimum(n, size) >= percent * np.maximum(n, size))
             if near.any():
-                out[s] = list(sid[near])
-        labels = dict(zip(sid, label, strict=True)) | dict(zip(x["l_sid"], x["l_label"], strict=True))
-        return _lists(int(x["l_group"].iloc[0]), out, labels)
+                out[len(sid) + k] = np.flatnonzero(near).astype(np.int32)
+        every = np.concatenate([sid, x["l_sid"].to_numpy()]), np.concatenate([label, x["l_label"].to_numpy()])
+        return _lists(int(x["l_group"].iloc[0]), *every, out)
 
     found = []
     for b in range(int(last) + 1):
