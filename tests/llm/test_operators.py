@@ -231,6 +231,20 @@ def test_bpe_equals_the_library(spark, folder, texts, odd):
     assert byte_bpe.token_report(odd.limit(0), v).count() == 0
 
 
+def test_bpe_of_runs_of_spaces_when_texts_begin_with_shorter_ones(spark):
+    import tiktoken
+
+    v = vocabulary()
+    library = tiktoken.Encoding("own", pat_str=v.pattern, mergeable_ranks=v.ranks, special_tokens={})
+    starts = [start + x for start in ("  ", "   ", "\n ", "  \n ", " ") for x in ("alpha one", "beta two")]
+    texts = [*starts, *[f"value{k}{gap}other{k}" for k, gap in enumerate(["   ", "    ", "     ", "  \n", "   \n", " \n", "  ", "  \n\n "])]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = byte_bpe.encode(docs, v)
+    got = got.withColumn("back", byte_bpe.decoder(v, docs)(F.col("ids"))).collect()
+    wrong = [r["text"] for r in got if list(r["ids"]) != library.encode_ordinary(r["text"]) or bytes(r["back"]) != r["text"].encode()]
+    assert len(got) == len(texts) and wrong == []
+
+
 def test_fold_equals_merges_in_python(spark):
     v = vocabulary()
     rng = random.Random(8)

@@ -263,7 +263,8 @@ class Rare(dict):
     def __missing__(self, key: str) -> bytes:
         parts = []
         for match in self.find.findall(word_of(key)):
-            ids = (self.shared.get(match[1:]) if match[0] == " " else None) or self.matches.get(match)
+            # A key that begins with a space is not a space and a word, but a first word (see words_of).
+            ids = (self.shared.get(match[1:]) if match[0] == " " and match[1:2] != " " else None) or self.matches.get(match)
             if ids is None:
                 merged = merge(match.encode("utf-8", "surrogatepass"), self.ranks)
                 if len(self.matches) >= CACHE_WORDS:
