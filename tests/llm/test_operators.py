@@ -206,6 +206,24 @@ def test_line_dedup_equals_brute_force_on_documents(spark, folder, texts):
     assert [got[k] for k in ids] == _line_brute_force([texts[k] for k in ids], line_dedup.MIN_DOCS, line_dedup.MIN_FAMILIES)
 
 
+def test_copies_of_one_document_do_not_outvote_unrelated_ones(spark):
+    rng = random.Random(5)
+    prose = lambda: " ".join("".join(rng.choices("abcdefghij", k=6)) for _ in range(20))
+    common, menu = "All of this is shared by many", [f"{w} menu entry of site" for w in ("first", "second", "third")]
+    one = [common, *[prose() for _ in range(10)]]
+    edited = lambda: [x if rng.random() < 0.9 else prose() for x in one[1:]]
+    groups = {
+        "copies": [one] * 30 + [[common, *edited()] for _ in range(30)],
+        "unrelated": [[common, *[prose() for _ in range(5)]] for _ in range(6)],
+        "menu": [[*menu, *[prose() for _ in range(6)]] for _ in range(9)],
+    }
+    rows = [(f"{name} {k}", "\n".join(lines)) for name, docs in groups.items() for k, lines in enumerate(docs)]
+    got = {r["id"]: r["text"].split("\n") for r in line_dedup.drop_recurring_lines(spark.createDataFrame(rows, "id string, text string")).collect()}
+    for name, docs in groups.items():
+        for k, lines in enumerate(docs):
+            assert got[f"{name} {k}"] == [x for x in lines if x != common and x not in menu]
+
+
 def test_line_dedup_runs_no_python(spark, odd):
     plan = line_dedup.drop_recurring_lines(odd)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Pandas" not in plan
