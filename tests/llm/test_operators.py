@@ -448,6 +448,12 @@ def test_near_duplicates_equal_brute_force_in_dense_groups(spark):
     assert kept.columns == frame.columns and {r["doc_id"] for r in kept.collect()} == {k for k in texts if want[k] == k}
 
 
+def test_near_duplicates_refuse_a_threshold_below_what_candidates_cover(odd):
+    for run in (near_dedup.near_duplicates, near_dedup.keep_one):
+        with pytest.raises(ValueError, match="75"):
+            run(odd, percent=50)
+
+
 def test_near_duplicates_edges(spark, odd):
     got = near_dedup.near_duplicates(odd)
     assert got.count() == odd.count() and got.where("doc_id = 4 and component_id = 3 and not kept").count() == 2

@@ -180,6 +180,8 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, trees: int = TREES,
 
 def _verdicts(docs: DataFrame, percent: int, trees: int, id_col: str, text_col: str) -> DataFrame:
     """Per row: id, key (hash of id and text), n, component_id, kept."""
+    if percent < PERCENT:
+        raise ValueError(f"percent must be {PERCENT} or more: candidates are only looked for from there, got {percent}")
     spark = docs.sparkSession
     base = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
     base = base.withColumn("key", F.xxhash64("id", "text"))
