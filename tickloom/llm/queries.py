@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import byte_bpe, chat_repair, decontaminate, hilbert, line_dedup, near_dedup, neighbours, secret_grammar, toxicity, url_reputation
+from tickloom.llm import byte_bpe, chat_repair, decontaminate, hilbert, line_dedup, near_dedup, neighbours, secret_grammar, substring_dedup, toxicity, url_reputation
 from tickloom.llm.common import table
 
 def vocabulary() -> byte_bpe.Ranks:
@@ -81,3 +81,9 @@ def op5_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 @query("op6_chat_repair")
 def op6_chat_repair(spark: SparkSession, folder: str) -> DataFrame:
     return chat_repair.repaired_turns(table(spark, folder, "conversations"))
+
+
+@query("op13_substring_dedup", substring_dedup.SQL)
+def op13_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    out = substring_dedup.drop_repeats(table(spark, folder, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
