@@ -3,11 +3,13 @@
 Seed: every document's 5-word grams are hashed, and of each run of 16 consecutive grams (the grams of one 20-word
 window) the smallest hash is kept as an anchor (winnowing; the rightmost on ties). A window that occurs twice has the
 same 16 grams in both places and so the same anchor in both, so anchors that occur once can hold no repeat.
-Documents are joined on the anchors that occur more than once.
+Documents are joined on the anchors that occur more than once. Words are hashed in Spark; Python sees hashes only,
+and texts only of documents that lose words.
 Extend: around each such anchor, the windows that contain it are identified by their words; a window whose words
 occurred at a smaller (doc_id, start) is a repeat, and the words of all repeats form maximal repeated passages of at
-least 20 words, which are removed. No pairs of documents are formed: first occurrences come from a partial
-aggregation, and both anti-joins are on unique keys, so a passage in thousands of documents is no hot key.
+least 20 words, which are removed. Only the windows whose own anchor (the rightmost smallest of their grams) repeats
+are looked at. No pairs of documents are formed: anchors seen once come from a partial aggregation and an anti-join
+on unique keys; equal windows meet in one sorted group, which spills if a passage is in a third of all documents.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ import re
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,6 +27,7 @@ from tickloom.llm.common import free_name, stored
 
 # Fixed by the contract: words, and the length of a repeated passage in words.
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
+SEPARATORS = r"[\x20\x09-\x0D]+"
 WINDOW = 20
 # An anchor is a gram of GRAM words; a window holds WINDOW - GRAM + 1 of them.
 GRAM = 5
@@ -32,7 +35,6 @@ SPAN = WINDOW - GRAM + 1
 # Odd multipliers of the polynomial hashes: grams by one, windows by two (128 bits).
 GRAM_BASE = np.uint64(0x9E3779B97F4A7C15)
 WINDOW_BASES = (np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9))
-TEXT_ROWS = 64
 # Null ids are ordered as this, the smallest long.
 NULL_ID = -(2**63)
 
@@ -41,10 +43,6 @@ def words_of(text: str | None) -> list[str]:
     return WORD.findall(text) if text else []
 
 
-def _word_hashes(words: list[str]) -> np.ndarray:
-    return np.fromiter((xxhash.xxh64_intdigest(w.encode("utf-8")) for w in words), dtype=np.uint64, count=len(words))
-
-
 def _rolled(hashes: np.ndarray, length: int, base: np.uint64) -> np.ndarray:
     """Polynomial hash of every run of ``length`` consecutive word hashes (wrapping at 64 bits)."""
     count = len(hashes) - length + 1
@@ -59,28 +57,30 @@ def _rolled(hashes: np.ndarray, length: int, base: np.uint64) -> np.ndarray:
     return acc
 
 
-def anchors(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(positions, hashes) of the winnowed grams: the rightmost smallest gram hash of every window."""
-    if len(words) < WINDOW:
-        return np.empty(0, np.int64), np.empty(0, np.uint64)
-    grams = _rolled(_word_hashes(words), GRAM, GRAM_BASE)
+def canonical(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Gram hashes, and for every window the position of its anchor: the rightmost smallest of its grams."""
+    grams = _rolled(hashes, GRAM, GRAM_BASE)
     runs = np.lib.stride_tricks.sliding_window_view(grams, SPAN)
-    picked = np.unique(np.arange(len(runs)) + (SPAN - 1 - np.argmin(runs[:, ::-1], axis=1)))
-    return picked.astype(np.int64), grams[picked]
+    return grams, np.arange(len(runs)) + (SPAN - 1 - np.argmin(runs[:, ::-1], axis=1))
 
 
-def window_hashes(words: list[str], starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    hashes = _word_hashes(words)
-    first, second = (_rolled(hashes, WINDOW, base)[starts] for base in WINDOW_BASES)
-    return first.view(np.int64), second.view(np.int64)
+def anchors(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(positions, hashes) of the winnowed grams of one document's word hashes."""
+    if len(hashes) < WINDOW:
+        return np.empty(0, np.int64), np.empty(0, np.uint64)
+    grams, of_window = canonical(hashes)
+    picked = np.unique(of_window)
+    return picked.astype(np.int64), grams[picked]
 
 
-def candidate_starts(n_words: int, positions) -> np.ndarray:
-    """Starts of the windows that hold a repeated anchor at one of ``positions``."""
-    mask = np.zeros(max(n_words - WINDOW + 1, 0), dtype=bool)
-    for p in positions:
-        mask[max(p - SPAN + 1, 0) : min(p, n_words - WINDOW) + 1] = True
-    return np.flatnonzero(mask)
+def candidate_windows(hashes: np.ndarray, positions) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and 128-bit hashes of the windows whose anchor is at one of ``positions`` (the repeated ones)."""
+    if len(hashes) < WINDOW:
+        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
+    _, of_window = canonical(hashes)
+    starts = np.flatnonzero(np.isin(of_window, np.asarray(positions, dtype=np.int64)))
+    first, second = (_rolled(hashes, WINDOW, base)[starts] for base in WINDOW_BASES)
+    return starts, first.view(np.int64), second.view(np.int64)
 
 
 def covered(n_words: int, starts) -> np.ndarray:
@@ -92,31 +92,32 @@ def covered(n_words: int, starts) -> np.ndarray:
     return np.cumsum(edges[:-1]) > 0
 
 
-def _anchor_rows(batches, key: list[str], text: str):
+def _unsigned(values) -> np.ndarray:
+    return np.asarray(values, dtype=np.int64).view(np.uint64)
+
+
+def _anchor_rows(batches, key: list[str], hashes: str):
     for pdf in batches:
         out = {c: [] for c in (*key, "anchor", "pos")}
-        for *ids, value in zip(*(pdf[c] for c in key), pdf[text]):
-            positions, hashes = anchors(words_of(value))
+        for *ids, values in zip(*(pdf[c] for c in key), pdf[hashes]):
+            positions, found = anchors(_unsigned(values))
             for c, v in zip(key, ids):
                 out[c].extend([v] * len(positions))
-            out["anchor"].extend(hashes.view(np.int64).tolist())
+            out["anchor"].extend(found.view(np.int64).tolist())
             out["pos"].extend(positions.tolist())
         yield pd.DataFrame(out)
 
 
-def _window_rows(batches, key: list[str], text: str, positions: str):
+def _window_rows(batches, key: list[str], hashes: str, positions: str):
     for pdf in batches:
         out = {c: [] for c in (*key, "w1", "w2", "start")}
-        for *ids, value, seeds in zip(*(pdf[c] for c in key), pdf[text], pdf[positions]):
-            words = words_of(value)
-            starts = candidate_starts(len(words), seeds)
-            if len(starts):
-                first, second = window_hashes(words, starts)
-                for c, v in zip(key, ids):
-                    out[c].extend([v] * len(starts))
-                out["w1"].extend(first.tolist())
-                out["w2"].extend(second.tolist())
-                out["start"].extend(starts.tolist())
+        for *ids, values, seeds in zip(*(pdf[c] for c in key), pdf[hashes], pdf[positions]):
+            starts, first, second = candidate_windows(_unsigned(values), seeds)
+            for c, v in zip(key, ids):
+                out[c].extend([v] * len(starts))
+            out["w1"].extend(first.tolist())
+            out["w2"].extend(second.tolist())
+            out["start"].extend(starts.tolist())
         yield pd.DataFrame(out)
 
 
@@ -125,7 +126,7 @@ def _cut(batches, text: str, starts: str, n_words: str, n_removed: str, columns:
         kept, totals, removed = [], [], []
         for value, found in zip(pdf[text], pdf[starts]):
             words = words_of(value)
-            mask = covered(len(words), found if found is not None else ())
+            mask = covered(len(words), found)
             kept.append(" ".join(w for w, gone in zip(words, mask) if not gone))
             totals.append(len(words))
             removed.append(int(mask.sum()))
@@ -141,45 +142,47 @@ def drop_repeats(docs: DataFrame, text: str = "text", id_col: str = "doc_id") ->
     that stays is its words joined by one space. Added: ``n_words`` and ``n_removed`` (long), which replace columns
     of those names; all other columns pass through.
     Defined cases: a null text has no words and becomes ''; texts of fewer than 20 words have no window: they lose
-    nothing and repeat nothing. Rows with equal id and equal text are one document: they are
-    judged alike and do not repeat each other. Rows with equal id and different texts are ordered by a hash of their
-    text. A null id is ordered as the smallest long. An empty table gives an empty table.
-    Windows are told apart by two 64-bit polynomial hashes of 64-bit word hashes; two different windows taken for
-    one is a chance of about 2^-100 per pair.
+    nothing and repeat nothing. Rows with equal id and equal text are one document: they are judged alike and do
+    not repeat each other. Rows with equal id and different texts are ordered by a hash of their text. A null id is
+    ordered as the smallest long. An empty table gives an empty table.
+    Words are hashed by Spark's xxhash64 and windows told apart by two 64-bit polynomial hashes of those; two
+    different windows taken for one is a chance of about 2^-100 per pair.
     """
-    order, tag = free_name(docs.columns, "_order_id"), free_name(docs.columns, "_text_hash")
+    order, tag, hashes = (free_name(docs.columns, c) for c in ("_order_id", "_text_hash", "_word_hashes"))
     key = [order, tag]
+    words = F.filter(F.split(F.coalesce(F.col(text), F.lit("")), SEPARATORS), lambda w: w != "")
     tagged = docs.withColumns({order: F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)), tag: F.xxhash64(F.coalesce(F.col(text), F.lit("")))})
-    slim = tagged.select(*key, text)
+    with_hashes = tagged.select(*key, F.transform(words, lambda w: F.xxhash64(w)).alias(hashes))
     key_fields = [T.StructField(c, T.LongType(), False) for c in key]
 
     anchor_schema = T.StructType([*key_fields, T.StructField("anchor", T.LongType()), T.StructField("pos", T.LongType())])
-    found = stored(slim.mapInPandas(lambda it: _anchor_rows(it, key, text), anchor_schema), "substring-anchors", TEXT_ROWS)
+    found = stored(with_hashes.where(F.size(hashes) >= WINDOW).mapInPandas(lambda it: _anchor_rows(it, key, hashes), anchor_schema), "substring-anchors")
     once = found.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(*key, "pos")).alias("at")).where("n = 1")
     once = once.select("anchor", *[F.col(f"at.{c}").alias(c) for c in (*key, "pos")])
-    eq = [found[c].eqNullSafe(once[c]) for c in ("anchor", *key, "pos")]
-    seeds = found.join(once, eq, "left_anti").groupBy(*key).agg(F.collect_list("pos").alias("positions"))
+    seeds = found.join(once, ["anchor", *key, "pos"], "left_anti").groupBy(*key).agg(F.collect_list("pos").alias("positions"))
 
-    both = [slim[c].eqNullSafe(seeds[c]) for c in key]
-    seeded = slim.join(seeds, both, "inner").select(slim[order], slim[tag], slim[text], seeds["positions"])
+    slim = tagged.select(*key, text)
+    seeded = slim.join(seeds, key).select(*key, F.transform(words, lambda w: F.xxhash64(w)).alias(hashes), "positions")
     window_schema = T.StructType([*key_fields, T.StructField("w1", T.LongType()), T.StructField("w2", T.LongType()), T.StructField("start", T.LongType())])
-    windows = stored(seeded.mapInPandas(lambda it: _window_rows(it, key, text, "positions"), window_schema), "substring-windows", TEXT_ROWS)
-    first = windows.groupBy("w1", "w2").agg(F.min(F.struct(*key, "start")).alias("at"))
-    first = first.select("w1", "w2", *[F.col(f"at.{c}").alias(c) for c in (*key, "start")])
-    eq = [windows[c].eqNullSafe(first[c]) for c in ("w1", "w2", *key, "start")]
-    repeats = windows.join(first, eq, "left_anti").groupBy(*key).agg(F.collect_list("start").alias("starts"))
+    windows = seeded.mapInPandas(lambda it: _window_rows(it, key, hashes, "positions"), window_schema)
+    # First occurrences: one shuffle on the window hash, ordered within each group of equal windows.
+    earlier = F.row_number().over(Window.partitionBy("w1", "w2").orderBy(*key, "start"))
+    repeats = stored(windows.withColumn("o", earlier).where("o > 1").groupBy(*key).agg(F.collect_list("start").alias("starts")), "substring-repeats")
 
     starts = free_name(tagged.columns, "_repeat_starts")
     repeats = repeats.withColumnRenamed("starts", starts)
-    both = [tagged[c].eqNullSafe(repeats[c]) for c in key]
-    joined = tagged.join(repeats, both, "left").select(tagged["*"], repeats[starts])
     columns = [c for c in docs.columns if c not in ("n_words", "n_removed")] + ["n_words", "n_removed"]
     schema = T.StructType(
         [docs.schema[c] if c != text else T.StructField(text, T.StringType(), False) for c in columns[:-2]]
         + [T.StructField("n_words", T.LongType(), False), T.StructField("n_removed", T.LongType(), False)]
     )
-    cut = joined.mapInPandas(lambda it: _cut(it, text, starts, "n_words", "n_removed", columns), schema)
-    return cut
+    joined = tagged.join(repeats, key, "left")
+    cut = joined.where(F.col(starts).isNotNull()).select(*columns[:-2], starts)
+    cut = cut.mapInPandas(lambda it: _cut(it, text, starts, "n_words", "n_removed", columns), schema)
+    whole = joined.where(F.col(starts).isNull()).withColumns(
+        {text: F.array_join(words, " "), "n_words": F.size(words).cast("long"), "n_removed": F.lit(0).cast("long")}
+    )
+    return cut.unionByName(whole.select(*columns))
 
 
 SQL = r"""
