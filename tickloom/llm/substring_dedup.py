@@ -145,23 +145,28 @@ def drop_repeats(docs: DataFrame, text: str = "text", id_col: str = "doc_id") ->
     nothing and repeat nothing. Rows with equal id and equal text are one document: they are judged alike and do
     not repeat each other. Rows with equal id and different texts are ordered by a hash of their text. A null id is
     ordered as the smallest long. An empty table gives an empty table.
-    Words are hashed by Spark's xxhash64 and windows told apart by two 64-bit polynomial hashes of those; two
+    Texts are told apart by two 64-bit hashes. Words are hashed by Spark's xxhash64 and windows told apart by two 64-bit polynomial hashes of those; two
     different windows taken for one is a chance of about 2^-100 per pair.
     """
-    order, tag, hashes = (free_name(docs.columns, c) for c in ("_order_id", "_text_hash", "_word_hashes"))
+    order, tag, tag2, hashes = (free_name(docs.columns, c) for c in ("_order_id", "_text_hash", "_text_hash2", "_word_hashes"))
     key = [order, tag]
     words = F.filter(F.split(F.coalesce(F.col(text), F.lit("")), SEPARATORS), lambda w: w != "")
-    tagged = docs.withColumns({order: F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)), tag: F.xxhash64(F.coalesce(F.col(text), F.lit("")))})
-    with_hashes = tagged.select(*key, F.transform(words, lambda w: F.xxhash64(w)).alias(hashes))
+    body = F.coalesce(F.col(text), F.lit(""))
+    tagged = docs.withColumns({order: F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)), tag: F.xxhash64(body), tag2: F.xxhash64(F.lit("\x01"), body)})
+    # A copy of an earlier row's text repeats all its windows at the same starts, and that row is earlier for every
+    # window the copy holds: copies are neither judged nor looked at, they lose all words (if they have windows).
+    first_copy = tagged.groupBy(tag, tag2).agg(F.min(order).alias(order))
+    firsts = tagged.join(first_copy, [tag, tag2, order], "left_semi")
     key_fields = [T.StructField(c, T.LongType(), False) for c in key]
 
+    with_hashes = firsts.select(*key, F.transform(words, lambda w: F.xxhash64(w)).alias(hashes))
     anchor_schema = T.StructType([*key_fields, T.StructField("anchor", T.LongType()), T.StructField("pos", T.LongType())])
     found = stored(with_hashes.where(F.size(hashes) >= WINDOW).mapInPandas(lambda it: _anchor_rows(it, key, hashes), anchor_schema), "substring-anchors")
     once = found.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(*key, "pos")).alias("at")).where("n = 1")
     once = once.select("anchor", *[F.col(f"at.{c}").alias(c) for c in (*key, "pos")])
     seeds = found.join(once, ["anchor", *key, "pos"], "left_anti").groupBy(*key).agg(F.collect_list("pos").alias("positions"))
 
-    slim = tagged.select(*key, text)
+    slim = firsts.select(*key, text)
     seeded = slim.join(seeds, key).select(*key, F.transform(words, lambda w: F.xxhash64(w)).alias(hashes), "positions")
     window_schema = T.StructType([*key_fields, T.StructField("w1", T.LongType()), T.StructField("w2", T.LongType()), T.StructField("start", T.LongType())])
     windows = seeded.mapInPandas(lambda it: _window_rows(it, key, hashes, "positions"), window_schema)
@@ -176,11 +181,18 @@ def drop_repeats(docs: DataFrame, text: str = "text", id_col: str = "doc_id") ->
         [docs.schema[c] if c != text else T.StructField(text, T.StringType(), False) for c in columns[:-2]]
         + [T.StructField("n_words", T.LongType(), False), T.StructField("n_removed", T.LongType(), False)]
     )
-    joined = tagged.join(repeats, key, "left")
-    cut = joined.where(F.col(starts).isNotNull()).select(*columns[:-2], starts)
+    flag = free_name(tagged.columns, "_first_copy")
+    joined = tagged.join(first_copy.withColumn(flag, F.lit(True)), [tag, tag2, order], "left")
+    joined = joined.join(repeats, key, "left")
+    cut = joined.where(F.col(starts).isNotNull() & F.col(flag).isNotNull()).select(*columns[:-2], starts)
     cut = cut.mapInPandas(lambda it: _cut(it, text, starts, "n_words", "n_removed", columns), schema)
-    whole = joined.where(F.col(starts).isNull()).withColumns(
-        {text: F.array_join(words, " "), "n_words": F.size(words).cast("long"), "n_removed": F.lit(0).cast("long")}
+    gone = F.col(flag).isNull() & (F.size(words) >= WINDOW)
+    whole = joined.where(F.col(starts).isNull() | F.col(flag).isNull()).withColumns(
+        {
+            text: F.when(gone, F.lit("")).otherwise(F.array_join(words, " ")),
+            "n_words": F.size(words).cast("long"),
+            "n_removed": F.when(gone, F.size(words)).otherwise(F.lit(0)).cast("long"),
+        }
     )
     return cut.unionByName(whole.select(*columns))
 
