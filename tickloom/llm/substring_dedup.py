@@ -8,8 +8,8 @@ and texts only of documents that lose words.
 Extend: around each such anchor, the windows that contain it are identified by their words; a window whose words
 occurred at a smaller (doc_id, start) is a repeat, and the words of all repeats form maximal repeated passages of at
 least 20 words, which are removed. Only the windows whose own anchor (the rightmost smallest of their grams) repeats
-are looked at. No pairs of documents are formed: anchors seen once come from a partial aggregation and an anti-join
-on unique keys; equal windows meet in one sorted group, which spills if a passage is in a third of all documents.
+are looked at. No pairs of documents are formed: equal anchors, and equal windows, meet in one sorted group each (one
+shuffle each), which spills if a passage is in a third of all documents.
 """
 
 from __future__ import annotations
@@ -156,10 +156,10 @@ def drop_repeats(docs: DataFrame, text: str = "text", id_col: str = "doc_id") ->
     key_fields = [T.StructField(c, T.LongType(), False) for c in key]
 
     anchor_schema = T.StructType([*key_fields, T.StructField("anchor", T.LongType()), T.StructField("pos", T.LongType())])
-    found = stored(with_hashes.where(F.size(hashes) >= WINDOW).mapInPandas(lambda it: _anchor_rows(it, key, hashes), anchor_schema), "substring-anchors")
-    once = found.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(*key, "pos")).alias("at")).where("n = 1")
-    once = once.select("anchor", *[F.col(f"at.{c}").alias(c) for c in (*key, "pos")])
-    seeds = found.join(once, ["anchor", *key, "pos"], "left_anti").groupBy(*key).agg(F.collect_list("pos").alias("positions"))
+    found = with_hashes.where(F.size(hashes) >= WINDOW).mapInPandas(lambda it: _anchor_rows(it, key, hashes), anchor_schema)
+    # Anchors seen more than once: one shuffle on the anchor hash.
+    seen = F.count(F.lit(1)).over(Window.partitionBy("anchor"))
+    seeds = found.withColumn("n", seen).where("n > 1").groupBy(*key).agg(F.collect_list("pos").alias("positions"))
 
     slim = tagged.select(*key, text)
     seeded = slim.join(seeds, key).select(*key, F.transform(words, lambda w: F.xxhash64(w)).alias(hashes), "positions")
