@@ -66,3 +66,118 @@ def test_substring_edge_cases(spark):
     assert [r["n_removed"] for r in by[4]] == [30_000, 30_000] and by[5][0]["n_removed"] == 30_000
     assert by[7][0]["n_words"] == 1 and by[7][0]["_order_id"] == 3
     assert substring_dedup.drop_repeats(df.limit(0)).count() == 0
+
+
+def collocations_by_brute_force(rows, top=2000):
+    """Every phrase counted and scored directly."""
+    from collections import Counter
+
+    counts, n = {}, Counter()
+    for text, lang in rows:
+        lang = lang if lang is not None else "und"
+        low = (text or "").translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
+        c = counts.setdefault(lang, Counter())
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", low):
+            w = [x for x in re.split(r"[\x20\x09]+", piece) if x]
+            n[lang] += len(w)
+            for k in (1, 2, 3):
+                for i in range(len(w) - k + 1):
+                    c[tuple(w[i : i + k])] += 1
+    out = []
+    for lang, c in counts.items():
+        cand = {p: a for p, a in c.items() if len(p) >= 2 and a >= 10}
+        rows_ = []
+        for p, a in cand.items():
+            if any(len(q) == len(p) + 1 and 100 * b >= 50 * a and (q[1:] == p or q[:-1] == p) for q, b in cand.items()):
+                continue
+            best = min((1_000_000 * a * a // (c[p[:k]] * c[p[k:]]), k) for k in range(1, len(p)))
+            k = best[1]
+            rows_.append((best[0], a, " ".join(p), c[p[:k]], c[p[k:]]))
+        rows_.sort(key=lambda t: (-t[0], -t[1], t[2].encode()))
+        for rank, (score, a, phrase, l, r) in enumerate(rows_[:top], 1):
+            out.append((lang, rank, phrase, a, l, r, n[lang], score))
+    return sorted(out)
+
+
+def test_collocations_equal_brute_force(spark):
+    from tickloom.llm import collocations
+
+    rng = random.Random(5)
+    vocab = ["New", "york", "city", "the", "of", "a", "big", "apple", "ünï", "x"]
+    rows = []
+    for i in range(300):
+        words = [rng.choice(vocab) for _ in range(rng.randint(0, 30))]
+        if i % 4 == 0:
+            words[0:0] = ["new", "york", "city"]
+        text = " ".join(words)
+        text = text.replace(" of ", " of. ") if i % 5 == 0 else text
+        rows.append((text if i % 17 else None, ["en", "de", None][i % 3]))
+    df = spark.createDataFrame([(i, t, l, "s", None) for i, (t, l) in enumerate(rows)], DOC)
+    got = sorted(tuple(r) for r in collocations.collocations(df, top=7).collect())
+    assert got == collocations_by_brute_force(rows, top=7)
+    full = sorted(tuple(r) for r in collocations.collocations(df).collect())
+    assert full == collocations_by_brute_force(rows)
+    assert collocations.collocations(df.limit(0)).count() == 0
+
+
+def test_collocation_scores_are_exact_beyond_64_bits(spark):
+    from tickloom.llm.collocations import SCALE, _score
+
+    a, l, r = 3 * 10**12, 4 * 10**12 + 1, 5 * 10**12 + 3
+    assert SCALE * a * a > 2**63
+    df = spark.createDataFrame([(a, l, r)], "a long, l long, r long")
+    assert df.select(_score("a", "l", "r").alias("s")).first()["s"] == SCALE * a * a // (l * r)
+
+
+def divergence_by_brute_force(rows):
+    """Every group against every kept term, directly."""
+    from collections import Counter
+
+    groups, docs, occ = set(), Counter(), Counter()
+    for text, lang, source in rows:
+        lang, source = lang or "", source or ""
+        groups.add((lang, source))
+        low = (text or "").translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
+        terms = re.findall(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", low)
+        for t in set(terms):
+            docs[lang, t] += 1
+        for t in terms:
+            occ[lang, source, t] += 1
+    out = []
+    for lang in {g[0] for g in groups}:
+        kept = sorted(t for (l_, t), d in docs.items() if l_ == lang and d >= 10)
+        v = len(kept)
+        sources = sorted(s for l_, s in groups if l_ == lang)
+        p = {}
+        for s in sources:
+            n = sum(occ[lang, s, t] for t in kept)
+            p[s] = {t: 1 + 10**9 * (occ[lang, s, t] + 2) // (n + 2 * v) for t in kept}
+        n_lang = sum(occ[lang, s, t] for s in sources for t in kept)
+        q = {t: 1 + 10**9 * (sum(occ[lang, s, t] for s in sources) + 2) // (n_lang + 2 * v) for t in kept}
+        f = lambda a, b: (a - b) * (a - b) // (a + b)
+        for s in sources:
+            pairs = sorted(((sum(f(p[s][t], p[o][t]) for t in kept), o) for o in sources if o != s), key=lambda x: (-x[0], x[1].encode()))
+            out += [(lang, s, "pair", o, val, k) for k, (val, o) in enumerate(pairs, 1)]
+            terms = [(f(p[s][t], q[t]), t) for t in kept if occ[lang, s, t] > 0 and p[s][t] > q[t]]
+            terms.sort(key=lambda x: (-x[0], x[1].encode()))
+            out += [(lang, s, "term", t, val, k) for k, (val, t) in enumerate(terms[:10], 1)]
+    return sorted(out)
+
+
+def test_divergence_equals_brute_force(spark):
+    from tickloom.llm import source_divergence
+
+    rng = random.Random(7)
+    vocab = ["alpha", "Beta", "gamma", "délta", "eps", "zeta", "eta", "theta", "iota", "kappa", "x1y", "ALPHA"]
+    rows = []
+    for i in range(400):
+        words = [rng.choice(vocab) for _ in range(rng.randint(0, 12))]
+        source = ["web", "news", None, "wiki", "books"][rng.randrange(5) if i % 3 else 0]
+        lang = ["en", "de", None][i % 3]
+        rows.append((" ".join(words) if i % 29 else None, lang, source))
+    rows += [("alpha", "fr", "only"), ("", "xx", "a"), ("Beta", "xx", "b")]  # one source; no kept terms
+    df = spark.createDataFrame([(i, t, l, s, None) for i, (t, l, s) in enumerate(rows)], DOC)
+    got = sorted(tuple(r) for r in source_divergence.divergence(df).collect())
+    assert got == divergence_by_brute_force(rows)
+    assert {r[2] for r in got} == {"pair", "term"}
+    assert source_divergence.divergence(df.limit(0)).count() == 0

@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tickloom.session import scratch_path
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
+# Buckets per group of the first step of a top-k list.
+BUCKETS = 64
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -48,3 +50,11 @@ def free_name(df_columns: Sequence[str], wanted: str) -> str:
     while wanted.lower() in taken:
         wanted += "_"
     return wanted
+
+
+def top_per(df: DataFrame, group: list[str], order: list[Column], k: int, spread: Column) -> DataFrame:
+    """The first ``k`` rows per group by ``order`` (a total order) with their rank, in two steps."""
+    bucket = F.pmod(spread, F.lit(BUCKETS))
+    first = df.withColumn("_bucket", bucket).withColumn("_r", F.row_number().over(Window.partitionBy(*group, "_bucket").orderBy(*order)))
+    first = first.where(F.col("_r") <= k).drop("_bucket", "_r")
+    return first.withColumn("rank", F.row_number().over(Window.partitionBy(*group).orderBy(*order)).cast("long")).where(F.col("rank") <= k)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import byte_bpe, chat_repair, decontaminate, hilbert, line_dedup, near_dedup, neighbours, secret_grammar, substring_dedup, toxicity, url_reputation
+from tickloom.llm import byte_bpe, chat_repair, collocations, decontaminate, hilbert, line_dedup, near_dedup, neighbours, secret_grammar, source_divergence, substring_dedup, toxicity, url_reputation
 from tickloom.llm.common import table
 
 def vocabulary() -> byte_bpe.Ranks:
@@ -87,3 +87,13 @@ def op6_chat_repair(spark: SparkSession, folder: str) -> DataFrame:
 def op13_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     out = substring_dedup.drop_repeats(table(spark, folder, "documents"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query("op11_collocations", collocations.SQL)
+def op11_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(table(spark, folder, "documents"))
+
+
+@query("op12_source_divergence", source_divergence.SQL)
+def op12_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return source_divergence.divergence(table(spark, folder, "documents"))
