@@ -121,3 +121,31 @@ def test_resume_from_home(spark, batch, folder):
     second.run(arrivals.stream(spark))
     want = win.rolling_features(batch, ["feature_00"], [5], ["mean"], order=ORDER)
     exact(second.output(), want, ["feature_00_roll5_mean"])
+
+
+def test_lag_rows_that_land_after_their_batch_are_late(spark, folder, run):
+    """Chunk two's lag rows land after its batch: its rows keep null lags, and those lag rows are counted late."""
+    from tickloom.catalog.streams import lag_arrivals, land_lags
+
+    arrivals = Arrivals(spark, folder)
+    lags, table = lag_arrivals(spark, folder)
+    stream = FeatureStream(spark, [LagStep(["feature_00"], [1], order=ORDER)], arrivals.schema, lags=table)
+    assert stream.late_lags().count() == 0
+    for k, (first, end) in enumerate(zip(CHUNKS, CHUNKS[1:])):
+        arrivals.land(first, end)
+        if k != 1:
+            land_lags(lags, table, first, end)
+        stream.run(arrivals.stream(spark))
+        if k == 1:
+            land_lags(lags, table, first, end)
+    out = stream.output()
+    second = out.where(F.col("batch") == 1)
+    assert second.count() > 0 and second.where(F.col("responder_6_lag_1").isNotNull()).count() == 0
+    others = out.where(F.col("batch") != 1).join(lags, ["date_id", "time_id", "symbol_id"], "left_semi")
+    assert others.where(F.col("responder_6_lag_1").isNull()).count() == 0
+    late = stream.late_lags()
+    want = lags.join(second.select("date_id", "time_id", "symbol_id").distinct(), ["date_id", "time_id", "symbol_id"], "left_semi")
+    assert late.count() == want.count() > 0
+    assert late.select("batch").distinct().collect() == [(1,)]
+    # Rows already written stay as they were.
+    assert stream.output().where(F.col("batch") == 1).where(F.col("responder_6_lag_1").isNotNull()).count() == 0

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom import schema as S
-from tickloom.catalog.common import EV, ORDER, W_E, events_panel, query, rounded, s6
+from tickloom.catalog.common import EV, GRID, ORDER, W_E, events_panel, grid_panel, lag_table, query, rounded, s6
 from tickloom.catalog.windows import _frame
 from tickloom.plans.features import LagStep, RollingStep
 from tickloom.session import scratch_path
@@ -57,6 +57,17 @@ def _run(spark: SparkSession, folder: str, steps: Sequence, chunks: Sequence[int
     return stream
 
 
+def lag_arrivals(spark: SparkSession, folder: str) -> tuple[DataFrame, st.LagTable]:
+    """The responders of the day before per key, and an empty landing folder for them."""
+    lags = lag_table(grid_panel(spark, folder))
+    return lags, st.LagTable(scratch_path(spark, "lags"), lags.schema)
+
+
+def land_lags(lags: DataFrame, table: st.LagTable, first: int, end: int) -> None:
+    part = lags.where(F.col(S.DATE) >= first)
+    table.land(part if end == CHUNKS[-1] else part.where(F.col(S.DATE) < end))
+
+
 _FN = {"mean": "avg", "std": "stddev_samp", "min": "min", "max": "max"}
 
 
@@ -193,3 +204,24 @@ def stream_latency(spark: SparkSession, folder: str) -> DataFrame:
     """Batches, rows, and whether a mean latency was measured; its value depends on the machine."""
     summary = st.latency_summary(_run(spark, folder, _steps()[1:]).latencies())
     return summary.select("n_batches", "n_rows", (F.col("mean_latency_ms") > 0).alias("measured"))
+
+
+@query("stream_lag_table", f"""WITH {GRID}, f AS (SELECT event_id, date_id, time_id, symbol_id, lag(feature_00, 1) OVER w AS l FROM ev WINDOW w AS ({W_E}))
+  SELECT f.event_id, {s6('f.l', 'feature_00_lag1')}, {s6('0.5 * f.l + g.responder_6', 'prediction')}, {s6('g.responder_6', 'responder_6_lag_1')}
+  FROM f LEFT JOIN grid g ON g.date_id + 1 = f.date_id AND g.time_id = f.time_id AND g.symbol_id = f.symbol_id""")
+def stream_lag_table(spark: SparkSession, folder: str) -> DataFrame:
+    """Lag rows land with each chunk, a second input that the stream reads at each batch; the model uses them."""
+    arrivals = Arrivals(spark, folder)
+    lags, table = lag_arrivals(spark, folder)
+
+    def predict(df: DataFrame) -> DataFrame:
+        return df.withColumn(S.PREDICTION, 0.5 * F.col("feature_00_lag1") + F.col("responder_6_lag_1"))
+
+    scorer = st.Scorer(predict, low=None, high=None)
+    stream = st.FeatureStream(spark, [LagStep(["feature_00"], [1], order=ORDER)], arrivals.schema, lags=table, scorer=scorer)
+    for first, end in zip(CHUNKS, CHUNKS[1:]):
+        arrivals.land(first, end)
+        land_lags(lags, table, first, end)
+        stream.run(arrivals.stream(spark))
+    out = stream.output().select("event_id", "feature_00_lag1", S.PREDICTION, "responder_6_lag_1")
+    return rounded(out, "feature_00_lag1", S.PREDICTION, "responder_6_lag_1")

@@ -50,6 +50,40 @@ class Scorer:
         return scored.withColumn(self.prediction, clipped(F.col(self.prediction), self.low, self.high))
 
 
+@dataclass
+class LagTable:
+    """Lag rows that keep landing in a folder, partitioned by date, while a stream runs: a second, changing input.
+
+    A batch row takes the lag row of its key that is in the folder when its batch runs, read afresh and pruned to
+    the batch's dates. A row whose lag row is not there yet gets null lag columns (the missing value) and its key is
+    recorded; a lag row that lands after its row's batch is late: it is counted and kept apart (``late_lags``) and
+    never changes rows already written, which stay append-only. A key must have at most one lag row.
+    """
+
+    path: str
+    schema: T.StructType
+    keys: Sequence[str] = tuple(S.KEYS)
+
+    @property
+    def columns(self) -> list[str]:
+        return [c for c in self.schema.names if c not in self.keys]
+
+    def land(self, rows: DataFrame) -> None:
+        rows.select(*self.schema.names).write.mode("append").partitionBy(S.DATE).parquet(self.path)
+
+    def read(self, spark: SparkSession, first: int | None = None, last: int | None = None) -> DataFrame:
+        """What has landed so far, of the dates from ``first`` to ``last`` if given (read from those folders only)."""
+        try:
+            rows = spark.read.schema(self.schema).parquet(self.path)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return spark.createDataFrame([], self.schema)
+        if first is not None:
+            rows = rows.where(F.col(S.DATE).between(first, last))
+        return rows
+
+
 @dataclass
 class FeatureStream:
     """Lag and rolling features of a stream of panel rows."""
@@ -61,6 +95,7 @@ class FeatureStream:
     scorer: Scorer | None = None
     max_batches: int | None = None
     home: str = ""
+    lags: LagTable | None = None
     late_rows: int = 0
     batches: list[dict] = field(default_factory=list)
     _full: bool = False
@@ -155,11 +190,14 @@ class FeatureStream:
             .persist()
         )
         try:
+            new_date = F.when(F.col(_NEW), F.col(S.DATE))
             counts = joined.agg(
-                F.count_if(F.col(_NEW)).alias("n"), F.count_if("_late").alias("late")
+                F.count_if(F.col(_NEW)).alias("n"), F.count_if("_late").alias("late"), F.min(new_date).alias("first"), F.max(new_date).alias("last")
             ).first()
             usable = joined.where(~F.col("_late")).drop("_late")
             out = add_entity_steps(usable, self.steps).where(F.col(_NEW)).drop(_NEW)
+            if self.lags is not None:
+                out = self._with_lags(out, batch_id, counts["first"], counts["last"])
             if self.scorer is not None:
                 out = self.scorer(out)
             out.write.mode("overwrite").parquet(f"{self.home}/output/batch={batch_id}")
@@ -175,6 +213,27 @@ class FeatureStream:
         took = (time.perf_counter() - start) * 1000
         self.batches.append({"batch_id": batch_id, "n_rows": counts["n"], "latency_ms": took})
 
+    def _with_lags(self, out: DataFrame, batch_id: int, first: int | None, last: int | None) -> DataFrame:
+        """The batch's rows with their lag columns; keys without a lag row are recorded for the late rule."""
+        lags = self.lags.read(self.spark, first, last) if first is not None else self.spark.createDataFrame([], self.lags.schema)
+        keys = list(self.lags.keys)
+        found = lags.withColumn("_has_lag", F.lit(True))
+        # Batch rows and the lag rows of their dates: both sides grow with one batch, not with the stream.
+        joined = out.join(found, keys, "left")
+        missing = joined.where(F.col("_has_lag").isNull()).select(*keys).distinct()
+        missing.write.mode("overwrite").parquet(f"{self.home}/missing_lags/batch={batch_id}")
+        return joined.drop("_has_lag")
+
+    def late_lags(self) -> DataFrame:
+        """Lag rows that landed after the batch of their key's rows, with that batch; empty without a lag table."""
+        if self.lags is None:
+            return self.spark.createDataFrame([], "batch int")
+        missing = self._table("missing_lags")
+        schema = T.StructType([*self.lags.schema.fields, T.StructField("batch", T.IntegerType())])
+        if missing is None:
+            return self.spark.createDataFrame([], schema)
+        return self.lags.read(self.spark).join(missing, list(self.lags.keys), "inner").select(*schema.names)
+
     def run(self, stream: DataFrame) -> StreamingQuery:
         """Process all data that is there, batch by batch, then stop; call again to go on.
 
