@@ -139,3 +139,29 @@ def test_unknown_symbol_has_no_one(spark):
     new = spark.createDataFrame([(1,), (9,)], "symbol_id int")
     out = models.onehot_symbol(train).transform(new).select("symbol_id", vector_to_array("symbol_vector").alias("v"))
     assert {r["symbol_id"]: sum(r["v"]) for r in out.collect()} == {1: 1.0, 9: 0.0}
+
+
+def test_ridge_from_sums_equals_direct_solution(spark):
+    """Every penalty from one pass of sums equals the weighted ridge solved on the rows themselves."""
+    import numpy as np
+
+    from tickloom.plans import models as m
+
+    rng = np.random.default_rng(4)
+    rows = []
+    for i in range(400):
+        a, b = 1000 + rng.normal(0, 3), rng.normal(0, 1)
+        rows.append((None if i % 9 == 0 else float(a), float(b), float(2 * a - b + rng.normal()), float(i % 4)))
+    df = spark.createDataFrame(rows, "f0 double, f1 double, y double, w double")
+    alphas = [0.0, 0.1, 1.0, 10.0, 100.0, 1e3, 1e4, 1e5, 1e6, 1e7]
+    fitted = m.ridge_grid(df, ["f0", "f1"], alphas, target="y", weight="w")
+    x = np.array([[r[0], r[1]] for r in rows], dtype=float)
+    x[np.isnan(x[:, 0]), 0] = fitted[0].medians[0]
+    z = (x - x.mean(axis=0)) / x.std(axis=0)
+    y, w = np.array([r[2] for r in rows]), np.array([r[3] for r in rows])
+    zc, yc = z - (w @ z) / w.sum(), y - (w @ y) / w.sum()
+    for alpha, model in zip(alphas, fitted):
+        want = np.linalg.solve((zc * w[:, None]).T @ zc + alpha * np.eye(2), (zc * w[:, None]).T @ yc)
+        assert np.allclose(model.coefficients, want, rtol=1e-9, atol=1e-9)
+        got = np.array([r[0] for r in model.predict(df, "p").select("p").collect()])
+        assert np.allclose(got, (w @ y) / w.sum() + zc @ want, rtol=1e-9, atol=1e-9)

@@ -14,6 +14,7 @@ from dataclasses import dataclass, field
 from functools import reduce
 from typing import Any
 
+import numpy as np
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
@@ -461,12 +462,14 @@ def scaled_columns(
 def ridge_grid(
     train: DataFrame, features: Sequence[str], alphas: Sequence[float], target: str = S.TARGET, weight: str = S.WEIGHT
 ) -> list[Ridge]:
-    """One ridge per penalty; medians and moments are shared, each fit is one pass over scaled vectors.
+    """One ridge per penalty, all from one pass of sums after the medians.
 
-    The solver scales its penalty by the label deviation and the weight sum, so it gets
-    alpha * deviation / weight sum.
+    Columns are filled with their median and standardised (mean and population deviation over the rows with a
+    target); the ridge solves (G + alpha I) c = g, where G and g are the weighted, centred cross products of the
+    standardised columns with each other and with the target. One aggregation gives counts, sums, squares and weighted
+    cross products of the median-shifted columns; every penalty is then a p x p system on the driver, whose size
+    depends on the number of columns only. Rows without a target are left out; a missing weight counts 0.
     """
-    features = list(features)
     known = train.where(F.col(target).isNotNull()).select(
         *[F.col(c).cast("double").alias(c) for c in features],
         F.col(target).cast("double").alias(target),
@@ -474,33 +477,35 @@ def ridge_grid(
     )
     found = {r["column"]: r["median"] for r in cross.exact_medians(known, features).collect()}
     medians = [found.get(c, 0.0) for c in features]
-    filled = [F.coalesce(F.col(c), F.lit(m)) for c, m in zip(features, medians)]
+    # Shifted by the median, so that sums of squares lose no digits to a large mean.
+    shifted = [F.coalesce(F.col(c), F.lit(m)) - F.lit(m) for c, m in zip(features, medians)]
     y, w = F.col(target), F.col(weight)
-    row = known.agg(
-        *[F.avg(x).alias(f"mean{i}") for i, x in enumerate(filled)],
-        *[F.stddev_pop(x).alias(f"std{i}") for i, x in enumerate(filled)],
-        F.sum(w).alias("w"),
-        F.sum(w * y).alias("wy"),
-        F.sum(w * y * y).alias("wyy"),
-    ).first()
-    means, devs = [row[f"mean{i}"] for i in range(len(features))], [row[f"std{i}"] for i in range(len(features))]
-    spread = math.sqrt(max(row["wyy"] / row["w"] - (row["wy"] / row["w"]) ** 2, 0.0))
-    names = [f"_x{i}" for i in range(len(features))]
-    scaled = known.select(
-        *[x.alias(n) for n, x in zip(names, scaled_columns(features, medians, means, devs))], target, weight
-    )
-    vectors = VectorAssembler(inputCols=names, outputCol=VECTOR).transform(scaled).select(VECTOR, target, weight)
-    if len(alphas) > 1:
-        vectors = vectors.persist()
+    p = len(features)
+    sums = [F.count(F.lit(1)).alias("n"), F.sum(w).alias("w"), F.sum(w * y).alias("wy")]
+    for i, x in enumerate(shifted):
+        sums += [F.sum(x).alias(f"s{i}"), F.sum(x * x).alias(f"ss{i}"), F.sum(w * x).alias(f"wx{i}"), F.sum(w * x * y).alias(f"wxy{i}")]
+        sums += [F.sum(w * x * shifted[k]).alias(f"wxx{i}_{k}") for k in range(i, p)]
+    row = known.agg(*sums).first()
+    if not row["n"] or not row["w"]:
+        raise ValueError("a ridge needs rows with a target and a positive weight sum")
+    n, total = row["n"], row["w"]
+    centre = np.array([row[f"s{i}"] / n for i in range(p)])
+    spread = np.sqrt(np.maximum(np.array([row[f"ss{i}"] / n for i in range(p)]) - centre**2, 0.0))
+    scale = np.where(spread > 0, spread, 1.0)
+    wx = np.array([row[f"wx{i}"] for i in range(p)])
+    wxx = np.zeros((p, p))
+    for i in range(p):
+        for k in range(i, p):
+            wxx[i, k] = wxx[k, i] = row[f"wxx{i}_{k}"]
+    gram = (wxx - np.outer(wx, wx) / total) / np.outer(scale, scale)
+    towards = (np.array([row[f"wxy{i}"] for i in range(p)]) - wx * row["wy"] / total) / scale
+    mean_scaled = (wx / total - centre) / scale
+    means = [m + c for m, c in zip(medians, centre)]
     out = []
     for alpha in alphas:
-        solver = LinearRegression(
-            featuresCol=VECTOR, labelCol=target, weightCol=weight, solver="normal", standardization=False,
-            elasticNetParam=0.0, regParam=alpha * spread / row["w"],
-        )
-        model = solver.fit(vectors)
-        out.append(Ridge(features, medians, means, devs, model.coefficients.toArray().tolist(), float(model.intercept)))
-    vectors.unpersist()
+        coefficients = np.linalg.solve(gram + alpha * np.eye(p), towards)
+        intercept = row["wy"] / total - float(coefficients @ mean_scaled)
+        out.append(Ridge(list(features), medians, means, spread.tolist(), coefficients.tolist(), intercept))
     return out
 
 
