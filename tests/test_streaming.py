@@ -149,3 +149,20 @@ def test_lag_rows_that_land_after_their_batch_are_late(spark, folder, run):
     assert late.select("batch").distinct().collect() == [(1,)]
     # Rows already written stay as they were.
     assert stream.output().where(F.col("batch") == 1).where(F.col("responder_6_lag_1").isNotNull()).count() == 0
+
+
+def test_keyed_late_rows_are_kept_apart(spark, folder, batch):
+    """Rows landed again after their entity moved on are late: flagged and counted, and change no feature."""
+    arrivals = Arrivals(spark, folder)
+    keyed = KeyedFeatureStream(spark, batch.schema, lagged=["feature_00"], lags=[1], order=ORDER)
+    arrivals.land(CHUNKS[0], CHUNKS[1])
+    keyed.run(arrivals.stream(spark))
+    arrivals.land(CHUNKS[0], CHUNKS[1])
+    arrivals.land(CHUNKS[1], CHUNKS[-1])
+    keyed.run(arrivals.stream(spark))
+    first = batch.where(F.col("date_id") < CHUNKS[1])
+    assert keyed.late_rows() == first.count() > 0
+    assert sorted(r[0] for r in keyed.late().select("event_id").collect()) == sorted(r[0] for r in first.select("event_id").collect())
+    out = keyed.output()
+    assert out.count() == batch.count()
+    exact(out, win.lag_features(batch, ["feature_00"], [1], order=ORDER), keyed.names())

@@ -1,6 +1,7 @@
 """The same features with each entity's buffer in Spark's state store.
 
-For low latency on a few rows per entity and batch. An entity's rows of one batch pass one task, so the
+Rows that are not later than their entity's buffer are late: they are written without features, flagged, and read
+apart (``late``), so none vanishes. For low latency on a few rows per entity and batch. An entity's rows of one batch pass one task, so the
 batch size bounds what a task holds; with very uneven entities use ``FeatureStream``, which splits them.
 """
 
@@ -15,6 +16,7 @@ import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
@@ -54,6 +56,17 @@ def trailing_columns(
     return pd.DataFrame(made, index=rows.index)
 
 
+def later_than(rows: pd.DataFrame, order: Sequence[str], last: tuple) -> np.ndarray:
+    """Which rows come after ``last`` in the order of ``order`` (lexicographic), column by column."""
+    later = np.zeros(len(rows), dtype=bool)
+    equal = np.ones(len(rows), dtype=bool)
+    for c, v in zip(order, last):
+        values = rows[c].to_numpy()
+        later |= equal & (values > v)
+        equal &= values == v
+    return later
+
+
 class BufferProcessor(StatefulProcessor):
     """Buffered rows plus new rows give the features; the newest rows become the buffer."""
 
@@ -75,9 +88,12 @@ class BufferProcessor(StatefulProcessor):
         new = pd.concat(list(rows), ignore_index=True).sort_values(self.order, kind="stable")
         past = self._past()
         if len(past):
-            last = tuple(past[self.order].iloc[-1])
-            later = [tuple(r) > last for r in new[self.order].itertuples(index=False, name=None)]
-            new = new[np.array(later, dtype=bool)]
+            later = later_than(new, self.order, tuple(past[self.order].iloc[-1]))
+            late = new[~later]
+            if len(late):
+                # Rows not later than the buffer would rewrite the past: they pass without features, flagged.
+                yield pd.concat([late.reset_index(drop=True), pd.DataFrame(np.nan, index=range(len(late)), columns=self.names)], axis=1).assign(late=True)
+            new = new[later]
         if new.empty:
             return
         both = pd.concat([past, new[self.fields]], ignore_index=True) if len(past) else new[self.fields].reset_index(drop=True)
@@ -85,7 +101,7 @@ class BufferProcessor(StatefulProcessor):
         kept = both.tail(self.size).astype(object)
         kept = kept.where(kept.notna(), None)
         self.buffer.put([tuple(r) for r in kept.itertuples(index=False, name=None)])
-        yield pd.concat([new.reset_index(drop=True), made.reset_index(drop=True)], axis=1)
+        yield pd.concat([new.reset_index(drop=True), made.reset_index(drop=True)], axis=1).assign(late=False)
 
     def handleInitialState(self, key, initialState, timerValues) -> None:
         rows = initialState.sort_values(self.order, kind="stable")[self.fields].tail(self.size).astype(object)
@@ -126,7 +142,9 @@ class KeyedFeatureStream:
         """The stream with features; ``history`` fills the buffers of a new query."""
         kept = list(dict.fromkeys([*self.order, *self.rolling, *self.lagged]))
         state_schema = T.StructType([self.columns[c] for c in kept])
-        out_schema = T.StructType([*self.columns.fields, *[T.StructField(n, T.DoubleType()) for n in self.names()]])
+        out_schema = T.StructType(
+            [*self.columns.fields, *[T.StructField(n, T.DoubleType()) for n in self.names()], T.StructField("late", T.BooleanType())]
+        )
         spec = {
             "rolling": list(self.rolling), "windows": list(self.windows), "stats": list(self.stats),
             "lagged": list(self.lagged), "lags": list(self.lags),
@@ -159,5 +177,16 @@ class KeyedFeatureStream:
                 self.spark.conf.set(_PROVIDER, before)
         return query
 
-    def output(self) -> DataFrame:
+    def _written(self) -> DataFrame:
         return self.spark.read.parquet(f"{self.home}/output")
+
+    def output(self) -> DataFrame:
+        """Rows with features."""
+        return self._written().where(~F.col("late")).drop("late")
+
+    def late(self) -> DataFrame:
+        """Rows that were not later than their entity's buffer, without features; kept, not applied."""
+        return self._written().where(F.col("late")).select(*self.columns.names)
+
+    def late_rows(self) -> int:
+        return self._written().where(F.col("late")).count()
