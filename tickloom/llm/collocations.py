@@ -7,16 +7,20 @@ Growth is level by level: a phrase can reach count 10 only if its first and last
 scores at most floor(1e6 * a / max(f(first word), f(last word))) since both parts of a cut occur at least a times.
 Two-word candidates are scored exactly first; once their 2000th surviving score per language is known, only
 three-word phrases whose bound reaches it (ties included) are scored, the rest cannot enter the list. Counts come from
-one explode of the grams of every piece and one aggregation, combined map-side; the list per language is cut in two
+one pass over the texts in Arrow batches, where each batch combines its repeated grams, and one aggregation; the list per language is cut in two
 steps (per language and hash bucket, then per language), so a language with a third of the rows is no single task.
 """
 
 from __future__ import annotations
 
+import re
+from collections import Counter
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import ascii_lower, stored, top_per
+from tickloom.llm.common import stored, top_per
 
 # Fixed by the contract: pieces, words, least count, phrase lengths, list length, score scale, drop share.
 PIECE = r"[.,;:!?\x0A-\x0D]"
@@ -27,24 +31,33 @@ SCALE = 1_000_000
 EXACT = "decimal(38,0)"
 
 
-def _grams(words: Column, length: int) -> Column:
-    """All runs of ``length`` consecutive words, space-joined."""
-    out = words
-    for k in range(1, length):
-        out = F.zip_with(out, F.slice(words, k + 1, F.greatest(F.size(words) - k, F.lit(0))), lambda a, b: F.concat(a, F.lit(" "), b))
-    return F.filter(out, lambda g: g.isNotNull())
+_PIECE = re.compile(PIECE)
+_SPACE = re.compile(SPACE)
+_LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def _gram_counts(batches):
+    """Counts of the grams of one Arrow batch of texts, per language: repeats are combined before the shuffle."""
+    for pdf in batches:
+        counts: Counter = Counter()
+        for lang, text in zip(pdf["lang"], pdf["text"]):
+            if not text:
+                continue
+            for piece in _PIECE.split(text.translate(_LOWER)):
+                w = [x for x in _SPACE.split(piece) if x]
+                counts.update((lang, x, 1) for x in w)
+                counts.update((lang, f"{a} {b}", 2) for a, b in zip(w, w[1:]))
+                counts.update((lang, f"{a} {b} {c}", 3) for a, b, c in zip(w, w[1:], w[2:]))
+        yield pd.DataFrame(
+            [(lang, phrase, words, f) for (lang, phrase, words), f in counts.items()], columns=["lang", "phrase", "words", "f"]
+        )
 
 
 def phrase_counts(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
     """(lang, phrase, words, f): counts of all phrases of one to three words within pieces."""
-    pieces = docs.select(
-        F.coalesce(F.col(lang), F.lit("und")).alias("lang"),
-        F.explode(F.split(ascii_lower(F.coalesce(F.col(text), F.lit(""))), PIECE)).alias("piece"),
-    )
-    words = F.filter(F.split("piece", SPACE), lambda w: w != "")
-    grams = pieces.select("lang", words.alias("w")).select("lang", F.explode(F.concat(F.col("w"), _grams(F.col("w"), 2), _grams(F.col("w"), 3))).alias("phrase"))
-    counts = grams.groupBy("lang", "phrase").agg(F.count(F.lit(1)).alias("f"))
-    return counts.withColumn("words", F.size(F.split("phrase", " ")))
+    texts = docs.select(F.coalesce(F.col(lang), F.lit("und")).alias("lang"), F.col(text).alias("text"))
+    schema = "lang string, phrase string, words int, f long"
+    return texts.mapInPandas(_gram_counts, schema).groupBy("lang", "phrase", "words").agg(F.sum("f").alias("f"))
 
 
 def _score(a: str, l: str, r: str) -> Column:
