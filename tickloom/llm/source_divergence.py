@@ -9,15 +9,20 @@ corrections: for a term present in one of the two, from the number of terms with
 present in both, from a frequent-pattern tree. Each term is a row of its (source, count) pairs, ordered by source;
 equal rows are inserted once with their multiplicity, every prefix is a node that adds up the multiplicities below
 it, and a node pairs its last entry with each of its ancestors' once, weighted by the node's multiplicity. Everything
-is a DataFrame aggregation, combined map-side; no group of terms or documents meets in one task.
+is a DataFrame aggregation, combined map-side; no group of terms or documents meets in one task. Terms are counted in
+Python per Arrow batch, which combines a batch's repeats before the shuffle.
 """
 
 from __future__ import annotations
 
+import re
+from collections import Counter
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import ascii_lower, stored, top_per
+from tickloom.llm.common import stored, top_per
 
 # Fixed by the contract: terms, least number of documents, scale, length of the term list.
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
@@ -37,19 +42,31 @@ def f_of(p: str, q: str) -> Column:
     return F.expr(f"(({p} - {q}) * ({p} - {q})) div ({p} + {q})")
 
 
+_TERM = re.compile(TERM)
+_LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def _term_counts(batches):
+    """(lang, source, term, c, d) of one Arrow batch: occurrences and documents, combined within the batch."""
+    for pdf in batches:
+        found: dict[tuple[str, str, str], list[int]] = {}
+        for lang, source, text in zip(pdf["lang"], pdf["source"], pdf["text"]):
+            if not text:
+                continue
+            for term, c in Counter(_TERM.findall(text.translate(_LOWER))).items():
+                cell = found.setdefault((lang, source, term), [0, 0])
+                cell[0] += c
+                cell[1] += 1
+        yield pd.DataFrame([(*k, c, d) for k, (c, d) in found.items()], columns=["lang", "source", "term", "c", "d"])
+
+
 def term_stats(docs: DataFrame, text: str, lang: str, source: str) -> DataFrame:
     """(lang, source, term, c, d): occurrences and documents per group and term, from one scan."""
-    terms = F.regexp_extract_all(ascii_lower(F.coalesce(F.col(text), F.lit(""))), F.lit(TERM), 0)
     rows = docs.select(
-        F.coalesce(F.col(lang), F.lit("")).alias("lang"), F.coalesce(F.col(source), F.lit("")).alias("source"), terms.alias("t")
-    )
-    # Every occurrence once as (term, 1, 0) and every document's distinct terms once more as (term, 0, 1).
-    marks = F.concat(
-        F.transform("t", lambda t: F.struct(t.alias("term"), F.lit(1).alias("c"), F.lit(0).alias("d"))),
-        F.transform(F.array_distinct("t"), lambda t: F.struct(t.alias("term"), F.lit(0).alias("c"), F.lit(1).alias("d"))),
+        F.coalesce(F.col(lang), F.lit("")).alias("lang"), F.coalesce(F.col(source), F.lit("")).alias("source"), F.col(text).alias("text")
     )
-    marked = rows.select("lang", "source", F.explode(marks).alias("m")).select("lang", "source", "m.*")
-    return marked.groupBy("lang", "source", "term").agg(F.sum("c").cast("long").alias("c"), F.sum("d").cast("long").alias("d"))
+    counted = rows.mapInPandas(_term_counts, "lang string, source string, term string, c long, d long")
+    return counted.groupBy("lang", "source", "term").agg(F.sum("c").alias("c"), F.sum("d").alias("d"))
 
 
 def divergence(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
