@@ -181,3 +181,23 @@ def test_divergence_equals_brute_force(spark):
     assert got == divergence_by_brute_force(rows)
     assert {r[2] for r in got} == {"pair", "term"}
     assert source_divergence.divergence(df.limit(0)).count() == 0
+
+
+def test_partial_counts_flushed_early_add_up_to_the_same(monkeypatch):
+    """Bounded memory in the Python workers: counts handed on in small parts sum to the counts of one part."""
+    import pandas as pd
+
+    from tickloom.llm import collocations, source_divergence
+
+    texts = pd.DataFrame({"lang": ["en", "en", "de"], "source": ["a", "b", "a"], "text": ["x y z. x y z x y", None, "Ä b Ä b c"]})
+
+    def summed(fn, keys):
+        out = pd.concat(list(fn(iter([texts]))))
+        return out.groupby(keys).sum(numeric_only=True).sort_index()
+
+    whole = summed(collocations._gram_counts, ["lang", "phrase", "words"]), summed(source_divergence._term_counts, ["lang", "source", "term"])
+    monkeypatch.setattr(collocations, "FLUSH", 2)
+    monkeypatch.setattr(source_divergence, "FLUSH", 2)
+    parts = summed(collocations._gram_counts, ["lang", "phrase", "words"]), summed(source_divergence._term_counts, ["lang", "source", "term"])
+    assert whole[0].equals(parts[0]) and whole[1].equals(parts[1])
+    assert len(list(collocations._gram_counts(iter([texts])))) > 2

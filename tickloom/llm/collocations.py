@@ -29,6 +29,8 @@ MIN_COUNT = 10
 TOP = 2000
 SCALE = 1_000_000
 EXACT = "decimal(38,0)"
+# Distinct grams a Python worker combines before it hands them on; bounds its memory whatever the batch holds.
+FLUSH = 200_000
 
 
 _PIECE = re.compile(PIECE)
@@ -37,7 +39,8 @@ _LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz
 
 
 def _gram_counts(batches):
-    """Counts of the grams of one Arrow batch of texts, per language: repeats are combined before the shuffle."""
+    """Counts of grams per language, combined within a batch until FLUSH distinct grams are held, then handed on."""
+    columns = ["lang", "phrase", "words", "f"]
     for pdf in batches:
         counts: Counter = Counter()
         for lang, text in zip(pdf["lang"], pdf["text"]):
@@ -48,9 +51,11 @@ def _gram_counts(batches):
                 counts.update((lang, x, 1) for x in w)
                 counts.update((lang, f"{a} {b}", 2) for a, b in zip(w, w[1:]))
                 counts.update((lang, f"{a} {b} {c}", 3) for a, b, c in zip(w, w[1:], w[2:]))
-        yield pd.DataFrame(
-            [(lang, phrase, words, f) for (lang, phrase, words), f in counts.items()], columns=["lang", "phrase", "words", "f"]
-        )
+                if len(counts) >= FLUSH:
+                    yield pd.DataFrame([(*k, f) for k, f in counts.items()], columns=columns)
+                    counts = Counter()
+        if counts:
+            yield pd.DataFrame([(*k, f) for k, f in counts.items()], columns=columns)
 
 
 def phrase_counts(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:

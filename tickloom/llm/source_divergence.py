@@ -30,6 +30,8 @@ MIN_DOCS = 10
 SCALE = 1_000_000_000
 TERM_TOP = 10
 EXACT = "decimal(38,0)"
+# Keys a Python worker combines before it hands them on; bounds its memory whatever the batch holds.
+FLUSH = 200_000
 
 
 def p_of(count: str, total: str, v: str) -> Column:
@@ -47,7 +49,8 @@ _LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz
 
 
 def _term_counts(batches):
-    """(lang, source, term, c, d) of one Arrow batch: occurrences and documents, combined within the batch."""
+    """(lang, source, term, c, d): occurrences and documents, combined within a batch until FLUSH keys are held."""
+    columns = ["lang", "source", "term", "c", "d"]
     for pdf in batches:
         found: dict[tuple[str, str, str], list[int]] = {}
         for lang, source, text in zip(pdf["lang"], pdf["source"], pdf["text"]):
@@ -57,7 +60,11 @@ def _term_counts(batches):
                 cell = found.setdefault((lang, source, term), [0, 0])
                 cell[0] += c
                 cell[1] += 1
-        yield pd.DataFrame([(*k, c, d) for k, (c, d) in found.items()], columns=["lang", "source", "term", "c", "d"])
+            if len(found) >= FLUSH:
+                yield pd.DataFrame([(*k, c, d) for k, (c, d) in found.items()], columns=columns)
+                found = {}
+        if found:
+            yield pd.DataFrame([(*k, c, d) for k, (c, d) in found.items()], columns=columns)
 
 
 def term_stats(docs: DataFrame, text: str, lang: str, source: str) -> DataFrame:
