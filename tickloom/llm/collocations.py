@@ -48,6 +48,7 @@ def _gram_counts(batches):
                 continue
             for piece in _PIECE.split(text.translate(_LOWER)):
                 w = [x for x in _SPACE.split(piece) if x]
+                counts[(lang, "", 0)] += len(w)
                 counts.update((lang, x, 1) for x in w)
                 counts.update((lang, f"{a} {b}", 2) for a, b in zip(w, w[1:]))
                 counts.update((lang, f"{a} {b} {c}", 3) for a, b, c in zip(w, w[1:], w[2:]))
@@ -59,7 +60,8 @@ def _gram_counts(batches):
 
 
 def phrase_counts(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
-    """(lang, phrase, words, f): counts of all phrases of one to three words within pieces."""
+    """(lang, phrase, words, f): counts of all phrases of one to three words within pieces; per language, a row with
+    words 0 and phrase '' holds the number of all word occurrences."""
     texts = docs.select(F.coalesce(F.col(lang), F.lit("und")).alias("lang"), F.col(text).alias("text"))
     schema = "lang string, phrase string, words int, f long"
     return texts.mapInPandas(_gram_counts, schema).groupBy("lang", "phrase", "words").agg(F.sum("f").alias("f"))
@@ -79,9 +81,10 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", top: i
     ascending (UTF-8 bytes); a lowest cut that ties keeps the smaller k. Exact: products are taken as decimals of 38
     digits. Languages without candidates give no rows; an empty table gives none. Only ``text`` and ``lang`` are read.
     """
-    counts = stored(phrase_counts(docs, text, lang), "collocation-counts")
-    n = counts.where("words = 1").groupBy("lang").agg(F.sum("f").alias("n"))
-    frequent = counts.where(F.col("f") >= MIN_COUNT)
+    # Only what can matter is kept: phrases of count 10 or more (every part of a candidate has one) and the totals.
+    counts = stored(phrase_counts(docs, text, lang).where((F.col("words") == 0) | (F.col("f") >= MIN_COUNT)), "collocation-counts")
+    n = counts.where("words = 0").select("lang", F.col("f").alias("n"))
+    frequent = counts.where("words > 0")
     single = frequent.where("words = 1").select("lang", F.col("phrase").alias("part"), F.col("f").alias("fp"))
     pair = frequent.where("words = 2").select("lang", F.col("phrase").alias("part"), F.col("f").alias("fp"))
 
