@@ -78,3 +78,15 @@ def test_scalars(spark):
     assert [r[0] for r in scalar.with_time_decay(df).select("decayed_weight").collect()] == [1.0, 2.0]
     with pytest.raises(ValueError, match="nope"):
         scalar.project_features(df, ["nope"], "weight", None)
+
+
+def test_write_splits_a_hot_value_whatever_the_input_tasks(spark, panel, monkeypatch):
+    path, day = scratch_path(spark, "ranges"), F.lit(3).alias("date_id")
+    hot = panel.select(day, "time_id", "symbol_id", "feature_00").coalesce(1)
+    monkeypatch.setattr(sinks, "WRITE_BYTES", sinks.sizing.estimated_bytes(hot) // 4)
+    sinks.write_parquet(hot, path, ["date_id"], ["time_id"], derived={"row_id": F.concat_ws("-", "time_id", "symbol_id")})
+    got = spark.read.parquet(path)
+    ends = got.groupBy(F.input_file_name()).agg(F.min("time_id").alias("lo"), F.max("time_id").alias("hi")).orderBy("lo").collect()
+    assert len(ends) >= 4 and all(a["hi"] <= b["lo"] for a, b in zip(ends, ends[1:]))
+    assert got.drop("row_id").exceptAll(hot.select(*[c for c in got.columns if c != "row_id"])).isEmpty() and got.count() == panel.count()
+    assert got.where(F.col("row_id") != F.concat_ws("-", "time_id", "symbol_id")).isEmpty()
