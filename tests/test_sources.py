@@ -90,3 +90,14 @@ def test_write_splits_a_hot_value_whatever_the_input_tasks(spark, panel, monkeyp
     assert len(ends) >= 4 and all(a["hi"] <= b["lo"] for a, b in zip(ends, ends[1:]))
     assert got.drop("row_id").exceptAll(hot.select(*[c for c in got.columns if c != "row_id"])).isEmpty() and got.count() == panel.count()
     assert got.where(F.col("row_id") != F.concat_ws("-", "time_id", "symbol_id")).isEmpty()
+
+
+def test_many_partition_values_make_ranges_not_directories(spark, panel, monkeypatch):
+    monkeypatch.setattr(sinks, "DIRECTORIES", 15)
+    df = panel.select("date_id", "time_id", "symbol_id", "feature_00")
+    for column, directories in (("symbol_id", 15), ("date_id", 0)):
+        path = scratch_path(spark, "values")
+        sinks.write_parquet(df, path, [column], ["time_id"])
+        got = spark.read.parquet(path)
+        assert sum(f"/{column}=" in f for f in got.inputFiles()) == (directories and len(got.inputFiles()))
+        assert got.select(*df.columns).exceptAll(df).isEmpty() and got.count() == df.count()
