@@ -165,3 +165,22 @@ def test_ridge_from_sums_equals_direct_solution(spark):
         assert np.allclose(model.coefficients, want, rtol=1e-9, atol=1e-9)
         got = np.array([r[0] for r in model.predict(df, "p").select("p").collect()])
         assert np.allclose(got, (w @ y) / w.sum() + zc @ want, rtol=1e-9, atol=1e-9)
+
+
+def test_medians_are_taken_once_per_fold(learnable, monkeypatch):
+    folds = splits.purged_kfold(learnable, 2, 1, 1, min_train_dates=2)
+    calls, plain = [], models.fit_medians
+    monkeypatch.setattr(models, "fit_medians", lambda *a: calls.append(a) or plain(*a))
+    score = models.fold_score(learnable, folds, FEATURES)
+    numbers = models.fold_numbers(folds)
+    first = [score({**FAST, "max_depth": 2}, k) for k in numbers]
+    assert [score({**FAST, "max_depth": 2}, k) for k in numbers] == first and len(calls) == len(numbers) > 0
+
+
+def test_sampled_sides_are_written_once(learnable, monkeypatch):
+    calls, plain = [], models.written
+    monkeypatch.setattr(models, "written", lambda df, name: calls.append((name, df.columns)) or plain(df, name))
+    train, val = learnable.where("date_id < 15"), learnable.where("date_id >= 15")
+    done = models.gbt_holdout(train, val, FEATURES, FAST, train_fraction=0.5, key="symbol_id")
+    assert [n for n, _ in calls] == ["train"] and "responder_3" not in calls[0][1]
+    assert 0 < done.record["train_rows"] < train.count()
