@@ -224,6 +224,29 @@ def test_copies_of_one_document_do_not_outvote_unrelated_ones(spark):
             assert got[f"{name} {k}"] == [x for x in lines if x != common and x not in menu]
 
 
+def test_an_open_field_in_a_long_line_recurs_like_one_in_a_short_line(spark):
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choices("abcdefghij", k=6))
+    prose = lambda n: " ".join(word() for _ in range(n))
+    front, back, two = (prose(24).split(" ") for _ in range(3))
+    put = lambda t, *at: " ".join(word() if i in at else x for i, x in enumerate(t))
+    docs = [[prose(30), put(front, 4), put(back, 21), put(two, 4, 21), prose(18)] for _ in range(7)]
+    few = prose(24).split(" ")
+    docs += [[prose(20), put(few, 9), prose(20)] for _ in range(4)] + [[prose(20), put(few, 9), put(few, 9), prose(20)]] * 4
+    rows = [(k, "\n".join(lines)) for k, lines in enumerate(docs)]
+    got = {r["id"]: r["text"].split("\n") for r in line_dedup.drop_recurring_lines(spark.createDataFrame(rows, "id long, text string")).collect()}
+    assert all(got[k] == [d[0], *d[3:]] for k, d in enumerate(docs[:7]))
+    assert all(got[k] == [d[0], d[-1]] for k, d in enumerate(docs) if k >= 7)
+    alone = spark.createDataFrame([r for r in rows if 8 <= r[0] <= 11], "id long, text string")
+    assert sorted(line_dedup.drop_recurring_lines(alone).collect()) == sorted(alone.collect())
+
+
+def test_templates_by_halves_are_those_made_at_once(spark, folder, monkeypatch):
+    want = QUERIES["op4_line_dedup"](spark, folder).collect()
+    monkeypatch.setattr(line_dedup, "FIELD_TO", line_dedup.FIELD_FROM - 1)
+    assert sorted(QUERIES["op4_line_dedup"](spark, folder).collect()) == sorted(want)
+
+
 def test_line_dedup_runs_no_python(spark, odd):
     plan = line_dedup.drop_recurring_lines(odd)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Pandas" not in plan

@@ -1,10 +1,14 @@
 """Line dedup by a tree of line templates; DataFrame functions only.
 
 A line walks a tree of fixed depth: its number of tokens, then its leading tokens, then the rest with variable fields
-generalised. Numbers are always variable. In short lines, any one token behind the leading ones may be a variable
+generalised. Numbers are always variable. From six tokens on, any one token behind the leading ones may be a variable
 field too, so such a line also stands under one template per position with that token left open. A template that
 recurs across documents is boilerplate, and every line under it is dropped.
 
+Long lines have as many open templates as tokens, nearly all of them met once. All lines under an open template share
+the half of their tokens that the open field is not in, so only lines whose half is shared by enough documents, and by
+different lines, get their open templates made. No template that recurs is missed.
+
 Copies of a whole document, edited or not, repeat its lines without any of them being boilerplate. So a template
 recurs if enough documents have it and enough of these are mutually dissimilar: of the other lines of any two, less
 than half are common to both. However many copies a document has, they weigh one.
@@ -23,7 +27,8 @@ MIN_DOCS = 5
 MIN_FAMILIES = 4
 # Other lines of a document that are compared, those with the smallest hashes; exact if two have no more together.
 SKETCH = 64
-# An open field is looked for in lines of so many tokens: below, too little is left; above, lines are prose.
+# An open field is looked for in lines of FIELD_FROM tokens or more: below, too little is left. Lines of more than
+# FIELD_TO get their open templates only after one of their halves is found to recur.
 FIELD_FROM, FIELD_TO = 6, 16
 
 
@@ -34,7 +39,7 @@ def tokens_of(line: Column) -> Column:
 
 
 def template_keys(line: Column) -> Column:
-    """Hashes of all templates the line stands under, the closed one first.
+    """Hashes of the templates the line stands under, the closed one first; open ones up to FIELD_TO tokens.
 
     A line that ends at the leading tokens has no template: a word or two recur by chance.
     """
@@ -54,18 +59,72 @@ def template_keys(line: Column) -> Column:
     return found
 
 
+def half_keys(line: Column) -> Column:
+    """Of a line of more than FIELD_TO tokens: the closed key, and hashes of its front half and of the rest."""
+    none = F.array().cast("array<bigint>")
+
+    def keys(t: Column) -> Column:
+        size = F.size(t)
+        half, leading = F.floor(size / 2).cast("int"), F.slice(t, 1, LEADING)
+        front = F.xxhash64(size, F.lit("front"), F.slice(t, 1, half))
+        back = F.xxhash64(size, F.lit("back"), leading, F.slice(t, half + 1, size))
+        return F.when(size >= F.lit(max(FIELD_FROM, FIELD_TO + 1)), F.array(F.xxhash64(size, leading, t), front, back)).otherwise(none)
+
+    return F.flatten(F.transform(F.array(tokens_of(line)), keys))
+
+
+def open_keys(line: Column) -> Column:
+    """The closed key of a long line and a hash per position with that token left open, in time linear in its tokens."""
+    def keys(t: Column) -> Column:
+        size = F.size(t)
+        closed = F.xxhash64(size, F.slice(t, 1, LEADING), t)
+        hashes = F.transform(t, lambda x, i: F.xxhash64(x, i))
+
+        def opened(each: Column) -> Column:
+            whole = F.aggregate(each, F.lit(0).cast("long"), lambda a, h: a.bitwiseXOR(h))
+            places = F.sequence(F.lit(LEADING), size - 1)
+            return F.flatten(F.transform(F.array(whole), lambda w: F.transform(places, lambda i: F.xxhash64(size, i, w.bitwiseXOR(F.get(each, i))))))
+
+        return F.concat(F.array(closed), F.flatten(F.transform(F.array(hashes), opened)))
+
+    return F.flatten(F.transform(F.array(tokens_of(line)), keys))
+
+
 def lines_of(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), "\n", -1)
 
 
-def candidate_templates(lines: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
-    """(key) of the templates that enough documents have, from one row per document with ``keys``: an array of key arrays, one per line.
+def candidate_templates(lines: DataFrame, min_docs: int = MIN_DOCS, keys: str = "keys", closed: bool = True) -> DataFrame:
+    """(key) of what enough documents have, from one row per document with ``keys``: an array of key arrays, one per line.
 
-    A document counts once for each of its templates. Counts are combined before the shuffle, so a template with a
-    third of all lines is a row per task.
+    An open template under which all lines are the same says no more than their closed one and is left out; without
+    ``closed``, so are the closed ones. A document counts once for each of its templates. Counts are combined before the
+    shuffle, so a template with a third of all lines is a row per task.
     """
-    each = lines.select(F.explode(F.array_distinct(F.flatten("keys"))).alias("key"))
-    return each.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") >= min_docs).select("key")
+    pairs = F.flatten(F.transform(keys, lambda k: F.transform(k, lambda x: F.struct(x.alias("key"), F.get(k, F.lit(0)).alias("own")))))
+
+    def marked(found: Column) -> Column:
+        first = lambda p, i: (i == 0) | (F.get(found, i - 1)["key"] != p["key"])
+        return F.transform(found, lambda p, i: F.struct(p["key"].alias("key"), p["own"].alias("own"), first(p, i).alias("first")))
+
+    each = lines.select(F.inline(F.flatten(F.transform(F.array(F.sort_array(F.array_distinct(pairs))), marked))))
+    found = each.groupBy("key").agg(F.count_if("first").alias("n"), F.min("own").alias("low"), F.max("own").alias("high"))
+    kept = F.col("low") < F.col("high")
+    return found.where((F.col("n") >= min_docs) & (kept | (F.col("high") == F.col("key")) if closed else kept)).select("key")
+
+
+def opened_lines(docs: DataFrame, lines: DataFrame, text: Column, min_docs: int) -> DataFrame:
+    """One row per document with long lines of which a half recurs: k1, k2, lines, pos, and ``keys`` of these lines."""
+    halves = stored(candidate_templates(lines, min_docs, "halves", closed=False), "halves")
+    marks = lines.select("k1", "k2", F.posexplode("halves").alias("pos", "half")).select("k1", "k2", "pos", F.explode("half").alias("key"))
+    wanted = marks.join(lookup_side(halves), "key", "left_semi").groupBy("k1", "k2").agg(F.collect_set("pos").alias("pos"))
+    wanted = stored(wanted, "wanted")
+    texts = docs.select(F.xxhash64(text, F.lit(1)).alias("k1"), F.xxhash64(text, F.lit(2)).alias("k2"), text.alias("text")).where("text is not null")
+    found = texts.join(lookup_side(wanted), ["k1", "k2"])
+    each = found.select("k1", "k2", "pos", lines_of(F.col("text")).alias("split"))
+    closed = F.array_distinct(F.flatten(F.transform("split", lambda x: F.slice(template_keys(x), 1, 1))))
+    keys = F.transform("pos", lambda p: open_keys(F.get("split", p)))
+    return stored(each.select("k1", "k2", F.slice(F.sort_array(closed), 1, SKETCH + 1).alias("lines"), "pos", keys.alias("keys")), "opened")
 
 
 def closed_keys() -> Column:
@@ -116,14 +175,21 @@ def drop_recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_families
     """
     text = F.col(f"`{text_col}`")
     lines = stored(docs.where(text.isNotNull()).select(
-        F.xxhash64(text, F.lit(1)).alias("k1"), F.xxhash64(text, F.lit(2)).alias("k2"), F.transform(lines_of(text), template_keys).alias("keys"),
+        F.xxhash64(text, F.lit(1)).alias("k1"), F.xxhash64(text, F.lit(2)).alias("k2"),
+        F.transform(lines_of(text), template_keys).alias("keys"), F.transform(lines_of(text), half_keys).alias("halves"),
     ), "lines")
-    candidates = stored(candidate_templates(lines, min_docs), "candidates")
+
+    def hits_of(each: DataFrame, candidates: DataFrame) -> DataFrame:
+        marks = each.select("k1", "k2", "lines", "pos", F.get("keys", F.lit(0)).alias("own"), F.explode("keys").alias("key"))
+        hits = marks.join(lookup_side(candidates), "key", "left_semi")
+        return hits.select("k1", "k2", "pos", "key", F.slice(F.array_remove("lines", F.col("own")), 1, SKETCH).alias("others"))
+
     # One more than is compared, for the line itself.
     marks = lines.select("k1", "k2", F.slice(closed_keys(), 1, SKETCH + 1).alias("lines"), F.posexplode("keys").alias("pos", "keys"))
-    marks = marks.select("k1", "k2", "lines", "pos", F.get("keys", F.lit(0)).alias("own"), F.explode("keys").alias("key"))
-    hits = marks.join(lookup_side(candidates), "key", "left_semi")
-    hits = stored(hits.select("k1", "k2", "pos", "key", F.slice(F.array_remove("lines", F.col("own")), 1, SKETCH).alias("others")), "hits")
+    hits = hits_of(marks, stored(candidate_templates(lines, min_docs), "candidates"))
+    opened = opened_lines(docs, lines, text, min_docs)
+    long = opened.select("k1", "k2", "lines", F.inline(F.arrays_zip("pos", "keys")))
+    hits = stored(hits.union(hits_of(long, stored(candidate_templates(opened, min_docs, closed=False), "candidates"))), "hits")
     recurring = recurring_templates(hits, min_families)
     hit = hits.join(lookup_side(recurring), "key", "left_semi").select("k1", "k2", "pos").distinct()
     dropped = hit.groupBy("k1", "k2").agg(F.collect_list("pos").alias("pos"))
