@@ -1,3 +1,5 @@
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -6,6 +8,7 @@ from tickloom.catalog.streams import COLUMNS, CHUNKS, Arrivals
 from tickloom.operators import windows as win
 from tickloom.plans.features import LagStep, RollingStep
 from tickloom.streaming.features import FeatureStream
+from tickloom.streaming import keyed as keyed_module
 from tickloom.streaming.keyed import KeyedFeatureStream
 
 STATS = ["mean", "std", "min", "max", "zscore"]
@@ -166,3 +169,22 @@ def test_keyed_late_rows_are_kept_apart(spark, folder, batch):
     out = keyed.output()
     assert out.count() == batch.count()
     exact(out, win.lag_features(batch, ["feature_00"], [1], order=ORDER), keyed.names())
+
+
+def test_keyed_columns_equal_pandas_without_a_frame_per_statistic():
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=200)
+    x[rng.random(200) < 0.3] = np.nan
+    x[50:80], x[90] = 0.1, np.inf
+    stats, rows = ["mean", "std", "min", "max", "zscore"], pd.DataFrame({"x": x})
+    got = keyed_module.trailing_columns({"x": x}, ["x"], [1, 5, 20], stats, ["x"], [1, 4, 300])
+    for w in (1, 5, 20):
+        frame = rows["x"].rolling(w, min_periods=1)
+        want = {"mean": frame.mean(), "std": frame.std(), "min": frame.min(), "max": frame.max(), "zscore": (rows["x"] - frame.mean()) / (frame.std() + 1e-8)}
+        for stat in stats:
+            a, b = got[f"x_roll{w}_{stat}"], want[stat].to_numpy()
+            if stat == "zscore":
+                a, b = (np.where(frame.std() > 1e-6, v, 0.0) for v in (a, b))
+            assert np.allclose(a, b, rtol=1e-9, atol=1e-9, equal_nan=True), (w, stat)
+    for k in (1, 4, 300):
+        assert np.array_equal(got[f"x_lag{k}"], rows["x"].shift(k).to_numpy(), equal_nan=True)
