@@ -184,3 +184,25 @@ def test_sampled_sides_are_written_once(learnable, monkeypatch):
     done = models.gbt_holdout(train, val, FEATURES, FAST, train_fraction=0.5, key="symbol_id")
     assert [n for n, _ in calls] == ["train"] and "responder_3" not in calls[0][1]
     assert 0 < done.record["train_rows"] < train.count()
+
+
+def test_tasks_of_a_fit_read_little(spark, learnable, monkeypatch):
+    seen, plain, name = [], models.regressor, "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(name)
+
+    class Spy:
+        def __init__(self, *args):
+            self.model = plain(*args)
+
+        def fit(self, table):
+            seen.append(int(spark.conf.get(name).rstrip("b")))
+            return self.model.fit(table)
+
+    monkeypatch.setattr(models, "regressor", Spy)
+    models.fit(learnable, FEATURES, FAST)
+    spark.conf.set(name, 1 << 20)
+    try:
+        models.fit(learnable, FEATURES, FAST)
+    finally:
+        spark.conf.set(name, before)
+    assert seen == [16 << 20, 1 << 20] and spark.conf.get(name) == before
