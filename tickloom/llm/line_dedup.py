@@ -107,7 +107,8 @@ def candidate_templates(lines: DataFrame, min_docs: int = MIN_DOCS, keys: str =
         first = lambda p, i: (i == 0) | (F.get(found, i - 1)["key"] != p["key"])
         return F.transform(found, lambda p, i: F.struct(p["key"].alias("key"), p["own"].alias("own"), first(p, i).alias("first")))
 
-    each = lines.select(F.inline(F.flatten(F.transform(F.array(F.sort_array(F.array_distinct(pairs))), marked))))
+    # Pairs met twice are not first, so they need no distinct, which is quadratic on structs.
+    each = lines.select(F.inline(F.flatten(F.transform(F.array(F.sort_array(pairs)), marked))))
     found = each.groupBy("key").agg(F.count_if("first").alias("n"), F.min("own").alias("low"), F.max("own").alias("high"))
     kept = F.col("low") < F.col("high")
     return found.where((F.col("n") >= min_docs) & (kept | (F.col("high") == F.col("key")) if closed else kept)).select("key")
