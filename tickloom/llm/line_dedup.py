@@ -38,10 +38,11 @@ def tokens_of(line: Column) -> Column:
     return F.split(F.regexp_replace(flat, "[0-9]+", "0"), " ")
 
 
-def template_keys(line: Column) -> Column:
+def template_keys(line: Column, halves: bool = False) -> Column:
     """Hashes of the templates the line stands under, the closed one first; open ones up to FIELD_TO tokens.
 
-    A line that ends at the leading tokens has no template: a word or two recur by chance.
+    A line that ends at the leading tokens has no template: a word or two recur by chance. With ``halves``, a struct of
+    ``keys`` and the ``halves`` of ``half_keys``, from the same tokens.
     """
     tokens = tokens_of(line)
 
@@ -55,22 +56,19 @@ def template_keys(line: Column) -> Column:
         return F.when(size > LEADING, F.concat(F.array(closed), opened)).otherwise(none)
 
     # A one-element array binds the tokens to a variable, so they are made once.
-    found = F.flatten(F.transform(F.array(tokens), keys))
-    return found
+    if halves:
+        return F.get(F.transform(F.array(tokens), lambda t: F.struct(keys(t).alias("keys"), half_keys(t).alias("halves"))), F.lit(0))
+    return F.flatten(F.transform(F.array(tokens), keys))
 
 
-def half_keys(line: Column) -> Column:
-    """Of a line of more than FIELD_TO tokens: the closed key, and hashes of its front half and of the rest."""
-    none = F.array().cast("array<bigint>")
-
-    def keys(t: Column) -> Column:
-        size = F.size(t)
-        half, leading = F.floor(size / 2).cast("int"), F.slice(t, 1, LEADING)
-        front = F.xxhash64(size, F.lit("front"), F.slice(t, 1, half))
-        back = F.xxhash64(size, F.lit("back"), leading, F.slice(t, half + 1, size))
-        return F.when(size >= F.lit(max(FIELD_FROM, FIELD_TO + 1)), F.array(F.xxhash64(size, leading, t), front, back)).otherwise(none)
-
-    return F.flatten(F.transform(F.array(tokens_of(line)), keys))
+def half_keys(t: Column) -> Column:
+    """Of the tokens of a line of more than FIELD_TO: the closed key, and hashes of its front half and of the rest."""
+    size = F.size(t)
+    half, leading = F.floor(size / 2).cast("int"), F.slice(t, 1, LEADING)
+    front = F.xxhash64(size, F.lit("front"), F.slice(t, 1, half))
+    back = F.xxhash64(size, F.lit("back"), leading, F.slice(t, half + 1, size))
+    long = size >= F.lit(max(FIELD_FROM, FIELD_TO + 1))
+    return F.when(long, F.array(F.xxhash64(size, leading, t), front, back)).otherwise(F.array().cast("array<bigint>"))
 
 
 def open_keys(line: Column) -> Column:
@@ -177,8 +175,8 @@ def drop_recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_families
     text = F.col(f"`{text_col}`")
     lines = stored(docs.where(text.isNotNull()).select(
         F.xxhash64(text, F.lit(1)).alias("k1"), F.xxhash64(text, F.lit(2)).alias("k2"),
-        F.transform(lines_of(text), template_keys).alias("keys"), F.transform(lines_of(text), half_keys).alias("halves"),
-    ), "lines")
+        F.transform(lines_of(text), lambda line: template_keys(line, halves=True)).alias("each"),
+    ), "lines").select("k1", "k2", "each.keys", "each.halves")
 
     def hits_of(each: DataFrame, candidates: DataFrame) -> DataFrame:
         marks = each.select("k1", "k2", "lines", "pos", F.get("keys", F.lit(0)).alias("own"), F.explode("keys").alias("key"))
