@@ -201,3 +201,32 @@ def test_partial_counts_flushed_early_add_up_to_the_same(monkeypatch):
     parts = summed(collocations._gram_counts, ["lang", "phrase", "words"]), summed(source_divergence._term_counts, ["lang", "source", "term"])
     assert whole[0].equals(parts[0]) and whole[1].equals(parts[1])
     assert len(list(collocations._gram_counts(iter([texts])))) > 2
+
+
+def test_collocations_of_words_beyond_the_numbered_ones(spark):
+    from tickloom.llm import collocations
+
+    rng = random.Random(11)
+    vocab = [f"w{k}" for k in range(12)] + ["É", "\x1c", "\x00z"]
+    rows = [("\t".join(rng.choice(vocab) for _ in range(20)).replace("w3\t", "w3; "), ["en", "de", None][i % 3]) for i in range(200)]
+    df = spark.createDataFrame([(i, t, l, "s", None) for i, (t, l) in enumerate(rows)], DOC)
+    wanted = collocations.frequent_phrases(df).collect()
+    for numbered in (1, 7):
+        got = collocations.frequent_phrases(df, numbered=numbered).collect()
+        assert sorted(map(tuple, got)) == sorted(map(tuple, wanted))
+    assert sorted(tuple(r) for r in collocations.collocations(df).collect()) == collocations_by_brute_force(rows)
+
+
+def test_collocations_hand_on_a_row_per_bucket_not_per_phrase(spark):
+    import pandas as pd
+    import pyarrow as pa
+
+    from tickloom.llm import collocations
+
+    words = [f"w{k}" for k in range(500)]
+    known = spark.sparkContext.broadcast(pa.table({"lang": ["en"] * 500, "word": [w.encode() for w in words]}))
+    rng = random.Random(2)
+    text = " ".join(rng.choice(words) for _ in range(20_000))
+    out = pd.concat(list(collocations._gram_blobs(iter([pd.DataFrame({"lang": ["en"], "text": [text.encode()]})]), known, 8)))
+    assert len(out) == 8 and out["bucket"].is_unique
+    assert sum(collocations._unblob(c).sum() for c in out["counts"]) == 19_999 + 19_998

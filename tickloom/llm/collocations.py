@@ -3,68 +3,246 @@
 Per language, phrases of two and three words are scored by their weakest cut: for a phrase with count a, cutting it
 after k words into parts of counts l and r scores floor(1e6 * a^2 / (l * r)), and the lowest of its cuts counts.
 
-Growth is level by level: a phrase can reach count 10 only if its first and last words do, and a three-word phrase
+Growth is level by level: a phrase can reach count 10 only if all its words do, and a three-word phrase
 scores at most floor(1e6 * a / max(f(first word), f(last word))) since both parts of a cut occur at least a times.
 Two-word candidates are scored exactly first; once their 2000th surviving score per language is known, only
-three-word phrases whose bound reaches it (ties included) are scored, the rest cannot enter the list. Counts come from
-one pass over the texts in Arrow batches, where each batch combines its repeated grams, and one aggregation; the list per language is cut in two
-steps (per language and hash bucket, then per language), so a language with a third of the rows is no single task.
+three-word phrases whose bound reaches it (ties included) are scored, the rest cannot enter the list. The list per
+language is cut in two steps (per language and hash bucket, then per language), so a language with a third of the rows
+is no single task.
+
+Words are counted first. The most frequent of those that reach count 10, ``NUMBERED`` at most, get numbers, and a
+phrase of numbered words is one 64-bit integer: tasks sort and combine these in arrays and hand them on as one blob per
+bucket; each bucket is summed in one task. Phrases with a word that reaches count 10 and has no number, which only very
+large vocabularies have, are counted as strings. Any other phrase holds a word below count 10 and cannot reach it.
 """
 
 from __future__ import annotations
 
-import re
 from collections import Counter
+from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import stored, top_per
+from tickloom.llm.common import partitions, stored, top_per
 
-# Fixed by the contract: pieces, words, least count, phrase lengths, list length, score scale, drop share.
-PIECE = r"[.,;:!?\x0A-\x0D]"
-SPACE = r"[\x20\x09]+"
+# Fixed by the contract: ends of pieces, least count, list length, score scale.
+BREAKS = b".,;:!?\x0a\x0b\x0c\x0d"
 MIN_COUNT = 10
 TOP = 2000
 SCALE = 1_000_000
 EXACT = "decimal(38,0)"
-# Distinct grams a Python worker combines before it hands them on; bounds its memory whatever the batch holds.
+# Distinct words or string phrases a Python worker combines before it hands them on; bounds its memory.
 FLUSH = 200_000
+# Numbered words, at most; three numbers fit 63 bits. A worker's table of them takes some 150 MB at most.
+NUMBERED = 1 << 20
+BITS = 21
+# Bytes of text cut into words at once, numbered phrases combined at once, words of the input per bucket.
+CHUNK_BYTES = 1 << 20
+FLUSH_GRAMS = 3_000_000
+BUCKET_WORDS = 1_000_000
+# Rows with texts that a Python worker gets at once.
+TEXT_ROWS = 2000
 
+# The end of a piece becomes a byte that UTF-8 does not have, so space and tab are the only white space left.
+_END = b"\xff"
+_BYTES = bytes(0xFF if b in BREAKS else b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
 
-_PIECE = re.compile(PIECE)
-_SPACE = re.compile(SPACE)
-_LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
+def _words(texts: list[bytes]) -> list[bytes]:
+    return b"\n".join(texts).translate(_BYTES).replace(_END, b" \xff ").split()
+
+
+def _chunks(pdf: pd.DataFrame) -> Iterator[tuple[str, list[bytes]]]:
+    """(lang, words): the words of some texts of one language, with ``_END`` between pieces and texts."""
+    for lang, texts in pdf.groupby("lang", sort=False)["text"]:
+        held, size = [], 0
+        for text in texts:
+            if text:
+                held.append(text.encode() if isinstance(text, str) else text)
+                size += len(text)
+            if size >= CHUNK_BYTES:
+                yield lang, _words(held)
+                held, size = [], 0
+        if held:
+            yield lang, _words(held)
+
+
+def _word_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """(lang, word, f), combined until FLUSH words are held; the empty word's count is that of all words."""
+    held: dict[str, Counter] = {}
+
+    def rows() -> pd.DataFrame:
+        return pd.DataFrame([(lang, w, f) for lang, c in held.items() for w, f in c.items()], columns=["lang", "word", "f"])
 
-def _gram_counts(batches):
-    """Counts of grams per language, combined within a batch until FLUSH distinct grams are held, then handed on."""
-    columns = ["lang", "phrase", "words", "f"]
     for pdf in batches:
-        counts: Counter = Counter()
-        for lang, text in zip(pdf["lang"], pdf["text"]):
-            if not text:
+        for lang, words in _chunks(pdf):
+            counts = held.setdefault(lang, Counter())
+            counts.update(words)
+            counts[b""] += len(words) - counts.pop(_END, 0)
+            if sum(map(len, held.values())) >= FLUSH:
+                yield rows()
+                held.clear()
+    if held:
+        yield rows()
+
+
+class _Numbers(dict):
+    """A word's number; 0 for any other word and for the end of a piece."""
+
+    def __missing__(self, word: bytes) -> int:
+        return 0
+
+
+_worker: dict = {}
+
+
+def _numbers(known) -> dict[str, _Numbers]:
+    """Per language the numbers of words, kept by a worker from task to task; row k of the table has number k + 1."""
+    table = known.value
+    if _worker.get("table") is not table:
+        numbers: dict[str, _Numbers] = {}
+        for k, (lang, word) in enumerate(zip(table["lang"].to_pylist(), table["word"].to_pylist(), strict=True), 1):
+            numbers.setdefault(lang, _Numbers())[word] = k
+        _worker.update(table=table, numbers=numbers)
+    return _worker["numbers"]
+
+
+def _packed(numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs and all triples of neighbouring numbers without a 0, as integers."""
+    two = numbers[:-1] << BITS | numbers[1:]
+    whole = (numbers[:-1] > 0) & (numbers[1:] > 0)
+    three = two[:-1] << BITS | numbers[2:]
+    return two[whole], three[whole[:-1] & whole[1:]]
+
+
+def _summed(grams: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct integers in order and their counts."""
+    if not len(grams):
+        return grams, np.empty(0, np.int64)
+    if counts is None:
+        grams = np.sort(grams)
+    else:
+        order = np.argsort(grams)
+        grams, counts = grams[order], counts[order]
+    at = np.flatnonzero(np.r_[True, grams[1:] != grams[:-1]])
+    return grams[at], np.diff(np.r_[at, len(grams)]) if counts is None else np.add.reduceat(counts, at)
+
+
+def _blob(values: np.ndarray) -> bytes:
+    """Integers byte by byte: all lowest bytes, then all second ones; the high ones are mostly 0 and compress well."""
+    return np.ascontiguousarray(values, "<i8").view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def _unblob(blob: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(blob, np.uint8).reshape(8, -1).T).view("<i8").ravel()
+
+
+def _bucketed(held: list[np.ndarray], buckets: int) -> pd.DataFrame:
+    grams, counts = _summed(np.concatenate(held))
+    mixed = grams.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    bucket = ((mixed >> np.uint64(32)) % np.uint64(buckets)).astype(np.uint16)
+    order = np.argsort(bucket, kind="stable")
+    present, at = np.unique(bucket[order], return_index=True)
+    rows = []
+    for b, own in zip(present.tolist(), np.split(order, at[1:]), strict=True):
+        rows.append((b, _blob(np.diff(grams[own], prepend=0)), _blob(counts[own])))
+    return pd.DataFrame(rows, columns=["bucket", "grams", "counts"])
+
+
+def _gram_blobs(batches: Iterator[pd.DataFrame], known, buckets: int) -> Iterator[pd.DataFrame]:
+    """Per bucket, the phrases of numbered words (differences of ordered integers) and their counts."""
+    held, size = [], 0
+    for pdf in batches:
+        for lang, words in _chunks(pdf):
+            own = _numbers(known).get(lang)
+            if own is None:
                 continue
-            for piece in _PIECE.split(text.translate(_LOWER)):
-                w = [x for x in _SPACE.split(piece) if x]
-                counts[(lang, "", 0)] += len(w)
-                counts.update((lang, x, 1) for x in w)
-                counts.update((lang, f"{a} {b}", 2) for a, b in zip(w, w[1:]))
-                counts.update((lang, f"{a} {b} {c}", 3) for a, b, c in zip(w, w[1:], w[2:]))
+            grams = _packed(np.fromiter(map(own.__getitem__, words), np.int64, len(words)))
+            held += grams
+            size += sum(map(len, grams))
+            if size >= FLUSH_GRAMS:
+                yield _bucketed(held, buckets)
+                held, size = [], 0
+    if size:
+        yield _bucketed(held, buckets)
+
+
+def _gram_counts(batches: Iterator[pd.DataFrame], known=None) -> Iterator[pd.DataFrame]:
+    """Counts of the phrases that hold a word without a number, as strings, combined until FLUSH are held."""
+    columns = ["lang", "phrase", "words", "f"]
+    counts: Counter = Counter()
+    for pdf in batches:
+        for lang, words in _chunks(pdf):
+            own = (_numbers(known) if known else {}).get(lang, _Numbers())
+            for a, b, c in zip(words, [*words[1:], _END], [*words[2:], _END, _END], strict=False):
+                if a == _END or b == _END:
+                    continue
+                rare = not (own[a] and own[b])
+                if rare:
+                    counts[(lang, a + b" " + b, 2)] += 1
+                if c != _END and (rare or not own[c]):
+                    counts[(lang, b" ".join((a, b, c)), 3)] += 1
                 if len(counts) >= FLUSH:
                     yield pd.DataFrame([(*k, f) for k, f in counts.items()], columns=columns)
                     counts = Counter()
-        if counts:
-            yield pd.DataFrame([(*k, f) for k, f in counts.items()], columns=columns)
+    if counts:
+        yield pd.DataFrame([(*k, f) for k, f in counts.items()], columns=columns)
+
+
+def _most_frequent(words: DataFrame, most: int) -> tuple[DataFrame, bool]:
+    """The most frequent words, at most ``most`` (whole steps of a histogram of some 250 rows); whether that is all."""
+    levels = words.withColumn("level", F.floor(4 * F.log2("f")).cast("int"))
+    taken, least, all_taken = 0, 1 << 20, True
+    for row in sorted(levels.groupBy("level").agg(F.count("*").alias("words")).collect(), key=lambda r: -r["level"]):
+        taken += row["words"]
+        if taken > most:
+            all_taken = False
+            break
+        least = row["level"]
+    return levels.where(F.col("level") >= least).select("lang", "word"), all_taken
+
+
+def frequent_phrases(docs: DataFrame, text: str = "text", lang: str = "lang", numbered: int = NUMBERED) -> DataFrame:
+    """(lang, phrase, words, f): all phrases of one to three words within pieces that occur ``MIN_COUNT`` times or more;
+    per language, a row with words 0 and phrase '' holds the number of all word occurrences."""
+    if not 0 < numbered < 1 << BITS:
+        raise ValueError(f"numbered must be from 1 to {(1 << BITS) - 1}, got {numbered}")
+    spark = docs.sparkSession
+    texts = docs.select(F.coalesce(F.col(lang), F.lit("und")).alias("lang"), F.col(text).cast("binary").alias("text"))
+    words = texts.mapInPandas(_word_counts, "lang string, word binary, f long").groupBy("lang", "word").agg(F.sum("f").alias("f"))
+    total = F.length("word") == 0
+    words = stored(words.where(total | (F.col("f") >= MIN_COUNT)), "collocation-words", TEXT_ROWS)
+    n = words.where(total).agg(F.sum("f").alias("n")).first()["n"] or 0
+    shared, all_taken = _most_frequent(words.where(~total), numbered)
+    known = spark.sparkContext.broadcast(shared.toArrow().combine_chunks())
+    buckets = min(max(partitions(spark), n // BUCKET_WORDS), 1 << 16)
 
+    def merge(blobs: pd.DataFrame) -> pd.DataFrame:
+        table: pa.Table = known.value
+        grams = np.concatenate([np.cumsum(_unblob(b)) for b in blobs["grams"]])
+        grams, counts = _summed(grams, np.concatenate([_unblob(b) for b in blobs["counts"]]))
+        grams, counts = grams[counts >= MIN_COUNT], counts[counts >= MIN_COUNT]
+        ids = np.stack([grams >> 2 * BITS, grams >> BITS & (1 << BITS) - 1, grams & (1 << BITS) - 1])
+        first, second, third = (table["word"].take(pa.array(np.maximum(x - 1, 0))).to_pylist() for x in ids)
+        out = [b" ".join((b, c) if two else (a, b, c)) for two, a, b, c in zip(ids[0] == 0, first, second, third, strict=True)]
+        langs = table["lang"].take(pa.array(ids[2] - 1)).to_pylist()
+        # Objects also where a bucket has no frequent phrase.
+        langs, out = pd.Series(langs, dtype=object), pd.Series(out, dtype=object)
+        return pd.DataFrame({"lang": langs, "phrase": out, "words": np.where(ids[0] == 0, 2, 3), "f": counts})
 
-def phrase_counts(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
-    """(lang, phrase, words, f): counts of all phrases of one to three words within pieces; per language, a row with
-    words 0 and phrase '' holds the number of all word occurrences."""
-    texts = docs.select(F.coalesce(F.col(lang), F.lit("und")).alias("lang"), F.col(text).alias("text"))
-    schema = "lang string, phrase string, words int, f long"
-    return texts.mapInPandas(_gram_counts, schema).groupBy("lang", "phrase", "words").agg(F.sum("f").alias("f"))
+    schema = "lang string, phrase binary, words int, f long"
+    blobs = texts.mapInPandas(lambda it: _gram_blobs(it, known, buckets), "bucket int, grams binary, counts binary")
+    found = [words.select("lang", F.col("word").alias("phrase"), F.when(total, 0).otherwise(1).alias("words"), "f"), blobs.groupBy("bucket").applyInPandas(merge, schema)]
+    if not all_taken:
+        strings = texts.mapInPandas(lambda it: _gram_counts(it, known), schema).groupBy("lang", "phrase", "words").agg(F.sum("f").alias("f"))
+        found.append(strings.where(F.col("f") >= MIN_COUNT))
+    for more in found[1:]:
+        found[0] = found[0].unionByName(more)
+    return stored(found[0].withColumn("phrase", F.col("phrase").cast("string")), "collocation-counts", TEXT_ROWS)
 
 
 def _score(a: str, l: str, r: str) -> Column:
@@ -82,7 +260,7 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", top: i
     digits. Languages without candidates give no rows; an empty table gives none. Only ``text`` and ``lang`` are read.
     """
     # Only what can matter is kept: phrases of count 10 or more (every part of a candidate has one) and the totals.
-    counts = stored(phrase_counts(docs, text, lang).where((F.col("words") == 0) | (F.col("f") >= MIN_COUNT)), "collocation-counts")
+    counts = frequent_phrases(docs, text, lang)
     n = counts.where("words = 0").select("lang", F.col("f").alias("n"))
     frequent = counts.where("words > 0")
     single = frequent.where("words = 1").select("lang", F.col("phrase").alias("part"), F.col("f").alias("fp"))
