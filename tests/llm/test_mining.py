@@ -230,3 +230,21 @@ def test_collocations_hand_on_a_row_per_bucket_not_per_phrase(spark):
     out = pd.concat(list(collocations._gram_blobs(iter([pd.DataFrame({"lang": ["en"], "text": [text.encode()]})]), known, 8)))
     assert len(out) == 8 and out["bucket"].is_unique
     assert sum(collocations._unblob(c).sum() for c in out["counts"]) == 19_999 + 19_998
+
+
+def test_windows_of_many_documents_at_once_equal_those_of_one():
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    lists = [rng.integers(0, 9, size=k) * 0x1E3779B97F4A7C15 for k in (0, 3, 19, 20, 21, 0, 60, 200, 20, 5)]
+    doc, at, found = substring_dedup.anchors(lists)
+    positions = [at[doc == k][::2] for k in range(len(lists))]
+    windows = substring_dedup.candidate_windows(lists, positions)
+    for k, own in enumerate(lists):
+        _, p, h = substring_dedup.anchors([own])
+        assert (at[doc == k] == p).all() and (found[doc == k] == h).all()
+        one = substring_dedup.candidate_windows([own], [positions[k]])
+        for a, b in zip(windows[1:], one[1:], strict=True):
+            assert a[windows[0] == k].tolist() == b.tolist()
+    # A shuffled window row holds 12 bytes of hash, not 16.
+    assert len(windows[1]) and windows[3].dtype == np.int32

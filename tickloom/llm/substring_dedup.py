@@ -15,6 +15,7 @@ shuffle each), which spills if a passage is in a third of all documents.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -32,7 +33,9 @@ WINDOW = 20
 # An anchor is a gram of GRAM words; a window holds WINDOW - GRAM + 1 of them.
 GRAM = 5
 SPAN = WINDOW - GRAM + 1
-# Odd multipliers of the polynomial hashes: grams by one, windows by two (128 bits).
+# Words whose arrays a Python worker holds at once, besides those of one document.
+PART_WORDS = 250_000
+# Odd multipliers of the polynomial hashes: grams by one, windows by two (96 of 128 bits are kept).
 GRAM_BASE = np.uint64(0x9E3779B97F4A7C15)
 WINDOW_BASES = (np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9))
 # Null ids are ordered as this, the smallest long.
@@ -44,14 +47,20 @@ def words_of(text: str | None) -> list[str]:
 
 
 def _rolled(hashes: np.ndarray, length: int, base: np.uint64) -> np.ndarray:
-    """Polynomial hash of every run of ``length`` consecutive word hashes (wrapping at 64 bits)."""
-    count = len(hashes) - length + 1
-    acc = np.zeros(count, dtype=np.uint64)
+    """Polynomial hash of every run of ``length`` consecutive word hashes (wrapping at 64 bits), joined from shorter runs."""
+    acc, done, run, size, power = None, 0, hashes, 1, base
     with np.errstate(over="ignore"):
-        for k in range(length):
-            acc = acc * base + hashes[k : k + count]
+        while True:
+            if length & size:
+                # The runs so far, then ``size`` more words.
+                acc = run if acc is None else acc[: len(run) - done] * power + run[done:]
+                done += size
+            if done == length:
+                break
+            run = run[:-size] * power + run[size:]
+            size, power = 2 * size, power * power
         # A final mix so that the order of the hashes, which winnowing uses, is not that of the last word.
-        acc ^= acc >> np.uint64(31)
+        acc = acc ^ (acc >> np.uint64(31))
         acc *= np.uint64(0xBF58476D1CE4E5B9)
         acc ^= acc >> np.uint64(29)
     return acc
@@ -60,27 +69,49 @@ def _rolled(hashes: np.ndarray, length: int, base: np.uint64) -> np.ndarray:
 def canonical(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Gram hashes, and for every window the position of its anchor: the rightmost smallest of its grams."""
     grams = _rolled(hashes, GRAM, GRAM_BASE)
-    runs = np.lib.stride_tricks.sliding_window_view(grams, SPAN)
-    return grams, np.arange(len(runs)) + (SPAN - 1 - np.argmin(runs[:, ::-1], axis=1))
-
-
-def anchors(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(positions, hashes) of the winnowed grams of one document's word hashes."""
-    if len(hashes) < WINDOW:
-        return np.empty(0, np.int64), np.empty(0, np.uint64)
-    grams, of_window = canonical(hashes)
-    picked = np.unique(of_window)
-    return picked.astype(np.int64), grams[picked]
-
-
-def candidate_windows(hashes: np.ndarray, positions) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and 128-bit hashes of the windows whose anchor is at one of ``positions`` (the repeated ones)."""
-    if len(hashes) < WINDOW:
+    least, at, size = grams, np.arange(len(grams)), 1
+    while size < SPAN:
+        step = min(size, SPAN - size)
+        right = least[step:] <= least[: len(least) - step]
+        least, at = np.where(right, least[step:], least[: len(least) - step]), np.where(right, at[step:], at[: len(at) - step])
+        size += step
+    return grams, at
+
+
+def _joined(lists: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Word hashes of some documents, one after another; their starts, and per window its document and whether it is within it."""
+    sizes = np.array([len(x) for x in lists])
+    hashes, starts = np.concatenate(lists).astype(np.int64, copy=False).view(np.uint64), np.cumsum(sizes) - sizes
+    doc = np.repeat(np.arange(len(lists)), sizes)
+    windows = max(len(hashes) - WINDOW + 1, 0)
+    return hashes, starts, doc[:windows], doc[:windows] == doc[len(doc) - windows :]
+
+
+def anchors(lists: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(document, position, hash) of the winnowed grams of some documents' word hashes."""
+    hashes, starts, doc, within = _joined(lists)
+    if not within.any():
         return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
+    grams, of_window = canonical(hashes)
+    picked = np.zeros(len(grams), bool)
+    picked[of_window[within]] = True
+    at = np.flatnonzero(picked)
+    owner = np.searchsorted(starts, at, side="right") - 1
+    return owner, at - starts[owner], grams[at].view(np.int64)
+
+
+def candidate_windows(lists: list[np.ndarray], positions: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(document, start, and 64 and 32 bits of hash) of the windows whose anchor is at one of their document's
+    ``positions`` (the repeated ones)."""
+    hashes, starts, doc, within = _joined(lists)
+    if not within.any():
+        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int32)
     _, of_window = canonical(hashes)
-    starts = np.flatnonzero(np.isin(of_window, np.asarray(positions, dtype=np.int64)))
-    first, second = (_rolled(hashes, WINDOW, base)[starts] for base in WINDOW_BASES)
-    return starts, first.view(np.int64), second.view(np.int64)
+    repeated = np.zeros(len(hashes), bool)
+    repeated[np.concatenate([np.asarray(p, np.int64) + s for p, s in zip(positions, starts, strict=True)])] = True
+    at = np.flatnonzero(within & repeated[of_window])
+    first, second = (_rolled(hashes, WINDOW, base)[at] for base in WINDOW_BASES)
+    return doc[at], at - starts[doc[at]], first.view(np.int64), (second >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
 def covered(n_words: int, starts) -> np.ndarray:
@@ -92,33 +123,25 @@ def covered(n_words: int, starts) -> np.ndarray:
     return np.cumsum(edges[:-1]) > 0
 
 
-def _unsigned(values) -> np.ndarray:
-    return np.asarray(values, dtype=np.int64).view(np.uint64)
+def _parts(pdf: pd.DataFrame, hashes: str) -> Iterator[pd.DataFrame]:
+    """Rows of about ``PART_WORDS`` words at once, so the arrays of many documents stay small."""
+    part = np.cumsum(pdf[hashes].map(len).to_numpy()) // PART_WORDS
+    for _, rows in pdf.groupby(part, sort=False):
+        yield rows
 
 
 def _anchor_rows(batches, key: list[str], hashes: str):
     for pdf in batches:
-        out = {c: [] for c in (*key, "anchor", "pos")}
-        for *ids, values in zip(*(pdf[c] for c in key), pdf[hashes]):
-            positions, found = anchors(_unsigned(values))
-            for c, v in zip(key, ids):
-                out[c].extend([v] * len(positions))
-            out["anchor"].extend(found.view(np.int64).tolist())
-            out["pos"].extend(positions.tolist())
-        yield pd.DataFrame(out)
+        for rows in _parts(pdf, hashes):
+            doc, at, found = anchors(rows[hashes].tolist())
+            yield pd.DataFrame({c: rows[c].to_numpy()[doc] for c in key} | {"anchor": found, "pos": at})
 
 
 def _window_rows(batches, key: list[str], hashes: str, positions: str):
     for pdf in batches:
-        out = {c: [] for c in (*key, "w1", "w2", "start")}
-        for *ids, values, seeds in zip(*(pdf[c] for c in key), pdf[hashes], pdf[positions]):
-            starts, first, second = candidate_windows(_unsigned(values), seeds)
-            for c, v in zip(key, ids):
-                out[c].extend([v] * len(starts))
-            out["w1"].extend(first.tolist())
-            out["w2"].extend(second.tolist())
-            out["start"].extend(starts.tolist())
-        yield pd.DataFrame(out)
+        for rows in _parts(pdf, hashes):
+            doc, start, first, second = candidate_windows(rows[hashes].tolist(), rows[positions].tolist())
+            yield pd.DataFrame({c: rows[c].to_numpy()[doc] for c in key} | {"w1": first, "w2": second, "start": start})
 
 
 def _cut(batches, text: str, starts: str, n_words: str, n_removed: str, columns: list[str]):
@@ -145,8 +168,8 @@ def drop_repeats(docs: DataFrame, text: str = "text", id_col: str = "doc_id") ->
     nothing and repeat nothing. Rows with equal id and equal text are one document: they are judged alike and do
     not repeat each other. Rows with equal id and different texts are ordered by a hash of their text. A null id is
     ordered as the smallest long. An empty table gives an empty table.
-    Words are hashed by Spark's xxhash64 and windows told apart by two 64-bit polynomial hashes of those; two
-    different windows taken for one is a chance of about 2^-100 per pair.
+    Words are hashed by Spark's xxhash64 and windows told apart by 96 bits of two 64-bit polynomial hashes of
+    those; two different windows taken for one is a chance of about 2^-90 per pair.
     """
     order, tag, hashes = (free_name(docs.columns, c) for c in ("_order_id", "_text_hash", "_word_hashes"))
     key = [order, tag]
@@ -163,7 +186,7 @@ def drop_repeats(docs: DataFrame, text: str = "text", id_col: str = "doc_id") ->
 
     slim = tagged.select(*key, text)
     seeded = slim.join(seeds, key).select(*key, F.transform(words, lambda w: F.xxhash64(w)).alias(hashes), "positions")
-    window_schema = T.StructType([*key_fields, T.StructField("w1", T.LongType()), T.StructField("w2", T.LongType()), T.StructField("start", T.LongType())])
+    window_schema = T.StructType([*key_fields, T.StructField("w1", T.LongType()), T.StructField("w2", T.IntegerType()), T.StructField("start", T.LongType())])
     windows = seeded.mapInPandas(lambda it: _window_rows(it, key, hashes, "positions"), window_schema)
     # First occurrences: one shuffle on the window hash, ordered within each group of equal windows.
     earlier = F.row_number().over(Window.partitionBy("w1", "w2").orderBy(*key, "start"))
