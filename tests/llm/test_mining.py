@@ -232,6 +232,18 @@ def test_collocations_hand_on_a_row_per_bucket_not_per_phrase(spark):
     assert sum(collocations._unblob(c).sum() for c in out["counts"]) == 19_999 + 19_998
 
 
+def test_terms_are_combined_per_worker_not_per_batch():
+    import pandas as pd
+
+    from tickloom.llm import source_divergence
+
+    batch = pd.DataFrame({"lang": ["en", "en"], "source": ["a", "b"], "text": ["Ä x y x1y", "é z"]})
+    out = list(source_divergence._term_counts(iter([batch] * 5)))
+    assert len(out) == 1
+    got = sorted(out[0].itertuples(index=False, name=None))
+    assert got == [("en", "a", "x", 10, 5), ("en", "a", "y", 10, 5), ("en", "a", "Ä", 5, 5), ("en", "b", "z", 5, 5), ("en", "b", "é", 5, 5)]
+
+
 def test_windows_of_many_documents_at_once_equal_those_of_one():
     import numpy as np
 

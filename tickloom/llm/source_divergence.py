@@ -10,28 +10,31 @@ present in both, from a frequent-pattern tree. Each term is a row of its (source
 equal rows are inserted once with their multiplicity, every prefix is a node that adds up the multiplicities below
 it, and a node pairs its last entry with each of its ancestors' once, weighted by the node's multiplicity. Everything
 is a DataFrame aggregation, combined map-side; no group of terms or documents meets in one task. Terms are counted in
-Python per Arrow batch, which combines a batch's repeats before the shuffle.
+Python: a worker numbers the terms that it meets and combines repeats in arrays before the shuffle.
 """
 
 from __future__ import annotations
 
-import re
-from collections import Counter
+from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.llm.common import stored, top_per
 
-# Fixed by the contract: terms, least number of documents, scale, length of the term list.
-TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
+# Fixed by the contract: least number of documents, scale, length of the term list.
 MIN_DOCS = 10
 SCALE = 1_000_000_000
 TERM_TOP = 10
 EXACT = "decimal(38,0)"
-# Keys a Python worker combines before it hands them on; bounds its memory whatever the batch holds.
-FLUSH = 200_000
+# Terms, and keys (group and term), that a Python worker holds before it hands them on; bounds its memory.
+FLUSH = 400_000
+FLUSH_KEYS = 2_000_000
+# Bytes of text cut into terms at once, and rows with texts that a Python worker gets at once.
+CHUNK_BYTES = 1 << 20
+TEXT_ROWS = 2000
 
 
 def p_of(count: str, total: str, v: str) -> Column:
@@ -44,33 +47,77 @@ def f_of(p: str, q: str) -> Column:
     return F.expr(f"(({p} - {q}) * ({p} - {q})) div ({p} + {q})")
 
 
-_TERM = re.compile(TERM)
-_LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+# What is neither A-Z, a-z nor above 127 becomes a space; A-Z is lower-cased. No UTF-8 text holds the byte 255.
+_BYTES = bytes(b + 32 if 0x41 <= b <= 0x5A else b if 0x61 <= b <= 0x7A or b > 0x7F else 0x20 for b in range(256))
+_END = b"\xff"
 
 
-def _term_counts(batches):
-    """(lang, source, term, c, d): occurrences and documents, combined within a batch until FLUSH keys are held."""
-    columns = ["lang", "source", "term", "c", "d"]
+class _Numbers(dict):
+    """Numbers terms in the order in which they are met; 0 is the end of a document."""
+
+    def __missing__(self, term: bytes) -> int:
+        self[term] = number = len(self)
+        return number
+
+
+def _summed(keys: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Distinct keys in order, and per key the sum of each of ``values``."""
+    order = np.argsort(keys)
+    keys = keys[order]
+    at = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+    return keys[at], *(np.add.reduceat(v[order], at) for v in values)
+
+
+def _chunks(texts: pd.Series) -> Iterator[bytes]:
+    """Texts as bytes, some at once, each with ``_END`` after it."""
+    held, size = [], 0
+    for text in texts:
+        if text:
+            held.append(text.encode() if isinstance(text, str) else text)
+            size += len(text)
+        if size >= CHUNK_BYTES:
+            yield b" \xff ".join([*held, b""])
+            held, size = [], 0
+    if held:
+        yield b" \xff ".join([*held, b""])
+
+
+def _term_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """(lang, source, term, c, d): occurrences and documents, combined until FLUSH terms or FLUSH_KEYS keys are held."""
+    numbers, groups, held, size = _Numbers({_END: 0}), {}, [], 0
+
+    def rows() -> pd.DataFrame:
+        keys, c, d = _summed(*(np.concatenate(x) for x in zip(*held, strict=True)))
+        group, term = keys >> 32, keys & 0xFFFFFFFF
+        lang, source = (np.array([name[k] for name in groups], object)[group] for k in (0, 1))
+        terms = np.array([t if t == _END else t.decode() for t in numbers], object)[term]
+        return pd.DataFrame({"lang": lang, "source": source, "term": terms, "c": c, "d": d})
+
     for pdf in batches:
-        found: dict[tuple[str, str, str], list[int]] = {}
-        for lang, source, text in zip(pdf["lang"], pdf["source"], pdf["text"]):
-            if not text:
-                continue
-            for term, c in Counter(_TERM.findall(text.translate(_LOWER))).items():
-                cell = found.setdefault((lang, source, term), [0, 0])
-                cell[0] += c
-                cell[1] += 1
-            if len(found) >= FLUSH:
-                yield pd.DataFrame([(*k, c, d) for k, (c, d) in found.items()], columns=columns)
-                found = {}
-        if found:
-            yield pd.DataFrame([(*k, c, d) for k, (c, d) in found.items()], columns=columns)
+        for name, texts in pdf.groupby(["lang", "source"], sort=False)["text"]:
+            group = groups.setdefault(name, len(groups)) << 32
+            for chunk in _chunks(texts):
+                terms = chunk.translate(_BYTES).split()
+                ids = np.fromiter(map(numbers.__getitem__, terms), np.int64, len(terms))
+                doc, real = np.cumsum(ids == 0), ids > 0
+                if not real.any():
+                    continue
+                per_doc, c = _summed(doc[real] << 32 | ids[real], np.ones(int(real.sum()), np.int64))
+                keys, c, d = _summed(per_doc & 0xFFFFFFFF, c, np.ones(len(c), np.int64))
+                held.append((keys | group, c, d))
+                size += len(keys)
+                if len(numbers) > FLUSH or size >= FLUSH_KEYS:
+                    yield rows()
+                    numbers, groups, held, size = _Numbers({_END: 0}), {}, [], 0
+                    group = groups.setdefault(name, len(groups)) << 32
+    if held:
+        yield rows()
 
 
 def term_stats(docs: DataFrame, text: str, lang: str, source: str) -> DataFrame:
     """(lang, source, term, c, d): occurrences and documents per group and term, from one scan."""
     rows = docs.select(
-        F.coalesce(F.col(lang), F.lit("")).alias("lang"), F.coalesce(F.col(source), F.lit("")).alias("source"), F.col(text).alias("text")
+        F.coalesce(F.col(lang), F.lit("")).alias("lang"), F.coalesce(F.col(source), F.lit("")).alias("source"), F.col(text).cast("binary").alias("text")
     )
     counted = rows.mapInPandas(_term_counts, "lang string, source string, term string, c long, d long")
     return counted.groupBy("lang", "source", "term").agg(F.sum("c").alias("c"), F.sum("d").alias("d"))
@@ -86,7 +133,7 @@ def divergence(docs: DataFrame, text: str = "text", lang: str = "lang", source:
     descending, item ascending (UTF-8 bytes). Every (lang, source) of the table is a group, even one without terms; a
     language with one source has no pair rows. An empty table gives no rows. Arithmetic is exact.
     """
-    stats = stored(term_stats(docs, text, lang, source), "divergence-terms")
+    stats = stored(term_stats(docs, text, lang, source), "divergence-terms", TEXT_ROWS)
     groups = docs.select(F.coalesce(F.col(lang), F.lit("")).alias("lang"), F.coalesce(F.col(source), F.lit("")).alias("source")).distinct()
     kept = stats.groupBy("lang", "term").agg(F.sum("d").alias("docs"), F.sum("c").alias("c_lang")).where(F.col("docs") >= MIN_DOCS)
     v = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("v"), F.sum("c_lang").alias("n_lang"))
