@@ -10,6 +10,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+import regex
 import xxhash
 from pyspark.sql import functions as F
 
@@ -482,3 +483,16 @@ def test_near_duplicates_edges(spark, odd):
     assert got.count() == odd.count() and got.where("doc_id = 4 and component_id = 3 and not kept").count() == 2
     assert near_dedup.near_duplicates(odd.limit(0)).count() == 0
     assert near_dedup.keep_one(odd).columns == odd.columns
+
+
+def test_bpe_plan_holds_no_copy_of_the_pairs(spark):
+    """The driver keeps plans and their texts; a map of all pairs in them took several MB for each use."""
+    words = spark.createDataFrame([(w,) for w in ("tokens", "hello", " first", "ünïcödé")], "word string")
+    ranks = vocabulary()
+    encoded = byte_bpe.encode_words(words, ranks)
+    assert len(encoded._jdf.queryExecution().toString()) < 100_000
+    got = {r["word"]: r["ids"] for r in encoded.collect()}
+    want = {}
+    for key in got:
+        want[key] = [i for match in regex.findall(ranks.pattern, byte_bpe.word_of(key)) for i in byte_bpe.merge(match.encode(), ranks.ranks)]
+    assert got == want and len(got) == 4

@@ -4,7 +4,8 @@ A text is cut before every space that a non-space follows; the tokenizer's patte
 the cuts' words can be encoded one by one. The most frequent distinct words of the whole corpus, 200,000 at most, are
 folded in Spark and shared with all tasks; they are nearly all words of a corpus. The fold holds the array of token
 ids of a word, starting with its bytes, and the ranks of neighbouring pairs; each step merges the leftmost pair of the
-lowest rank, looked up in a literal map. The map is an array of buckets, so a look-up does not search all pairs.
+lowest rank, looked up in a map that is broadcast as a table of one row: as a literal, it stood in the plan once per
+use, and the driver held many copies of it. The map is an array of buckets, so a look-up does not search all pairs.
 
 Any other word is merged by the same rule in the task that meets it: Spark evaluates lambdas node by node, about 110
 microseconds for a word of ten bytes, too long for every rare word of a large corpus (README has the figures).
@@ -38,6 +39,8 @@ SHARED_LENGTH = 48
 FOLD_BYTES = 256
 BUCKETS = 1 << 16
 TEXT_ROWS = 1000
+# Words per row that meets the map of pairs.
+ROW_WORDS = 500
 # Words that a task remembers besides the shared ones.
 CACHE_WORDS = 300_000
 NONE = 1 << 40
@@ -153,12 +156,15 @@ def start_ids(word: str, vocabulary: Ranks, find: regex.Pattern) -> list[list[in
     return out
 
 
-def merge_fold(vocabulary: Ranks):
-    """A function from a column of start ids (array of int) to the merged ids."""
-    keys, values = vocabulary.pairs()
-    # Constants of the plan, parsed once by the optimiser.
-    key_map = F.from_json(F.lit(json.dumps(keys)), "array<array<bigint>>")
-    value_map = F.from_json(F.lit(json.dumps(values)), "array<array<int>>")
+def merge_fold(vocabulary: Ranks, maps: tuple[Column, Column] | None = None):
+    """A function from a column of start ids (array of int) to the merged ids.
+
+    ``maps``: columns that hold ``vocabulary.pairs()``; without them the pairs are constants of the plan.
+    """
+    if maps is None:
+        keys, values = vocabulary.pairs()
+        maps = F.from_json(F.lit(json.dumps(keys)), "array<array<bigint>>"), F.from_json(F.lit(json.dumps(values)), "array<array<int>>")
+    key_map, value_map = maps
     none = F.array().cast("array<int>")
 
     def look(a: Column, b: Column) -> Column:
@@ -237,16 +243,25 @@ def as_bytes(table: pa.Table) -> dict[str, bytes]:
 
 
 def encode_words(words: DataFrame, vocabulary: Ranks) -> DataFrame:
-    """(word, ids) for distinct keys of words."""
-    shared = words.sparkSession.sparkContext.broadcast(vocabulary)
+    """(word, ids) for distinct keys of words; some hundred words are a row while they meet the map of pairs."""
+    spark = words.sparkSession
+    shared = spark.sparkContext.broadcast(vocabulary)
+    keys, values = vocabulary.pairs()
+    types = pa.schema([("_keys", pa.list_(pa.list_(pa.int64()))), ("_values", pa.list_(pa.list_(pa.int32())))])
+    maps = spark.createDataFrame(pa.table([[keys], [values]], schema=types))
 
-    @F.pandas_udf("array<array<int>>")
-    def starts(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def starts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         find = regex.compile(shared.value.pattern)
         for batch in batches:
-            yield batch.map(lambda key: start_ids(word_of(key), shared.value, find))
-
-    return words.select("word", F.flatten(F.transform(starts("word"), merge_fold(vocabulary))).alias("ids"))
+            for at in range(0, len(batch), ROW_WORDS):
+                some = batch["word"].iloc[at:at + ROW_WORDS].tolist()
+                yield pd.DataFrame({"words": [some], "starts": [[start_ids(word_of(key), shared.value, find) for key in some]]})
+
+    rows = words.select("word").mapInPandas(starts, "words array<string>, starts array<array<array<int>>>").crossJoin(F.broadcast(maps))
+    fold = merge_fold(vocabulary, (F.col("_keys"), F.col("_values")))
+    ids = F.transform("starts", lambda matches: F.flatten(F.transform(matches, fold)))
+    pairs = rows.select(F.arrays_zip(F.col("words").alias("word"), ids.alias("ids")).alias("pairs"))
+    return pairs.select(F.inline("pairs")).toDF("word", "ids")
 
 
 class Rare(dict):
