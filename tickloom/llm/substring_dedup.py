@@ -35,7 +35,7 @@ GRAM = 5
 SPAN = WINDOW - GRAM + 1
 # Words whose arrays a Python worker holds at once, besides those of one document.
 PART_WORDS = 250_000
-# Odd multipliers of the polynomial hashes: grams by one, windows by two (96 of 128 bits are kept).
+# Odd multipliers of the polynomial hashes: grams by one, windows by two (128 bits).
 GRAM_BASE = np.uint64(0x9E3779B97F4A7C15)
 WINDOW_BASES = (np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9))
 # Null ids are ordered as this, the smallest long.
@@ -101,17 +101,17 @@ def anchors(lists: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray
 
 
 def candidate_windows(lists: list[np.ndarray], positions: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(document, start, and 64 and 32 bits of hash) of the windows whose anchor is at one of their document's
+    """(document, start, 128-bit hash) of the windows whose anchor is at one of their document's
     ``positions`` (the repeated ones)."""
     hashes, starts, doc, within = _joined(lists)
     if not within.any():
-        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int32)
+        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
     _, of_window = canonical(hashes)
     repeated = np.zeros(len(hashes), bool)
     repeated[np.concatenate([np.asarray(p, np.int64) + s for p, s in zip(positions, starts, strict=True)])] = True
     at = np.flatnonzero(within & repeated[of_window])
     first, second = (_rolled(hashes, WINDOW, base)[at] for base in WINDOW_BASES)
-    return doc[at], at - starts[doc[at]], first.view(np.int64), (second >> np.uint64(32)).astype(np.uint32).view(np.int32)
+    return doc[at], at - starts[doc[at]], first.view(np.int64), second.view(np.int64)
 
 
 def covered(n_words: int, starts) -> np.ndarray:
@@ -168,8 +168,8 @@ def drop_repeats(docs: DataFrame, text: str = "text", id_col: str = "doc_id") ->
     nothing and repeat nothing. Rows with equal id and equal text are one document: they are judged alike and do
     not repeat each other. Rows with equal id and different texts are ordered by a hash of their text. A null id is
     ordered as the smallest long. An empty table gives an empty table.
-    Words are hashed by Spark's xxhash64 and windows told apart by 96 bits of two 64-bit polynomial hashes of
-    those; two different windows taken for one is a chance of about 2^-90 per pair.
+    Words are hashed by Spark's xxhash64 and windows told apart by two 64-bit polynomial hashes of those; two
+    different windows taken for one is a chance of about 2^-100 per pair.
     """
     order, tag, hashes = (free_name(docs.columns, c) for c in ("_order_id", "_text_hash", "_word_hashes"))
     key = [order, tag]
@@ -186,7 +186,7 @@ def drop_repeats(docs: DataFrame, text: str = "text", id_col: str = "doc_id") ->
 
     slim = tagged.select(*key, text)
     seeded = slim.join(seeds, key).select(*key, F.transform(words, lambda w: F.xxhash64(w)).alias(hashes), "positions")
-    window_schema = T.StructType([*key_fields, T.StructField("w1", T.LongType()), T.StructField("w2", T.IntegerType()), T.StructField("start", T.LongType())])
+    window_schema = T.StructType([*key_fields, T.StructField("w1", T.LongType()), T.StructField("w2", T.LongType()), T.StructField("start", T.LongType())])
     windows = seeded.mapInPandas(lambda it: _window_rows(it, key, hashes, "positions"), window_schema)
     # First occurrences: one shuffle on the window hash, ordered within each group of equal windows.
     earlier = F.row_number().over(Window.partitionBy("w1", "w2").orderBy(*key, "start"))
