@@ -496,3 +496,20 @@ def test_bpe_plan_holds_no_copy_of_the_pairs(spark):
     for key in got:
         want[key] = [i for match in regex.findall(ranks.pattern, byte_bpe.word_of(key)) for i in byte_bpe.merge(match.encode(), ranks.ranks)]
     assert got == want and len(got) == 4
+
+
+def test_digests_take_all_ids_of_a_text_at_once():
+    """Names and pieces of a text's ids were looked up one by one, which took as long as the encoding."""
+    import numpy as np
+
+    ranks = vocabulary()
+    pieces = byte_bpe.pieces_by_id(ranks.ranks)
+    names = byte_bpe.id_names(len(pieces))
+    of = {rank: piece for piece, rank in ranks.ranks.items()}
+    last = len(pieces) - 1
+    for ids in ([], [0], [last], [0, 9, 10, 99, 100, 0, 9999, 10000, last, 0], list(range(0, last, 97))):
+        got = np.array(ids, "<i4")
+        assert byte_bpe.joined_names(got, names) == " ".join(map(str, ids)).encode()
+        assert byte_bpe.joined_pieces(got, pieces) == b"".join(of[k] for k in ids)
+    holed = byte_bpe.pieces_by_id({b"a": 0, b"b": 3})
+    assert holed.tolist() == [b"a", None, None, b"b"] and byte_bpe.joined_pieces(np.array([3, 0]), holed) == b"ba"

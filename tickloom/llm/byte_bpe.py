@@ -333,15 +333,39 @@ def encode(docs: DataFrame, vocabulary: Ranks, text_col: str = "text", out: str
     return docs.withColumn(free_name(docs.columns, out), encoder(docs, vocabulary, text_col, shared))
 
 
+def pieces_by_id(ranks: dict[bytes, int]) -> np.ndarray:
+    """The piece of each id, so the pieces of all ids of a text are taken at once; None where no piece has the id."""
+    pieces = np.full(max(ranks.values(), default=-1) + 1, None, object)
+    for piece, rank in ranks.items():
+        pieces[rank] = piece
+    return pieces
+
+
+def id_names(n: int) -> np.ndarray:
+    """The decimal name of each id below ``n`` with a space behind it, as fixed-width bytes that zeros fill up."""
+    return np.array([f"{k} " for k in range(n)], dtype=f"S{len(str(n)) + 1}")
+
+
+def joined_names(ids: np.ndarray, names: np.ndarray) -> bytes:
+    """Decimal ids joined by one space: fixed-width names in a row, without the zeros between and the last space."""
+    return names[ids].tobytes().translate(None, b"\0")[:-1]
+
+
+def joined_pieces(ids: np.ndarray, pieces: np.ndarray) -> bytes:
+    if len(ids) and ids.min() < 0:
+        raise KeyError(f"negative id {ids.min()}")
+    return b"".join(pieces[ids].tolist())
+
+
 def decoder(vocabulary: Ranks, df: DataFrame):
     """A function from a column of ids to the bytes that they stand for: their binary pieces, joined."""
     rules = df.sparkSession.sparkContext.broadcast(vocabulary)
 
     @F.pandas_udf("binary")
     def decoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        piece = {rank: piece for piece, rank in rules.value.ranks.items()}
+        pieces = pieces_by_id(rules.value.ranks)
         for batch in batches:
-            yield batch.map(lambda ids: b"".join(map(piece.__getitem__, ids.tolist())))
+            yield batch.map(lambda ids: joined_pieces(ids, pieces))
 
     return decoded
 
@@ -352,14 +376,10 @@ def digests(vocabulary: Ranks, df: DataFrame):
 
     @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
     def digested(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        piece = {rank: piece for piece, rank in rules.value.ranks.items()}
-        name = {rank: str(rank) for rank in piece}
+        pieces = pieces_by_id(rules.value.ranks)
+        names = id_names(len(pieces))
         for batch in batches:
-            rows = []
-            for ids in batch:
-                ids = ids.tolist()
-                text = " ".join(map(name.__getitem__, ids)).encode()
-                rows.append((len(ids), sha256(text).hexdigest(), sha256(b"".join(map(piece.__getitem__, ids))).hexdigest()))
+            rows = [(len(ids), sha256(joined_names(ids, names)).hexdigest(), sha256(joined_pieces(ids, pieces)).hexdigest()) for ids in batch]
             yield pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
 
     return digested
