@@ -24,8 +24,10 @@ from tickloom.plans.sizing import lookup_side
 
 PERCENT = 75
 TREES = 12
-# A node is small if it has at most so many pairs across components and so many members.
-NODE_PAIRS, NODE_ROWS = 500_000, 2048
+# A node is small if it has at most so many pairs across components and so many members: some seconds of one task.
+NODE_PAIRS, NODE_ROWS = 33_000_000, 8192
+# Members whose texts meet those of as many others in one task when candidates are confirmed.
+HALF = 1024
 BRANCHES = 2
 DEPTH = 6
 # Rounds in which every vertex is checked against heads of its nodes before any node is compared exhaustively.
@@ -64,44 +66,87 @@ def _fresh(equal: np.ndarray, small: int, tree: int) -> np.ndarray:
 
 
 # What a node sends on, so that no row per pair is made: a row per member with its candidates, and a row per candidate.
-LISTS = "node long, at int, sid string, label string, partners array<int>"
+# A large node sends several parts, each of which meets its texts apart.
+LISTS = "node long, part int, at int, sid string, label string, partners array<int>"
+_LISTS = ["node", "part", "at", "sid", "label", "partners"]
 
 
-def _lists(node: int, sid: np.ndarray, label: np.ndarray, found: dict[int, np.ndarray]) -> pd.DataFrame:
-    """``found``: positions of a member's candidates by the member's position."""
-    rows = [(node, at, sid[at], label[at], partners) for at, partners in found.items()]
-    if found:
-        rows += [(node, at, sid[at], label[at], None) for at in np.unique(np.concatenate(list(found.values()))).tolist()]
-    return pd.DataFrame(rows, columns=["node", "at", "sid", "label", "partners"])
+def _lists(node: int, sid: np.ndarray, label: np.ndarray, found: dict[int, np.ndarray]) -> list[tuple]:
+    """Rows of ``LISTS``. ``found``: positions of a member's candidates by the member's position.
+
+    Members and candidates are parted by ``HALF`` positions each, so the texts of at most two halves are one part.
+    """
+    halves = -(-len(sid) // HALF)
+    parts: dict[int, dict[int, np.ndarray]] = {}
+    for at, partners in found.items():
+        if halves <= 2:
+            parts.setdefault(0, {})[at] = partners
+            continue
+        half = partners // HALF
+        for h in np.unique(half).tolist():
+            parts.setdefault(at // HALF * halves + h, {})[at] = partners[half == h]
+    rows = []
+    for part, asks in parts.items():
+        rows += [(node, part, at, sid[at], label[at], partners) for at, partners in asks.items()]
+        rows += [(node, part, at, sid[at], label[at], None) for at in np.unique(np.concatenate(list(asks.values()))).tolist()]
+    return rows
+
+
+def _equal_tokens(equal: np.ndarray) -> np.ndarray:
+    """Number of true values per row of ``COORDINATES`` of them: eight bytes are added at once, no byte passes 64."""
+    lanes = equal.view(np.uint64).sum(axis=1)
+    return (lanes * np.uint64(0x0101010101010101)) >> np.uint64(56)
+
+
+def _candidates(sig: np.ndarray, label: np.ndarray, n: np.ndarray, small: np.ndarray, tree: int, others: int) -> dict[int, np.ndarray]:
+    """Positions behind each of the first ``others`` members that have another label and enough equal tokens."""
+    found = {}
+    for k in range(others):
+        equal = sig[k + 1:] == sig[k]
+        near = np.flatnonzero(_equal_tokens(equal) >= AGREE)
+        if not len(near):
+            continue
+        at = near + k + 1
+        keep = (label[at] != label[k]) & (100 * np.minimum(n[at], n[k]) >= PERCENT * np.maximum(n[at], n[k]))
+        keep &= _fresh(equal[near], int(small[k]), tree)
+        if keep.any():
+            found[k] = at[keep].astype(np.int32)
+    return found
 
 
 def _cross_pairs(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Frames of whole nodes in order (a node may span frames): candidates with other labels and enough equal tokens."""
-    held: list[pd.DataFrame] = []
-
-    def pairs(node: pd.DataFrame) -> pd.DataFrame:
-        # The largest component comes last: its members need no comparison among each other.
-        main = node["label"] == node["label"].mode().iloc[0]
-        others, node = int((~main).sum()), pd.concat([node[~main], node[main]])
-        sig = np.frombuffer(b"".join(node["sig"]), np.uint32).reshape(-1, COORDINATES)
-        label, sid, n = node["label"].to_numpy(), node["sid"].to_numpy(), node["n"].to_numpy()
-        small, tree, out = node["small"].to_numpy(), int(node["tree"].iloc[0]), {}
-        for k in range(others):
-            equal = sig[k + 1:] == sig[k]
-            near = (equal.sum(axis=1) >= AGREE) & _fresh(equal, int(small[k]), tree)
-            near &= (label[k + 1:] != label[k]) & (100 * np.minimum(n[k + 1:], n[k]) >= PERCENT * np.maximum(n[k + 1:], n[k]))
-            if near.any():
-                out[k] = (np.flatnonzero(near) + k + 1).astype(np.int32)
-        return _lists(int(node["node"].iloc[0]), sid, label, out)
+    """Frames of whole nodes in order (a node may span frames): candidates with other labels and enough equal tokens.
+
+    Columns are made arrays once per frame, since most nodes have a few members only.
+    """
 
+    def pairs(frame: pd.DataFrame, starts: list[int]) -> pd.DataFrame:
+        sig = np.frombuffer(b"".join(frame["sig"]), np.uint32).reshape(-1, COORDINATES)
+        node, tree, sid, names, n, small = (frame[c].to_numpy() for c in ("node", "tree", "sid", "label", "n", "small"))
+        label, rows = pd.factorize(names)[0], []
+        for i, j in zip(starts, [*starts[1:], len(frame)], strict=True):
+            own, count = np.unique(label[i:j], return_counts=True)
+            # The largest component comes last: its members need no comparison among each other.
+            main = label[i:j] == own[count.argmax()]
+            order = i + np.argsort(main, kind="stable")
+            found = _candidates(sig[order], label[order], n[order], small[order], int(tree[i]), j - i - int(count.max()))
+            if found:
+                rows += _lists(int(node[i]), sid[order], names[order], found)
+        return pd.DataFrame(rows, columns=_LISTS)
+
+    held = None
     for frame in frames:
-        for _, node in frame.groupby("node", sort=False):
-            if held and held[0]["node"].iloc[0] != node["node"].iloc[0]:
-                yield pairs(pd.concat(held))
-                held = []
-            held.append(node)
-    if held:
-        yield pairs(pd.concat(held))
+        if not len(frame):
+            continue
+        frame = frame if held is None else pd.concat([held, frame], ignore_index=True)
+        node = frame["node"].to_numpy()
+        starts = [0, *(np.flatnonzero(node[1:] != node[:-1]) + 1).tolist()]
+        # The last node may go on in the next frame.
+        held = frame.iloc[starts[-1]:]
+        if len(starts) > 1:
+            yield pairs(frame.iloc[:starts[-1]], starts[:-1])
+    if held is not None:
+        yield pairs(held, [0])
 
 
 def _value(at: str) -> str:
@@ -117,7 +162,8 @@ def _texts(sids: DataFrame, sets: DataFrame, docs: DataFrame) -> DataFrame:
 def confirmed_lists(lists: DataFrame, sets: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) among the candidates of each node, on full sets, one link per member and component.
 
-    A node's texts meet in one task; it has at most ``NODE_ROWS`` members, or a block and a part of a larger node.
+    The texts of a part of a node meet in one task: those of two times ``HALF`` members, or of a block and a part of a
+    node of the last level.
     """
 
     def check(node: pd.DataFrame) -> pd.DataFrame:
@@ -140,7 +186,7 @@ def confirmed_lists(lists: DataFrame, sets: DataFrame, docs: DataFrame, percent:
         return pd.DataFrame(out, columns=["a", "b"])
 
     texts = _texts(lists.select("sid"), sets, docs)
-    return stored(lists.join(texts, "sid").groupBy("node").applyInPandas(check, "a string, b string"), "links", TEXT_ROWS)
+    return stored(lists.join(texts, "sid").groupBy("node", "part").applyInPandas(check, "a string, b string"), "links", TEXT_ROWS)
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
@@ -291,17 +337,17 @@ def _rest(level: DataFrame, percent: int) -> list[DataFrame]:
 
     def meet(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
         if not len(x) or not len(y):
-            return _lists(0, np.empty(0), np.empty(0), {})
+            return pd.DataFrame([], columns=_LISTS)
         sig = np.frombuffer(b"".join(y["sig"]), np.uint32).reshape(-1, COORDINATES)
         sid, label, n, out = y["sid"].to_numpy(), y["label"].to_numpy(), y["n"].to_numpy(), {}
         for k, (lab, size, own, small) in enumerate(zip(x["l_label"], x["l_n"], x["l_sig"], x["l_small"], strict=True)):
             equal = sig == np.frombuffer(own, np.uint32)
-            near = (equal.sum(axis=1) >= AGREE) & _fresh(equal, int(small), TREES)
+            near = (_equal_tokens(equal) >= AGREE) & _fresh(equal, int(small), TREES)
             near &= (label != lab) & (100 * np.minimum(n, size) >= percent * np.maximum(n, size))
             if near.any():
                 out[len(sid) + k] = np.flatnonzero(near).astype(np.int32)
         every = np.concatenate([sid, x["l_sid"].to_numpy()]), np.concatenate([label, x["l_label"].to_numpy()])
-        return _lists(int(x["l_group"].iloc[0]), *every, out)
+        return pd.DataFrame(_lists(int(x["l_group"].iloc[0]), *every, out), columns=_LISTS)
 
     found = []
     for b in range(int(last) + 1):
