@@ -11,8 +11,8 @@ from tickloom.llm.queries import vocabulary
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that score below one half."""
-    return toxicity.drop_toxic(docs, table(spark, sf_dir, "labels"))
+    """Documents that score below one half; written here, so that few texts go to Python at once."""
+    return stored(toxicity.drop_toxic(docs, table(spark, sf_dir, "labels")), "clean", byte_bpe.TEXT_ROWS)
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from tickloom.llm import decontaminate
+import pandas as pd
+from pyspark.sql import functions as F
+
+from tickloom.llm import byte_bpe, decontaminate
 from tickloom.llm.common import stored
 from tickloom.llm.queries import vocabulary
 
@@ -35,3 +38,12 @@ def test_pipeline_survives_an_empty_table(spark, folder, tmp_path):
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     for name, stage in corpus_pipeline.STAGES[1:]:
         assert stage(spark, docs.limit(0), folder).count() == 0, name
+
+
+def test_toxicity_sends_few_texts_to_python_at_once(spark, folder, monkeypatch):
+    """A batch held up to 10,000 texts, in the executor's memory and in Python's."""
+    rows = F.pandas_udf(lambda texts: pd.Series([len(texts)] * len(texts)), "long")
+    monkeypatch.setattr(corpus_pipeline.toxicity, "drop_toxic", lambda docs, labels: docs.withColumn("rows", rows("text")))
+    docs = spark.range(0, 3500, 1, 1).select(F.col("id").alias("doc_id"), F.lit("x").alias("text"))
+    out = corpus_pipeline.toxicity_stage(spark, docs, folder)
+    assert out.count() == 3500 and out.agg(F.max("rows")).first()[0] <= byte_bpe.TEXT_ROWS
