@@ -259,3 +259,12 @@ def test_windows_of_many_documents_at_once_equal_those_of_one():
         for a, b in zip(windows[1:], one[1:], strict=True):
             assert a[windows[0] == k].tolist() == b.tolist()
     assert len(windows[1])
+
+
+def test_texts_are_joined_once_with_their_repeats(spark):
+    """Texts were shuffled twice for the last join: once for those that lose words and once for the others."""
+    passage = " ".join(f"w{k}" for k in range(30))
+    df = spark.createDataFrame([(1, passage, "en", "s", None), (2, f"x {passage}", "en", "s", None), (3, None, "en", "s", None)], DOC)
+    cut = substring_dedup.drop_repeats(df)
+    plan = cut._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") == 1 and [(r["text"], r["n_words"], r["n_removed"]) for r in cut.orderBy("doc_id").collect()] == [(passage, 30, 0), ("x", 31, 30), ("", 0, 0)]

@@ -144,17 +144,18 @@ def _window_rows(batches, key: list[str], hashes: str, positions: str):
             yield pd.DataFrame({c: rows[c].to_numpy()[doc] for c in key} | {"w1": first, "w2": second, "start": start})
 
 
-def _cut(batches, text: str, starts: str, n_words: str, n_removed: str, columns: list[str]):
-    for pdf in batches:
-        kept, totals, removed = [], [], []
-        for value, found in zip(pdf[text], pdf[starts]):
+def _cut(batches, n_words: str, n_removed: str, text: str):
+    """Texts without the words of the windows at ``starts``; rows without such windows have a null text and stay null."""
+    for texts, starts in batches:
+        out = []
+        for value, found in zip(texts, starts, strict=True):
+            if value is None:
+                out.append((None, None, None))
+                continue
             words = words_of(value)
             mask = covered(len(words), found)
-            kept.append(" ".join(w for w, gone in zip(words, mask) if not gone))
-            totals.append(len(words))
-            removed.append(int(mask.sum()))
-        out = pdf.assign(**{text: kept, n_words: totals, n_removed: removed})
-        yield out[columns]
+            out.append((" ".join(w for w, gone in zip(words, mask, strict=True) if not gone), len(words), int(mask.sum())))
+        yield pd.DataFrame(out, columns=[text, n_words, n_removed]).astype({n_words: "Int64", n_removed: "Int64"})
 
 
 def drop_repeats(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
@@ -182,7 +183,9 @@ def drop_repeats(docs: DataFrame, text: str = "text", id_col: str = "doc_id") ->
     found = with_hashes.where(F.size(hashes) >= WINDOW).mapInPandas(lambda it: _anchor_rows(it, key, hashes), anchor_schema)
     # Anchors seen more than once: one shuffle on the anchor hash.
     seen = F.count(F.lit(1)).over(Window.partitionBy("anchor"))
-    seeds = found.withColumn("n", seen).where("n > 1").groupBy(*key).agg(F.collect_list("pos").alias("positions"))
+    seeds = found.withColumn("n", seen).where("n > 1").groupBy(*key).agg(F.collect_list(F.col("pos").cast("int")).alias("positions"))
+    # Written apart, so the shuffle of all anchors is over before that of the windows takes its place on disk.
+    seeds = stored(seeds, "substring-seeds")
 
     slim = tagged.select(*key, text)
     seeded = slim.join(seeds, key).select(*key, F.transform(words, lambda w: F.xxhash64(w)).alias(hashes), "positions")
@@ -190,22 +193,28 @@ def drop_repeats(docs: DataFrame, text: str = "text", id_col: str = "doc_id") ->
     windows = seeded.mapInPandas(lambda it: _window_rows(it, key, hashes, "positions"), window_schema)
     # First occurrences: one shuffle on the window hash, ordered within each group of equal windows.
     earlier = F.row_number().over(Window.partitionBy("w1", "w2").orderBy(*key, "start"))
-    repeats = stored(windows.withColumn("o", earlier).where("o > 1").groupBy(*key).agg(F.collect_list("start").alias("starts")), "substring-repeats")
+    repeats = windows.withColumn("o", earlier).where("o > 1").groupBy(*key).agg(F.collect_list(F.col("start").cast("int")).alias("starts"))
+    repeats = stored(repeats, "substring-repeats")
 
-    starts = free_name(tagged.columns, "_repeat_starts")
+    starts, cut = (free_name(tagged.columns, c) for c in ("_repeat_starts", "_cut"))
     repeats = repeats.withColumnRenamed("starts", starts)
-    columns = [c for c in docs.columns if c not in ("n_words", "n_removed")] + ["n_words", "n_removed"]
-    schema = T.StructType(
-        [docs.schema[c] if c != text else T.StructField(text, T.StringType(), False) for c in columns[:-2]]
-        + [T.StructField("n_words", T.LongType(), False), T.StructField("n_removed", T.LongType(), False)]
-    )
-    joined = tagged.join(repeats, key, "left")
-    cut = joined.where(F.col(starts).isNotNull()).select(*columns[:-2], starts)
-    cut = cut.mapInPandas(lambda it: _cut(it, text, starts, "n_words", "n_removed", columns), schema)
-    whole = joined.where(F.col(starts).isNull()).withColumns(
-        {text: F.array_join(words, " "), "n_words": F.size(words).cast("long"), "n_removed": F.lit(0).cast("long")}
-    )
-    return cut.unionByName(whole.select(*columns))
+    struct = T.StructType([T.StructField("text", T.StringType()), T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType())])
+
+    @F.pandas_udf(struct)
+    def without(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        yield from _cut(batches, "n_words", "n_removed", "text")
+
+    # One join; only the texts that lose words go to Python.
+    has = F.col(starts).isNotNull()
+    joined = tagged.join(repeats, key, "left").withColumn(cut, without(F.when(has, F.col(text)), F.col(starts)))
+    c = lambda field: F.col(f"{cut}.{field}")
+    made = {
+        text: F.when(has, c("text")).otherwise(F.array_join(words, " ")),
+        "n_words": F.when(has, c("n_words")).otherwise(F.size(words).cast("long")),
+        "n_removed": F.coalesce(c("n_removed"), F.lit(0).cast("long")),
+    }
+    plain = [F.col(f"`{name}`") if name != text else made[text].alias(text) for name in docs.columns if name not in ("n_words", "n_removed")]
+    return joined.select(*plain, made["n_words"].alias("n_words"), made["n_removed"].alias("n_removed"))
 
 
 SQL = r"""
