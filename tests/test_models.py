@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tickloom.catalog import models as catalog_models
 from tickloom.functions.scalar import clipped
 from tickloom.operators import blend, joins, splits
 from tickloom.plans import models
@@ -206,3 +207,43 @@ def test_tasks_of_a_fit_read_little(spark, learnable, monkeypatch):
     finally:
         spark.conf.set(name, before)
     assert seen == [16 << 20, 1 << 20] and spark.conf.get(name) == before
+
+
+def _partitioned(spark):
+    """Partitions -1 to 3, of which 2 has no target, and rows without a partition."""
+    rows = [
+        (v, 10 * (v or 0) + i % 5, i % 3, i, float(i % 7), None if v == 2 else (i % 7) * 0.01 + (i % 2) * 0.001, 1.0 + i % 2)
+        for v, n in ((-1, 40), (0, 50), (1, 60), (2, 30), (3, 70), (None, 20))
+        for i in range(n)
+    ]
+    names = "partition_id int, date_id int, time_id int, symbol_id int, feature_00 double, responder_6 double, weight double"
+    return spark.createDataFrame(rows, names)
+
+
+def test_backtest_validates_every_partition_after_the_first(spark):
+    df = _partitioned(spark)
+    trees = models.partition_backtest(df, None, None, ["feature_00"], FAST, reference_rows=100, floor_min_leaf=1)
+    assert [(r["val_partition"], r["train_rows"], r["val_rows"]) for r in trees] == [(0, 40, 50), (1, 90, 60), (3, 150, 70)]
+    assert [r["best_iteration"] for r in trees] == [3, 3, 3] and [r["min_data_in_leaf"] for r in trees] == [3, 5, 6]
+    linear = models.ridge_backtest(df, None, None, ["feature_00"], 1.0, 100)
+    assert [(r["val_partition"], r["train_rows"]) for r in linear] == [(0, 40), (1, 90), (3, 150)]
+    assert [r["val_partition"] for r in models.ridge_backtest(df, 1, 2, ["feature_00"], 1.0, 100)] == [1]
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "134217728b"
+
+
+def test_backtest_query_runs_the_full_sizes(spark, tmp_path, monkeypatch):
+    path, seen = str(tmp_path / "panel"), []
+    extra = {"time_id": F.col("symbol_id") % 4, "feature_01": F.col("feature_00") * 0.5 + F.col("symbol_id") % 3, "prediction": F.lit(0.0)}
+    _partitioned(spark).withColumns(extra).where("partition_id < 2").write.partitionBy("partition_id").parquet(path)
+    monkeypatch.setattr(catalog_models, "stored_panel", lambda *a: path)
+
+    def holdout(train, val, features, params, **options):
+        seen.append((val.first()["partition_id"], train.count(), params))
+        return models.Holdout(None, {"train_rows": train.count(), "val_r2": 0.0})
+
+    monkeypatch.setattr(models, "gbt_holdout", holdout)
+    out = catalog_models.backtest_records(spark, "").collect()
+    assert sorted((r["model"], r["val_partition"]) for r in out) == [("ridge", 0), ("ridge", 1), ("trees", 0), ("trees", 1)]
+    assert sorted(s[:2] for s in seen) == [(0, 40), (1, 90)]
+    sizes = ("n_estimators", "max_depth", "num_leaves", "learning_rate", "feature_fraction")
+    assert all(p[k] == models.FINAL_PARAMS[k] for _, _, p in seen for k in sizes)
