@@ -247,3 +247,49 @@ def test_backtest_query_runs_the_full_sizes(spark, tmp_path, monkeypatch):
     assert sorted(s[:2] for s in seen) == [(0, 40), (1, 90)]
     sizes = ("n_estimators", "max_depth", "num_leaves", "learning_rate", "feature_fraction")
     assert all(p[k] == models.FINAL_PARAMS[k] for _, _, p in seen for k in sizes)
+
+
+def test_search_query_runs_all_trials_of_every_set_up(spark, monkeypatch):
+    df = spark.range(900).selectExpr("cast(id div 2 as int) as date_id", "cast(id as double) as responder_6", "1.0d as weight")
+    asked = []
+
+    def fold_score(df, folds, features):
+        return lambda params, fold: asked.append((fold, params)) or params["learning_rate"] + fold
+
+    monkeypatch.setattr(catalog_models, "_panel", lambda *a: df)
+    monkeypatch.setattr(models, "fold_score", fold_score)
+    records = catalog_models.random_search(spark, "").collect()
+    assert {m: sum(r["model"] == m for r in records) for m in models.SPACES} == dict.fromkeys(models.SPACES, 100)
+    assert len(asked) == 2 * 3 * 100 and {f for f, _ in asked} == {1, 2}
+    assert all(p["n_estimators"] == 500 for _, p in asked)
+    depths = [r["depth"] for r in records if r["model"] == "symmetric"]
+    assert (min(depths), max(depths)) == (4, 10)
+
+
+def test_trials_side_by_side_give_the_same_records(spark, learnable):
+    asked = []
+
+    def score(params, fold):
+        asked.append(fold)
+        return -params["max_depth"] + 0.01 * fold
+
+    found = []
+    for like in (None, learnable):
+        search = models.RandomSearch(models.SPACES["depthwise"], 30, seed=1)
+        found.append((search.run(range(4), score, like), search.records, sorted(asked)))
+        asked.clear()
+    assert found[0] == found[1] and any(r["stopped"] for r in found[0][1]) and len(found[0][2]) < 4 * 30
+
+
+def test_search_boosts_while_the_loss_falls(spark, monkeypatch):
+    """Also if the target is so small that Spark's own tolerance would end boosting at once."""
+    rounds, plain = [], models.fit
+    monkeypatch.setattr(models, "fit", lambda *a, **k: rounds.append(plain(*a, **k)) or rounds[-1])
+    df = spark.range(1200).selectExpr(
+        "cast(id div 20 as int) as date_id", "cast(id % 20 as double) as feature_00", "sin(id % 20) * 0.02 as responder_6", "1.0d as weight"
+    )
+    folds = splits.purged_kfold(df, 2, 1, 1, min_train_dates=2)
+    score = models.fold_score(df, folds, ["feature_00"])
+    params = {"n_estimators": 12, "learning_rate": 0.1, "max_depth": 2}
+    assert all(score(params, k) is not None for k in models.fold_numbers(folds))
+    assert [m.rounds for m in rounds] == [12]
